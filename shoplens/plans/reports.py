@@ -1,12 +1,77 @@
-"""Report pipelines P1-P9 composed from the operators."""
+"""Report pipelines P1-P6 composed from the operators (P7-P9: ``streaming``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.operators import regions
+from shoplens.functions.filters import SessionFilter
+from shoplens.operators import categories as cat
+from shoplens.operators import pageflow as pf
+from shoplens.operators import regions, sampling
+from shoplens.operators import sessions as ses
 from shoplens.sources import tables as src
 
+# Time compression of the derived view used by the session-length reports.
+SESSION_LENGTH_DIVISOR = 40
+
+
+def filtered_sessions(spark: SparkSession, sf_dir: str, start: str, end: str,
+                      params: SessionFilter, time_divisor: int = 1) -> tuple[DataFrame, DataFrame]:
+    """A1 -> D1 -> C1 -> B4; returns (actions, filtered sessions)."""
+    actions = src.actions(spark, sf_dir, time_divisor, start, end)
+    return actions, ses.filtered_sessions(actions, src.users(spark, sf_dir), params)
+
+
+def report_session_ratio(spark: SparkSession, sf_dir: str, start: str, end: str,
+                         params: SessionFilter) -> DataFrame:
+    """A1 -> D1 -> C1 -> B4 -> D4 + D5 + D6."""
+    _, s = filtered_sessions(spark, sf_dir, start, end, params, SESSION_LENGTH_DIVISOR)
+    return ses.session_ratio(s)
+
+
+def report_random_extract(spark: SparkSession, sf_dir: str, start: str, end: str,
+                          params: SessionFilter, total: int = 100, seed: str = "shoplens") -> DataFrame:
+    """... B4 -> D13 -> R1 -> R2."""
+    _, s = filtered_sessions(spark, sf_dir, start, end, params)
+    return ses.session_output(sampling.sample_sessions(s, total, seed))
+
+
+def top10_categories(spark: SparkSession, sf_dir: str, start: str, end: str,
+                     params: SessionFilter, n: int = 10) -> tuple[DataFrame, DataFrame]:
+    actions, s = filtered_sessions(spark, sf_dir, start, end, params)
+    kept = ses.semi_actions_in_sessions(actions, s)
+    return kept, cat.top_categories(cat.category_funnel_counts(kept), n)
+
+
+def report_top10_category(spark: SparkSession, sf_dir: str, start: str, end: str,
+                          params: SessionFilter, n: int = 10) -> DataFrame:
+    """... B4 -> C2 -> D11 -> W6."""
+    return top10_categories(spark, sf_dir, start, end, params, n)[1]
+
+
+def report_top10_active_session(spark: SparkSession, sf_dir: str, start: str, end: str,
+                                params: SessionFilter, n: int = 10, per_category: int = 10) -> DataFrame:
+    """P3 -> C7 -> D15 -> W2."""
+    kept, top = top10_categories(spark, sf_dir, start, end, params, n)
+    clicks = cat.semi_top_categories(kept, top)
+    return cat.top_sessions_per_category(cat.session_category_clicks(clicks), per_category)
+
+
+def page_conversion(actions: DataFrame, flow: str,
+                    bucket_seconds: int | None = pf.DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """W3 -> D16 + D17 -> W4 on an action table."""
+    spark = actions.sparkSession
+    pairs = pf.page_pairs(actions, bucket_seconds)
+    counts = pf.page_pair_count(pairs, pf.flow_table(spark, flow))
+    first = int(flow.split(",")[0])
+    return pf.chained_ratio(counts, pf.start_page_count(actions, first))
+
+
+def report_page_conversion(spark: SparkSession, sf_dir: str, start: str, end: str,
+                           flow: str = "1,2,3,4,5,6,7") -> DataFrame:
+    """P5: A1 -> W3 -> D16 + D17 -> W4 (long form: pos, pair, count, ratio)."""
+    return page_conversion(src.actions(spark, sf_dir, 1, start, end), flow)
+
 
 def report_area_top3(spark: SparkSession, sf_dir: str, start: str, end: str, n: int = 3) -> DataFrame:
     """A2 -> C4 -> D18 -> C5 -> B6 -> W1 -> B5."""
