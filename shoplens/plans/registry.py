@@ -306,3 +306,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 __all__ = ["queries", "oracle_sql", "src"]
+
+
+# Operator-level queries register themselves on import.
+from shoplens.plans import ops_queries  # noqa: E402,F401
