@@ -45,7 +45,7 @@ VIEWS = {
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "ad_lines": """
   SELECT e.event_id,
-         concat_ws(' ', CAST(epoch_ms(e.ts) AS VARCHAR), CAST(n.n_regionkey AS VARCHAR),
+         concat_ws(' ', CAST(epoch_us(e.ts) // 1000 AS VARCHAR), CAST(n.n_regionkey AS VARCHAR),
                    CAST(c.c_nationkey AS VARCHAR), CAST(e.user_id AS VARCHAR),
                    CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 20 AS VARCHAR)) AS value
   FROM events e
