@@ -83,7 +83,7 @@ def format_date_key(ts) -> Column:
 
 def parse_date_key(s) -> Column:
     """``yyyyMMdd`` text to date; NULL when unparsable."""
-    return F.try_to_date(_c(s), F.lit(DATE_KEY_FORMAT))
+    return F.try_to_date(_c(s), DATE_KEY_FORMAT)
 
 
 def format_minute_key(ts) -> Column:

@@ -311,3 +311,4 @@ __all__ = ["queries", "oracle_sql", "src"]
 # Operator-level queries register themselves on import.
 from shoplens.plans import ops_queries  # noqa: E402,F401
 from shoplens.plans import stream_queries  # noqa: E402,F401
+from shoplens.plans import fn_queries  # noqa: E402,F401
