@@ -23,13 +23,13 @@ def merge_add(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 def merge_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """M2: insert new keys, replace the row of existing keys with the batch row."""
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(batch.select(*target.columns))
 
 
 def replace_groups(target: DataFrame, batch: DataFrame, group_keys: Sequence[str]) -> DataFrame:
     """M3: drop every target row of a group present in the batch, then add the batch."""
-    kept = target.join(batch.select(*group_keys).distinct(), list(group_keys), "left_anti")
+    kept = target.join(batch.select(*group_keys).distinct(), list(group_keys), "left_anti").select(*target.columns)
     return kept.unionByName(batch.select(*target.columns))
 
 

@@ -56,4 +56,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     Columns are reordered and cast as the schema says; extra columns are dropped.
     """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns {missing} for {schema.simpleString()}")
     return df.to(schema)

@@ -78,10 +78,20 @@ class AdState:
     def _schema(self, name: str) -> StructType:
         return StructType(list(LOGS[name][0].fields) + [StructField("batch_id", LongType())])
 
-    def init(self, spark: SparkSession) -> None:
-        """Create every log with an empty partition so readers never miss a path."""
+    def init(self, spark: SparkSession, blacklist: DataFrame | None = None) -> None:
+        """Create every log with a partition ``batch_id=-1`` (before any batch).
+
+        An empty DataFrame written with ``partitionBy`` creates no folder, so
+        each log gets one all-NULL marker row (dropped by ``log``); readers
+        then always find a consistently partitioned table. ``blacklist``
+        seeds users listed before the stream starts.
+        """
         for name in LOGS:
-            self.write(spark.createDataFrame([], LOGS[name][0]), name, -1)
+            schema = LOGS[name][0]
+            marker = spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
+            if name == "blacklist" and blacklist is not None:
+                marker = marker.unionByName(blacklist.select(F.col("user_id").cast("bigint")))
+            self.write(marker, name, -1)
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         """Overwrite this batch's partitions of one log (idempotent on replay)."""
@@ -93,7 +103,9 @@ class AdState:
     def log(self, spark: SparkSession, name: str, before: int | None = None,
             upto: int | None = None) -> DataFrame:
         """Rows of one log, optionally only batches ``< before`` or ``<= upto``."""
-        df = spark.read.schema(self._schema(name)).parquet(self.path(name)).filter(F.col("batch_id") >= 0)
+        schema = LOGS[name][0]
+        df = spark.read.schema(self._schema(name)).parquet(self.path(name))
+        df = df.filter(~((F.col("batch_id") == -1) & F.col(schema.fields[0].name).isNull()))
         if before is not None:
             df = df.filter(F.col("batch_id") < before)
         if upto is not None:
