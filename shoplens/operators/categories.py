@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import csv_to_ids
+from shoplens.operators.joins import bounded_broadcast
 from shoplens.operators.regions import top_n_per_group
 
 CLICK, ORDER, PAY = 0, 1, 2
@@ -106,7 +107,7 @@ def top_categories(funnel: DataFrame, n: int = 10) -> DataFrame:
 
 def semi_top_categories(actions: DataFrame, top: DataFrame) -> DataFrame:
     """Click actions whose category is in ``top`` (broadcast: ``top`` is a top-n)."""
-    ids = F.broadcast(top.select(F.col("category_id").alias("click_category_id")))
+    ids = bounded_broadcast(top.select(F.col("category_id").alias("click_category_id")))
     return actions.join(ids, "click_category_id", "left_semi")
 
 

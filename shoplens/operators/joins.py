@@ -1,9 +1,18 @@
-"""Join helpers with a checked broadcast.
+"""Join helpers and the broadcast policy.
 
-A side is broadcast only when its row count is under a bound that was
-checked first; otherwise the join is left to the planner (AQE turns a
-shuffle join into a broadcast at runtime when the measured size allows,
-and splits skewed partitions).
+Broadcast is decided by size, never by hope:
+
+* sides whose size is bounded by construction (a top-n list, a parameter
+  table) get an explicit ``broadcast()`` hint;
+* every other side (dimensions, state tables) is joined plainly: Spark
+  broadcasts it only when its estimated size is under
+  ``spark.sql.autoBroadcastJoinThreshold``, AQE re-checks with the sizes
+  measured at runtime (and can switch a sort-merge join to a broadcast
+  join or split skewed partitions), and above the threshold the join
+  stays a shuffle join.
+
+``checked_broadcast`` is for callers that want a hint on a side they
+cannot bound statically; it pays one small counting job.
 """
 
 from __future__ import annotations
@@ -11,22 +20,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast without asking the planner: dimension tables of
-# this size cost a few MB per executor.
 MAX_BROADCAST_ROWS = 200_000
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(small)`` when it has at most ``max_rows`` rows, else ``small``.
-
-    The count runs one cheap job over the (small) side; a larger side is
-    returned unchanged so the planner shuffles instead.
-    """
+    """``broadcast(small)`` when it has at most ``max_rows`` rows, else ``small``."""
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
 
 
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a fact side to a dimension, broadcasting the dimension when small."""
-    return fact.join(checked_broadcast(dim, max_rows), on, how)
+def bounded_broadcast(small: DataFrame) -> DataFrame:
+    """Hint for a side whose row count is bounded by construction (top-n, parameters)."""
+    return F.broadcast(small)
+
+
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Fact-to-dimension join; Spark's size checks pick broadcast or shuffle."""
+    return fact.join(dim, on, how)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import ntz_to_epoch_millis, pair_label
+from shoplens.operators.joins import bounded_broadcast
 
 DEFAULT_BUCKET_SECONDS = 3600
 
@@ -57,7 +58,7 @@ def page_pairs(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_S
 
 def page_pair_count(pairs: DataFrame, flow: DataFrame) -> DataFrame:
     """Occurrences of each target pair, by flow position; unseen pairs count 0."""
-    f = F.broadcast(flow)
+    f = bounded_broadcast(flow)   # one row per step of the flow parameter
     hits = (pairs.join(f, (pairs.page_id == f.from_page) & (pairs.next_page_id == f.to_page), "inner")
             .groupBy("pos").agg(F.count(F.lit(1)).alias("pair_count")))
     return (flow.join(hits, "pos", "left")

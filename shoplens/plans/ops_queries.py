@@ -356,3 +356,24 @@ def q_extract_quota(spark, sf):
 def q_random_extract(spark, sf):
     s = ses.session_rollup(src.actions(spark, sf))
     return ses.session_output(sampling.sample_sessions(s, SAMPLE_TOTAL, SAMPLE_SEED))
+
+
+# ---------------------------------------------------------------- A: sinks and the SQL path
+
+from shoplens.config import scratch_path  # noqa: E402
+from shoplens.plans.registry import ORACLES  # noqa: E402
+from shoplens.sources import sinks  # noqa: E402
+
+
+@register("temp_view", ORACLES["report_area_top3"])
+def q_temp_view(spark, sf):
+    return rp.report_area_top3_sql(spark, sf, START, END)
+
+
+@register("replace_table", ORACLES["report_area_top3"])
+def q_replace_table(spark, sf):
+    path = scratch_path(spark, "area_top3_product")
+    report = rp.report_area_top3(spark, sf, START, END)
+    sinks.replace_table(report, path)
+    sinks.replace_table(report, path)          # second run replaces, never appends
+    return spark.read.parquet(path)

@@ -80,3 +80,37 @@ def report_area_top3(spark: SparkSession, sf_dir: str, start: str, end: str, n:
     counts = regions.area_product_clicks(click_city)
     full = regions.join_area_product(counts, src.products(spark, sf_dir))
     return regions.area_top3(full, n)
+
+
+def report_area_top3_sql(spark: SparkSession, sf_dir: str, start: str, end: str, n: int = 3) -> DataFrame:
+    """P6 on the SQL path (A10): stages chained through temp views.
+
+    Catalyst sees the same logical plan as the DataFrame version; the
+    parameters are bound as literals by the caller, never user text.
+    """
+    suffix = abs(hash((sf_dir, start, end))) % 10**8
+    v = {k: f"{k}_{suffix}" for k in ("clicks", "cities", "products", "click_city", "area_counts", "full_info")}
+    src.click_actions(spark, sf_dir, start, end).createOrReplaceTempView(v["clicks"])
+    src.cities(spark, sf_dir).createOrReplaceTempView(v["cities"])
+    src.products(spark, sf_dir).createOrReplaceTempView(v["products"])
+    spark.sql(f"""
+        SELECT c.city_id, c.click_product_id AS product_id, ci.city_name, ci.area_name
+        FROM {v['clicks']} c JOIN {v['cities']} ci ON c.city_id = ci.city_id""").createOrReplaceTempView(v["click_city"])
+    spark.sql(f"""
+        SELECT area_name, product_id, count(*) AS click_count,
+               nullif(array_join(array_sort(collect_set(concat_ws(':', CAST(city_id AS STRING), city_name))), ','), '')
+                 AS city_infos
+        FROM {v['click_city']} GROUP BY area_name, product_id""").createOrReplaceTempView(v["area_counts"])
+    spark.sql(f"""
+        SELECT a.*, p.product_name,
+               IF(get_json_object(p.extend_info, '$.product_status') = '0', 'Self', 'Third Party') AS product_status
+        FROM {v['area_counts']} a JOIN {v['products']} p ON a.product_id = p.product_id""") \
+        .createOrReplaceTempView(v["full_info"])
+    return spark.sql(f"""
+        SELECT area_name AS area,
+               CASE WHEN area_name IN ('AMERICA', 'EUROPE') THEN 'A' WHEN area_name = 'ASIA' THEN 'B'
+                    WHEN area_name = 'AFRICA' THEN 'C' ELSE 'D' END AS area_level,
+               product_id, product_name, click_count, city_infos, product_status
+        FROM (SELECT *, row_number() OVER (PARTITION BY area_name ORDER BY click_count DESC, product_id) AS rank
+              FROM {v['full_info']}) t
+        WHERE rank <= {int(n)}""")

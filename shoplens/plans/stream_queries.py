@@ -44,12 +44,13 @@ def run_ad_pipeline(spark: SparkSession, sf: str, threshold: int = THRESHOLD,
     base = scratch_path(spark, "adstream")
     state = st.AdState(f"{base}/state", threshold)
     state.init(spark)
-    lines = sliced_ad_lines(spark, sf, slices)
+    lines = sliced_ad_lines(spark, sf, slices).persist()   # derived once, written slice by slice
     for i in range(slices):
         lines.filter(F.col("b") == i).select("value").write.mode("overwrite").text(f"{base}/source/slice{i:05d}")
         q = st.start_ad_stream(st.ad_log_stream(spark, f"{base}/source"), state, f"{base}/checkpoint",
                                {"availableNow": True})
         q.awaitTermination()
+    lines.unpersist()
     _RUNS[key] = state
     return state
 

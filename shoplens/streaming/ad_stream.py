@@ -35,6 +35,9 @@ from shoplens.operators.merge import append_distinct, merge_add, replace_groups
 BATCH_INTERVAL = "5 seconds"
 BLACKLIST_THRESHOLD = 100
 
+# name -> (schema, sort columns inside each batch's files). Logs are
+# partitioned by ``batch_id`` only; sorting by date keeps Parquet min/max
+# statistics tight, so date filters skip whole files and row groups.
 LOGS = {
     "counts": (schemas.AD_USER_CLICK_COUNT, ("date",)),
     "blacklist": (schemas.AD_BLACKLIST, ()),
@@ -95,10 +98,12 @@ class AdState:
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         """Overwrite this batch's partitions of one log (idempotent on replay)."""
-        _, parts = LOGS[name]
+        _, sort_cols = LOGS[name]
         out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if sort_cols:
+            out = out.sortWithinPartitions(*sort_cols)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts, "batch_id").parquet(self.path(name)))
+         .partitionBy("batch_id").parquet(self.path(name)))
 
     def log(self, spark: SparkSession, name: str, before: int | None = None,
             upto: int | None = None) -> DataFrame:
@@ -146,13 +151,18 @@ class AdState:
 
 def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     """S2-S7 for one micro-batch (see the module docstring for the order)."""
+    from pyspark.sql import Observation
     spark = batch.sparkSession
+    seen, passed = Observation("lines"), Observation("kept")
     parsed = ads.parse_ad_log(batch).persist()
-    events = ads.ad_events(parsed)
-    blacklist = state.blacklist(spark, before=batch_id)                    # A11, fresh per batch
-    kept = ads.anti_blacklist(events, blacklist).persist()                  # S2 / C6
-
-    delta = ads.daily_user_ad_clicks(kept)                                   # S3 / D19
+    tallied = parsed.observe(seen, F.count(F.lit(1)).alias("lines"),
+                             F.sum((~F.col("is_valid")).cast("long")).alias("malformed"),
+                             F.sum(F.col("is_valid").cast("long")).alias("valid"))
+    blacklist = state.blacklist(spark, before=batch_id)                     # A11, fresh per batch
+    kept = ads.anti_blacklist(ads.ad_events(tallied), blacklist).persist()   # S2 / C6
+    kept_tallied = kept.observe(passed, F.count(F.lit(1)).alias("kept"))
+
+    delta = ads.daily_user_ad_clicks(kept_tallied)                           # S3 / D19
     state.write(delta, "counts", batch_id)                                   # M1 (log form)
     stored = ads.lookup_click_count(delta, state.log(spark, "counts", upto=batch_id))  # A12
     listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
@@ -167,10 +177,9 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id)  # S6 (M3 log form)
     state.write(ads.count_by(kept, ads.TREND_KEYS), "click_trend", batch_id)  # S7
 
-    counts = parsed.agg(F.count(F.lit(1)), F.sum((~F.col("is_valid")).cast("long"))).first()
-    n_kept = kept.count()
-    row = (counts[0], counts[1] or 0, counts[0] - (counts[1] or 0), n_kept)
-    state.write(spark.createDataFrame([row], LOGS["batches"][0]), "batches", batch_id)  # A7 / S2 tallies
+    got, k = seen.get, passed.get                                            # A7 / S2 tallies
+    row = (got.get("lines", 0), got.get("malformed") or 0, got.get("valid") or 0, k.get("kept", 0))
+    state.write(spark.createDataFrame([row], LOGS["batches"][0]), "batches", batch_id)
     kept.unpersist()
     parsed.unpersist()
 
@@ -182,3 +191,19 @@ def start_ad_stream(stream: DataFrame, state: AdState, checkpoint: str,
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
     return writer.start()
+
+
+def click_trend_stream(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """S7 as a stateful streaming aggregate: clicks per (minute window, ad).
+
+    ``events`` is a streaming DataFrame of parsed, filtered clicks
+    (``ads.ad_events``). The watermark bounds the state: windows older
+    than the latest event time minus ``watermark`` are finalised and
+    dropped. Use output mode ``update`` and a merge-overwrite sink (M2).
+    """
+    w = (events.withWatermark("event_time", watermark)
+         .groupBy(F.window("event_time", "1 minute"), "ad_id")
+         .agg(F.count(F.lit(1)).alias("click_count")))
+    start = w["window.start"]
+    return w.select(F.date_format(start, "yyyy-MM-dd").alias("date"), F.date_format(start, "HH").alias("hour"),
+                    F.date_format(start, "mm").alias("minute"), "ad_id", "click_count")

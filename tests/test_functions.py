@@ -101,3 +101,10 @@ def test_conform_binds_by_name_and_rejects_missing(spark):
     assert out.columns == USER_INFO.names
     with pytest.raises(Exception):
         conform(df.drop("age"), USER_INFO)
+
+
+def test_task_id_is_first_column(spark):
+    from shoplens.sources.sinks import new_task_id, with_task_id
+    tid = new_task_id()
+    out = with_task_id(spark.createDataFrame([(1,)], "x long"), tid)
+    assert out.columns == ["task_id", "x"] and out.first()[0] == tid

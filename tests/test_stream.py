@@ -64,3 +64,17 @@ def test_replaying_a_batch_is_idempotent(spark):
     st.process_batch(batch, 1, state)           # the same batch again, as after a failure
     assert sorted(tuple(r) for r in state.user_click_counts(spark).collect()) == before
     assert sorted(r[0] for r in state.blacklist(spark).collect()) == [1, 2, 3, 4, 9]
+
+
+def test_click_trend_stream_with_watermark(spark):
+    from shoplens.operators import ads
+    base = tempfile.mkdtemp(prefix="shoplens-trend-")
+    os.makedirs(f"{base}/src")
+    with open(f"{base}/src/a.txt", "w") as f:
+        f.write("\n".join([line(0, 1, 5), line(1000, 2, 5), line(MIN, 1, 5), line(MIN + 5, 3, 6), "bad"]) + "\n")
+    events = ads.ad_events(ads.parse_ad_log(st.ad_log_stream(spark, f"{base}/src")))
+    q = (st.click_trend_stream(events).writeStream.outputMode("update").format("memory")
+         .queryName("trend_test").trigger(availableNow=True).option("checkpointLocation", f"{base}/ck").start())
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM trend_test").collect())
+    assert got == [("2024-01-01", "00", "00", 5, 2), ("2024-01-01", "00", "01", 5, 1), ("2024-01-01", "00", "01", 6, 1)]
