@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shoplens.functions.scalar import ntz_to_epoch_millis, pair_label
 from shoplens.operators.joins import bounded_broadcast
 
-DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_BUCKET_SECONDS = 60
 
 
 def flow_pairs(flow: str) -> list[tuple[int, int, int]]:
