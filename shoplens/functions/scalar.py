@@ -102,8 +102,16 @@ def epoch_millis_to_date(ms) -> Column:
 
 
 def ntz_to_epoch_millis(ts) -> Column:
-    """UTC wall-clock ``timestamp_ntz`` to epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), _c(ts))
+    """UTC wall-clock ``timestamp_ntz`` to epoch milliseconds (truncated).
+
+    Built from the calendar day and the time-of-day fields, so the
+    session time zone never enters.
+    """
+    t = _c(ts)
+    day_ms = F.unix_date(t.cast("date")).cast("bigint") * 86_400_000
+    tod_ms = (F.hour(t) * 3_600_000 + F.minute(t) * 60_000).cast("bigint")
+    sec_ms = F.floor(F.date_part(F.lit("SECOND"), t) * 1000).cast("bigint")
+    return day_ms + tod_ms + sec_ms
 
 
 # -- numbers ----------------------------------------------------------------

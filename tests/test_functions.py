@@ -108,3 +108,18 @@ def test_task_id_is_first_column(spark):
     tid = new_task_id()
     out = with_task_id(spark.createDataFrame([(1,)], "x long"), tid)
     assert out.columns == ["task_id", "x"] and out.first()[0] == tid
+
+
+def test_epoch_millis_round_trip_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 1, 999999),), (dt.datetime(1969, 12, 31, 23, 59, 59),)],
+                                       "t timestamp_ntz")
+            got = [tuple(r) for r in df.select(fn.ntz_to_epoch_millis("t"),
+                                               fn.epoch_millis_to_ntz(fn.ntz_to_epoch_millis("t"))).collect()]
+            assert got[0][0] == 1710037801999 and got[1][0] == -1000, zone
+            assert got[0][1] == dt.datetime(2024, 3, 10, 2, 30, 1, 999000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
