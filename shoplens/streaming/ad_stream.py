@@ -49,6 +49,13 @@ LOGS = {
 }
 
 
+# Logs whose current table is a sum of deltas (M1); these get compacted.
+ADDITIVE = {"counts": ("date", "user_id", "ad_id"),
+            "ad_stat": ("date", "province", "city", "ad_id"),
+            "click_trend": ("date", "hour", "minute", "ad_id")}
+COMPACT_EVERY = 50
+
+
 def ad_log_stream(spark: SparkSession, source: str, fmt: str = "text", **options) -> DataFrame:
     """The ad log as a streaming DataFrame with one ``value`` text column.
 
@@ -74,6 +81,7 @@ class AdState:
 
     base: str
     threshold: int = BLACKLIST_THRESHOLD
+    compact_every: int = COMPACT_EVERY
 
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
@@ -95,6 +103,8 @@ class AdState:
             if name == "blacklist" and blacklist is not None:
                 marker = marker.unionByName(blacklist.select(F.col("user_id").cast("bigint")))
             self.write(marker, name, -1)
+            if name in ADDITIVE:
+                self._write_snapshot(marker, name, -1)
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         """Overwrite this batch's partitions of one log (idempotent on replay)."""
@@ -117,6 +127,53 @@ class AdState:
             df = df.filter(F.col("batch_id") <= upto)
         return df
 
+    # -- compaction: snapshot of an additive log up to a batch ---------------
+
+    def _snapshot_schema(self, name: str) -> StructType:
+        return StructType(list(LOGS[name][0].fields) + [StructField("upto", LongType())])
+
+    def _write_snapshot(self, df: DataFrame, name: str, upto: int) -> None:
+        # Partitioned by (upto, date): written once per compaction, and the
+        # per-batch lookups join on date, so dynamic partition pruning
+        # reads only the dates a batch touches.
+        out = df.withColumn("upto", F.lit(upto).cast("bigint"))
+        (out.sortWithinPartitions("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("upto", "date").parquet(self.path(name + "_snapshot")))
+
+    def latest_snapshot(self, spark: SparkSession, name: str, upto: int | None = None) -> int:
+        """Batch id of the newest snapshot at or before ``upto`` (-1: none)."""
+        snap = spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
+        if upto is not None:
+            snap = snap.filter(F.col("upto") <= upto)
+        got = snap.agg(F.max("upto")).first()[0]
+        return -1 if got is None else int(got)
+
+    def running(self, spark: SparkSession, name: str, upto: int | None = None,
+                snapshot: int | None = None) -> DataFrame:
+        """Rows whose per-key sum is the table after batch ``upto``: the newest
+        snapshot plus the deltas written after it (never the whole history).
+
+        ``snapshot`` skips the lookup when the caller already knows it (all
+        additive logs are compacted at the same batch ids).
+        """
+        cols = LOGS[name][0].names
+        s = self.latest_snapshot(spark, name, upto) if snapshot is None else snapshot
+        snap = (spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
+                .filter(F.col("upto") == s).filter(F.col(cols[0]).isNotNull()).select(*cols))
+        deltas = self.log(spark, name, upto=upto).filter(F.col("batch_id") > s).select(*cols)
+        return snap.unionByName(deltas)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold every additive log through batch ``upto`` into a snapshot (M1).
+
+        Deterministic for a given ``upto``, so re-running it after a failure
+        rewrites the same snapshot. Older deltas are no longer read.
+        """
+        for name, keys in ADDITIVE.items():
+            rows = self.running(spark, name, upto)
+            folded = merge_add(rows.limit(0), rows, keys).select(*LOGS[name][0].names)
+            self._write_snapshot(folded, name, upto)
+
     # -- current tables: folds of the logs with the merge operators ---------
 
     def blacklist(self, spark: SparkSession, before: int | None = None) -> DataFrame:
@@ -127,18 +184,18 @@ class AdState:
 
     def user_click_counts(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """P8 / M1 fold: running clicks per (date, user, ad)."""
-        log = self.log(spark, "counts", upto=upto)
-        return merge_add(log.limit(0), log, ads.DAILY_KEYS).select(*schemas.AD_USER_CLICK_COUNT.names)
+        rows = self.running(spark, "counts", upto)
+        return merge_add(rows.limit(0), rows, ads.DAILY_KEYS).select(*schemas.AD_USER_CLICK_COUNT.names)
 
     def ad_stat(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """Running clicks per (date, province, city, ad)."""
-        log = self.log(spark, "ad_stat", upto=upto)
-        return merge_add(log.limit(0), log, ads.AD_STAT_KEYS).select(*schemas.AD_STAT.names)
+        rows = self.running(spark, "ad_stat", upto)
+        return merge_add(rows.limit(0), rows, ads.AD_STAT_KEYS).select(*schemas.AD_STAT.names)
 
     def click_trend(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """Clicks per (date, hour, minute, ad)."""
-        log = self.log(spark, "click_trend", upto=upto)
-        return merge_add(log.limit(0), log, ads.TREND_KEYS).select(*schemas.AD_CLICK_TREND.names)
+        rows = self.running(spark, "click_trend", upto)
+        return merge_add(rows.limit(0), rows, ads.TREND_KEYS).select(*schemas.AD_CLICK_TREND.names)
 
     def province_top3(self, spark: SparkSession) -> DataFrame:
         """S6 / P9 / M3 fold: per (date, province) the rows of the last batch that touched it."""
@@ -164,7 +221,8 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
 
     delta = ads.daily_user_ad_clicks(kept_tallied)                           # S3 / D19
     state.write(delta, "counts", batch_id)                                   # M1 (log form)
-    stored = ads.lookup_click_count(delta, state.log(spark, "counts", upto=batch_id))  # A12
+    snap = state.latest_snapshot(spark, "counts", batch_id)
+    stored = ads.lookup_click_count(delta, state.running(spark, "counts", batch_id, snap))  # A12
     listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
     new_users = append_distinct(blacklist.limit(0), listed, ["user_id"])    # M4 against ...
     new_users = new_users.join(blacklist, "user_id", "left_anti")           # ... the current list
@@ -173,7 +231,7 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     stat_delta = ads.count_by(kept, ads.AD_STAT_KEYS)                        # S5
     state.write(stat_delta, "ad_stat", batch_id)
     touched = stat_delta.select(*ads.PROVINCE_KEYS).distinct()
-    totals = state.log(spark, "ad_stat", upto=batch_id).join(touched, list(ads.PROVINCE_KEYS), "left_semi")
+    totals = state.running(spark, "ad_stat", batch_id, snap).join(touched, list(ads.PROVINCE_KEYS), "left_semi")
     state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id)  # S6 (M3 log form)
     state.write(ads.count_by(kept, ads.TREND_KEYS), "click_trend", batch_id)  # S7
 
@@ -182,6 +240,8 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     state.write(spark.createDataFrame([row], LOGS["batches"][0]), "batches", batch_id)
     kept.unpersist()
     parsed.unpersist()
+    if state.compact_every and batch_id > 0 and batch_id % state.compact_every == 0:
+        state.compact(spark, batch_id)
 
 
 def start_ad_stream(stream: DataFrame, state: AdState, checkpoint: str,

@@ -20,8 +20,8 @@ SLICES = [
 ]
 
 
-def run(spark, base, slices, restart_at=None):
-    state = st.AdState(f"{base}/state", threshold=2)
+def run(spark, base, slices, compact_every=st.COMPACT_EVERY):
+    state = st.AdState(f"{base}/state", threshold=2, compact_every=compact_every)
     state.init(spark, blacklist=spark.createDataFrame([(9,)], "user_id long"))
     for i, lines in enumerate(slices):
         d = f"{base}/source/slice{i}"
@@ -35,9 +35,15 @@ def run(spark, base, slices, restart_at=None):
     return state
 
 
-def test_blacklist_stream_closed_form(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("compact_every", [st.COMPACT_EVERY, 1])
+def test_blacklist_stream_closed_form(spark, compact_every):
     base = tempfile.mkdtemp(prefix="shoplens-stream-")
-    state = run(spark, base, SLICES)
+    state = run(spark, base, SLICES, compact_every)
+    if compact_every == 1:
+        assert state.latest_snapshot(spark, "counts") == 2
     bl = sorted(r[0] for r in state.blacklist(spark).collect())
     # 9 pre-listed; 1 listed in batch 0; 2 reaches exactly 2 in batch 1; 3 and 4 reach 2 in batch 2
     assert bl == [1, 2, 3, 4, 9]
@@ -56,9 +62,10 @@ def test_blacklist_stream_closed_form(spark):
     assert [(r["ad_id"], r["click_count"]) for r in trend] == [(6, 1)]
 
 
-def test_replaying_a_batch_is_idempotent(spark):
+@pytest.mark.parametrize("compact_every", [st.COMPACT_EVERY, 1])
+def test_replaying_a_batch_is_idempotent(spark, compact_every):
     base = tempfile.mkdtemp(prefix="shoplens-replay-")
-    state = run(spark, base, SLICES)
+    state = run(spark, base, SLICES, compact_every)
     before = sorted(tuple(r) for r in state.user_click_counts(spark).collect())
     batch = spark.createDataFrame([(x,) for x in SLICES[1]], "value string")
     st.process_batch(batch, 1, state)           # the same batch again, as after a failure
