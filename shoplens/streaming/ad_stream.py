@@ -149,19 +149,24 @@ class AdState:
         return -1 if got is None else int(got)
 
     def running(self, spark: SparkSession, name: str, upto: int | None = None,
-                snapshot: int | None = None) -> DataFrame:
+                snapshot: int | None = None, dates: list[str] | None = None) -> DataFrame:
         """Rows whose per-key sum is the table after batch ``upto``: the newest
         snapshot plus the deltas written after it (never the whole history).
 
         ``snapshot`` skips the lookup when the caller already knows it (all
-        additive logs are compacted at the same batch ids).
+        additive logs are compacted at the same batch ids). ``dates`` limits
+        the read to those days: a partition filter on the snapshot and a
+        pushed ``IN`` filter (row-group skipping) on the date-sorted deltas.
         """
         cols = LOGS[name][0].names
         s = self.latest_snapshot(spark, name, upto) if snapshot is None else snapshot
         snap = (spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
-                .filter(F.col("upto") == s).filter(F.col(cols[0]).isNotNull()).select(*cols))
-        deltas = self.log(spark, name, upto=upto).filter(F.col("batch_id") > s).select(*cols)
-        return snap.unionByName(deltas)
+                .filter(F.col("upto") == s).filter(F.col(cols[0]).isNotNull()))
+        deltas = self.log(spark, name, upto=upto).filter(F.col("batch_id") > s)
+        if dates is not None:
+            snap = snap.filter(F.col("date").isin(list(dates)))
+            deltas = deltas.filter(F.col("date").isin(list(dates)))
+        return snap.select(*cols).unionByName(deltas.select(*cols))
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Fold every additive log through batch ``upto`` into a snapshot (M1).
@@ -217,12 +222,15 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
                              F.sum(F.col("is_valid").cast("long")).alias("valid"))
     blacklist = state.blacklist(spark, before=batch_id)                     # A11, fresh per batch
     kept = ads.anti_blacklist(ads.ad_events(tallied), blacklist).persist()   # S2 / C6
-    kept_tallied = kept.observe(passed, F.count(F.lit(1)).alias("kept"))
+    # The batch's days ride along with the count (bounded by the batch's time span).
+    kept_tallied = kept.observe(passed, F.count(F.lit(1)).alias("kept"),
+                                F.collect_set("date").alias("dates"))
 
     delta = ads.daily_user_ad_clicks(kept_tallied)                           # S3 / D19
     state.write(delta, "counts", batch_id)                                   # M1 (log form)
     snap = state.latest_snapshot(spark, "counts", batch_id)
-    stored = ads.lookup_click_count(delta, state.running(spark, "counts", batch_id, snap))  # A12
+    days = sorted(passed.get.get("dates") or [])
+    stored = ads.lookup_click_count(delta, state.running(spark, "counts", batch_id, snap, days))  # A12
     listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
     new_users = append_distinct(blacklist.limit(0), listed, ["user_id"])    # M4 against ...
     new_users = new_users.join(blacklist, "user_id", "left_anti")           # ... the current list
@@ -231,7 +239,8 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     stat_delta = ads.count_by(kept, ads.AD_STAT_KEYS)                        # S5
     state.write(stat_delta, "ad_stat", batch_id)
     touched = stat_delta.select(*ads.PROVINCE_KEYS).distinct()
-    totals = state.running(spark, "ad_stat", batch_id, snap).join(touched, list(ads.PROVINCE_KEYS), "left_semi")
+    totals = (state.running(spark, "ad_stat", batch_id, snap, days)
+              .join(touched, list(ads.PROVINCE_KEYS), "left_semi"))
     state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id)  # S6 (M3 log form)
     state.write(ads.count_by(kept, ads.TREND_KEYS), "click_trend", batch_id)  # S7
 
