@@ -61,3 +61,15 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared work folder."""
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (a reliable checkpoint).
+
+    For an intermediate that a report reads more than once: the rows are
+    written to the shared checkpoint folder, so both readers share one
+    computation and a lost executor re-reads files instead of recomputing
+    the upstream scan and shuffles.
+    """
+    work_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -99,6 +99,35 @@ def category_funnel_counts(actions: DataFrame) -> DataFrame:
     return agg.filter(F.col("_u") == 1).drop("_u")
 
 
+def category_session_funnel(actions: DataFrame) -> DataFrame:
+    """Funnel counts per (category, session): the common input of D11 and D15.
+
+    ``in_universe`` marks pairs named by the priority kind of some action.
+    """
+    kind = _universe_kind()
+    tag = lambda arr, k: F.transform(arr, lambda x: F.struct(F.lit(k).alias("kind"), x.alias("cid")))
+    clicks = F.when(_click_id().isNotNull(), F.array(_click_id())).otherwise(_empty())
+    pairs = F.concat(tag(clicks, CLICK), tag(_ids("order_category_ids"), ORDER),
+                     tag(_ids("pay_category_ids"), PAY))
+    e = (actions.select("session_id", kind.alias("ukind"), F.explode(pairs).alias("p"))
+         .select("session_id", F.col("p.cid").alias("category_id"), F.col("p.kind").alias("kind"),
+                 (F.col("p.kind") == F.col("ukind")).alias("in_universe"))
+         .filter(F.col("category_id").isNotNull()))
+    return e.groupBy("category_id", "session_id").agg(
+        F.sum(F.when(F.col("kind") == CLICK, 1).otherwise(0)).alias("click_count"),
+        F.sum(F.when(F.col("kind") == ORDER, 1).otherwise(0)).alias("order_count"),
+        F.sum(F.when(F.col("kind") == PAY, 1).otherwise(0)).alias("pay_count"),
+        F.max(F.col("in_universe").cast("int")).alias("in_universe"))
+
+
+def funnel_from_sessions(per_session: DataFrame) -> DataFrame:
+    """D11 from the per-(category, session) counts (same result as ``category_funnel_counts``)."""
+    agg = per_session.groupBy("category_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("click_count", "order_count", "pay_count")],
+        F.max("in_universe").alias("_u"))
+    return agg.filter(F.col("_u") == 1).drop("_u")
+
+
 def top_categories(funnel: DataFrame, n: int = 10) -> DataFrame:
     """First ``n`` categories by (click, order, pay) descending, ties by id."""
     return funnel.orderBy(F.col("click_count").desc(), F.col("order_count").desc(),

@@ -31,29 +31,71 @@ def flow_table(spark: SparkSession, flow: str) -> DataFrame:
     return spark.createDataFrame(flow_pairs(flow) or [], "pos int, from_page bigint, to_page bigint")
 
 
-def page_pairs(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """(session_id, page_id, next_page_id) for consecutive actions."""
+def _windowed(actions: DataFrame, bucket_seconds: int | None) -> DataFrame:
+    """One row per action with its successor inside its (session, bucket)."""
     order = [F.col("action_time"), F.col("action_id")]
     a = actions.select("session_id", "page_id", "action_time", "action_id")
-    if not bucket_seconds:
-        w = Window.partitionBy("session_id").orderBy(*order)
-        return (a.select("session_id", "page_id", F.lead("page_id").over(w).alias("next_page_id"),
-                         F.lead("action_id").over(w).alias("_next_id"))
-                .filter(F.col("_next_id").isNotNull()).drop("_next_id"))
-    a = a.withColumn("bucket", F.floor(ntz_to_epoch_millis("action_time") / (1000 * bucket_seconds)))
-    w_in = Window.partitionBy("session_id", "bucket").orderBy(*order)
-    inner = (a.select("session_id", "page_id", F.lead("page_id", 1).over(w_in).alias("next_page_id"),
-                      F.lead("action_id", 1).over(w_in).alias("_next_id"))
-             .filter(F.col("_next_id").isNotNull()).drop("_next_id"))
-    key = F.struct("action_time", "action_id")
-    ends = a.groupBy("session_id", "bucket").agg(
-        F.min_by("page_id", key).alias("first_page"), F.max_by("page_id", key).alias("last_page"))
+    if bucket_seconds:
+        a = a.withColumn("bucket", F.floor(ntz_to_epoch_millis("action_time") / (1000 * bucket_seconds)))
+    else:
+        a = a.withColumn("bucket", F.lit(0).cast("bigint"))
+    w = Window.partitionBy("session_id", "bucket").orderBy(*order)
+    return a.select("session_id", "bucket", "page_id",
+                    F.lead("page_id").over(w).alias("next_page_id"),
+                    F.lead("action_id").over(w).alias("_next_id"),
+                    F.row_number().over(w).alias("_rn"))
+
+
+def _bucket_links(x: DataFrame) -> DataFrame:
+    """Pairs across bucket borders: each bucket's last page -> next bucket's first page.
+
+    Built from the windowed rows themselves (first row: ``_rn = 1``; last
+    row: no successor), so it shares their shuffle; the stitching window
+    runs on one row per (session, bucket).
+    """
+    ends = (x.filter((F.col("_rn") == 1) | F.col("_next_id").isNull())
+            .groupBy("session_id", "bucket")
+            .agg(F.max(F.when(F.col("_rn") == 1, F.col("page_id"))).alias("first_page"),
+                 F.max(F.when(F.col("_next_id").isNull(), F.col("page_id"))).alias("last_page")))
     w_b = Window.partitionBy("session_id").orderBy("bucket")
-    cross = (ends.select("session_id", F.col("last_page").alias("page_id"),
-                         F.lead("first_page").over(w_b).alias("next_page_id"),
-                         F.lead("bucket").over(w_b).alias("_nb"))
-             .filter(F.col("_nb").isNotNull()).drop("_nb"))
-    return inner.unionByName(cross)
+    return (ends.select("session_id", F.col("last_page").alias("page_id"),
+                        F.lead("first_page").over(w_b).alias("next_page_id"),
+                        F.lead("bucket").over(w_b).alias("_nb"))
+            .filter(F.col("_nb").isNotNull()).drop("_nb"))
+
+
+def page_pairs(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """(session_id, page_id, next_page_id) for consecutive actions."""
+    x = _windowed(actions, bucket_seconds)
+    inner = x.filter(F.col("_next_id").isNotNull()).select("session_id", "page_id", "next_page_id")
+    if not bucket_seconds:
+        return inner
+    return inner.unionByName(_bucket_links(x))
+
+
+def flow_counts(actions: DataFrame, flow: str,
+                bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """D16 + D17 in one pass: (pos, page_pair, pair_count), position 0 = start-page views.
+
+    One global aggregate of conditional sums over every action row and the
+    bucket-border pairs (partial per task, one small final merge); the flow
+    parameter becomes literals, so no join is needed.
+    """
+    steps = flow_pairs(flow)
+    first = int(flow.split(",")[0])
+    x = _windowed(actions, bucket_seconds)
+    rows = x.select("page_id", "next_page_id", F.lit(True).alias("is_action"))
+    if bucket_seconds:
+        rows = rows.unionByName(_bucket_links(x).select("page_id", "next_page_id",
+                                                        F.lit(False).alias("is_action")))
+    sums = [F.sum(F.when(F.col("is_action") & (F.col("page_id") == first), 1).otherwise(0)).alias("c0")]
+    sums += [F.sum(F.when((F.col("page_id") == a) & (F.col("next_page_id") == b), 1).otherwise(0)).alias(f"c{p}")
+             for p, a, b in steps]
+    items = [F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("page_pair"),
+                      F.col("c0").cast("bigint").alias("pair_count"))]
+    items += [F.struct(F.lit(p).alias("pos"), F.lit(f"{a}_{b}").alias("page_pair"),
+                       F.col(f"c{p}").cast("bigint").alias("pair_count")) for p, a, b in steps]
+    return rows.agg(*sums).select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
 def page_pair_count(pairs: DataFrame, flow: DataFrame) -> DataFrame:
@@ -81,10 +123,14 @@ def chained_ratio(pair_counts: DataFrame, start: DataFrame) -> DataFrame:
     """
     base = start.select(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("page_pair"),
                         F.col("start_count").alias("pair_count"))
-    both = base.unionByName(pair_counts.select("pos", "page_pair", "pair_count"))
+    return ratios_from_counts(base.unionByName(pair_counts.select("pos", "page_pair", "pair_count")))
+
+
+def ratios_from_counts(counts: DataFrame) -> DataFrame:
+    """W4 over a flow-sized (pos, page_pair, pair_count) table with position 0 = start views."""
     w = Window.partitionBy().orderBy("pos")
     prev = F.lag("pair_count").over(w)
-    return (both.withColumn("ratio", F.try_divide(F.col("pair_count").cast("double"), prev))
+    return (counts.withColumn("ratio", F.try_divide(F.col("pair_count").cast("double"), prev))
             .filter(F.col("pos") > 0))
 
 

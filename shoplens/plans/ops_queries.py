@@ -354,7 +354,8 @@ def q_extract_quota(spark, sf):
 
 @register("random_extract", ov.sql(["actions"], _extract_sql("sessions"), _HOURLY))
 def q_random_extract(spark, sf):
-    s = ses.session_rollup(src.actions(spark, sf))
+    from shoplens.config import materialize
+    s = materialize(ses.session_rollup(src.actions(spark, sf)))
     return ses.session_output(sampling.sample_sessions(s, SAMPLE_TOTAL, SAMPLE_SEED))
 
 

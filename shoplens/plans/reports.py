@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shoplens.config import materialize
 from shoplens.functions.filters import SessionFilter
+from pyspark.sql import functions as F
 from shoplens.operators import categories as cat
 from shoplens.operators import pageflow as pf
 from shoplens.operators import regions, sampling
+from shoplens.operators.joins import bounded_broadcast
 from shoplens.operators import sessions as ses
 from shoplens.sources import tables as src
 
@@ -33,6 +36,7 @@ def report_random_extract(spark: SparkSession, sf_dir: str, start: str, end: str
                           params: SessionFilter, total: int = 100, seed: str = "shoplens") -> DataFrame:
     """... B4 -> D13 -> R1 -> R2."""
     _, s = filtered_sessions(spark, sf_dir, start, end, params)
+    s = materialize(s)          # read twice: hourly quotas and the draw
     return ses.session_output(sampling.sample_sessions(s, total, seed))
 
 
@@ -51,20 +55,27 @@ def report_top10_category(spark: SparkSession, sf_dir: str, start: str, end: str
 
 def report_top10_active_session(spark: SparkSession, sf_dir: str, start: str, end: str,
                                 params: SessionFilter, n: int = 10, per_category: int = 10) -> DataFrame:
-    """P3 -> C7 -> D15 -> W2."""
-    kept, top = top10_categories(spark, sf_dir, start, end, params, n)
-    clicks = cat.semi_top_categories(kept, top)
-    return cat.top_sessions_per_category(cat.session_category_clicks(clicks), per_category)
+    """P3 -> C7 -> D15 -> W2.
+
+    The kept actions are aggregated once to (category, session) funnel
+    counts and materialized; the top-10 list (D11 -> W6) and the session
+    clicks (D15) both come from that table, so the fact table is scanned
+    and shuffled once.
+    """
+    actions, s = filtered_sessions(spark, sf_dir, start, end, params)
+    per_session = materialize(cat.category_session_funnel(ses.semi_actions_in_sessions(actions, s)))
+    top = cat.top_categories(cat.funnel_from_sessions(per_session), n)
+    clicks = (per_session.filter(F.col("click_count") > 0)
+              .select("category_id", "session_id", F.col("click_count").cast("bigint").alias("click_count")))
+    top_ids = top.select("category_id")
+    return cat.top_sessions_per_category(clicks.join(bounded_broadcast(top_ids), "category_id", "left_semi"),
+                                         per_category)
 
 
 def page_conversion(actions: DataFrame, flow: str,
                     bucket_seconds: int | None = pf.DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """W3 -> D16 + D17 -> W4 on an action table."""
-    spark = actions.sparkSession
-    pairs = pf.page_pairs(actions, bucket_seconds)
-    counts = pf.page_pair_count(pairs, pf.flow_table(spark, flow))
-    first = int(flow.split(",")[0])
-    return pf.chained_ratio(counts, pf.start_page_count(actions, first))
+    return pf.ratios_from_counts(pf.flow_counts(actions, flow, bucket_seconds))
 
 
 def report_page_conversion(spark: SparkSession, sf_dir: str, start: str, end: str,

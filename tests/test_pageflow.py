@@ -46,3 +46,16 @@ def test_bucketed_pairs_equal_plain_lead(spark, items):
     plain = sorted(tuple(r) for r in pf.page_pairs(df, None).collect())
     for b in (1, 7, 60):
         assert sorted(tuple(r) for r in pf.page_pairs(df, b).collect()) == plain
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 300)), min_size=1, max_size=30),
+       st.sampled_from(["0,1,2,3", "1,1,1", "2,0", "3,2,1,0,1"]))
+def test_flow_counts_equal_pair_and_start_counts(spark, items, flow):
+    rows = [(i, f"s{s}", p, T0 + dt.timedelta(seconds=t)) for i, (s, p, t) in enumerate(items)]
+    df = _actions(spark, rows)
+    one_pass = {r["pos"]: r["pair_count"] for r in pf.flow_counts(df, flow, 60).collect()}
+    pairs = {r["pos"]: r["pair_count"] for r in pf.page_pair_count(pf.page_pairs(df, None),
+                                                                     pf.flow_table(spark, flow)).collect()}
+    start = pf.start_page_count(df, int(flow.split(",")[0])).first()[0]
+    assert one_pass == {0: start, **pairs}
