@@ -21,6 +21,7 @@ logs with the merge operators (M1-M4).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,14 +98,16 @@ class AdState:
         then always find a consistently partitioned table. ``blacklist``
         seeds users listed before the stream starts.
         """
+        writes = []
         for name in LOGS:
             schema = LOGS[name][0]
             marker = spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
             if name == "blacklist" and blacklist is not None:
                 marker = marker.unionByName(blacklist.select(F.col("user_id").cast("bigint")))
-            self.write(marker, name, -1)
+            writes.append(lambda m=marker, n=name: self.write(m, n, -1))
             if name in ADDITIVE:
-                self._write_snapshot(marker, name, -1)
+                writes.append(lambda m=marker, n=name: self._write_snapshot(m, n, -1))
+        _run_all(writes)
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         """Overwrite this batch's partitions of one log (idempotent on replay)."""
@@ -211,6 +214,13 @@ class AdState:
                 .select(*schemas.AD_PROVINCE_TOP3.names))
 
 
+def _run_all(jobs) -> None:
+    """Run independent Spark writes as concurrent jobs; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     """S2-S7 for one micro-batch (see the module docstring for the order)."""
     from pyspark.sql import Observation
@@ -234,19 +244,20 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
     new_users = append_distinct(blacklist.limit(0), listed, ["user_id"])    # M4 against ...
     new_users = new_users.join(blacklist, "user_id", "left_anti")           # ... the current list
-    state.write(new_users, "blacklist", batch_id)                            # S4
-
     stat_delta = ads.count_by(kept, ads.AD_STAT_KEYS)                        # S5
-    state.write(stat_delta, "ad_stat", batch_id)
+    trend_delta = ads.count_by(kept, ads.TREND_KEYS)                         # S7
+    _run_all([lambda: state.write(new_users, "blacklist", batch_id),         # S4
+              lambda: state.write(stat_delta, "ad_stat", batch_id),
+              lambda: state.write(trend_delta, "click_trend", batch_id)])
+
     touched = stat_delta.select(*ads.PROVINCE_KEYS).distinct()
     totals = (state.running(spark, "ad_stat", batch_id, snap, days)
               .join(touched, list(ads.PROVINCE_KEYS), "left_semi"))
-    state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id)  # S6 (M3 log form)
-    state.write(ads.count_by(kept, ads.TREND_KEYS), "click_trend", batch_id)  # S7
-
     got, k = seen.get, passed.get                                            # A7 / S2 tallies
     row = (got.get("lines", 0), got.get("malformed") or 0, got.get("valid") or 0, k.get("kept", 0))
-    state.write(spark.createDataFrame([row], LOGS["batches"][0]), "batches", batch_id)
+    tallies = spark.createDataFrame([row], LOGS["batches"][0])
+    _run_all([lambda: state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id),  # S6
+              lambda: state.write(tallies, "batches", batch_id)])
     kept.unpersist()
     parsed.unpersist()
     if state.compact_every and batch_id > 0 and batch_id % state.compact_every == 0:
