@@ -134,6 +134,16 @@ def session_ratio(sessions: DataFrame) -> DataFrame:
     return totals.select(*cols)
 
 
+def session_ratio_long(sessions: DataFrame) -> DataFrame:
+    """D6 long form: (measure, bucket, ratio) rows of the one-row report."""
+    wide = session_ratio(sessions)
+    items = [F.struct(F.lit("visit_length").alias("measure"), F.lit(n).alias("bucket"),
+                      F.col(f"visit_length_{n}").alias("ratio")) for n, _, _ in VISIT_LENGTH_BUCKETS]
+    items += [F.struct(F.lit("step_length").alias("measure"), F.lit(n).alias("bucket"),
+                       F.col(f"step_length_{n}").alias("ratio")) for n, _, _ in STEP_LENGTH_BUCKETS]
+    return wide.select(F.explode(F.array(*items)).alias("r")).select("r.*")
+
+
 def counter_map(sessions: DataFrame) -> DataFrame:
     """The name -> count map of the session accumulator, as rows.
 

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens import schemas
 from shoplens.operators import ads
@@ -45,6 +45,7 @@ LOGS = {
     "ad_stat": (schemas.AD_STAT, ("date",)),
     "province_top3": (schemas.AD_PROVINCE_TOP3, ("date",)),
     "click_trend": (schemas.AD_CLICK_TREND, ("date",)),
+    "malformed": (StructType([StructField("value", StringType())]), ()),
     "batches": (StructType([StructField("lines", LongType()), StructField("malformed", LongType()),
                             StructField("valid", LongType()), StructField("kept", LongType())]), ()),
 }
@@ -248,7 +249,8 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     trend_delta = ads.count_by(kept, ads.TREND_KEYS)                         # S7
     _run_all([lambda: state.write(new_users, "blacklist", batch_id),         # S4
               lambda: state.write(stat_delta, "ad_stat", batch_id),
-              lambda: state.write(trend_delta, "click_trend", batch_id)])
+              lambda: state.write(trend_delta, "click_trend", batch_id),
+              lambda: state.write(ads.malformed_lines(parsed).select("value"), "malformed", batch_id)])  # S1 side output
 
     touched = stat_delta.select(*ads.PROVINCE_KEYS).distinct()
     totals = (state.running(spark, "ad_stat", batch_id, snap, days)

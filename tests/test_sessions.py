@@ -107,3 +107,25 @@ def test_quota_equal_to_hour_count_takes_all(spark):
 def test_empty_input_gives_no_sample(spark):
     s = _sessions(spark, {3: 1}).limit(0)
     assert sampling.sample_sessions(s, total=100).count() == 0
+
+
+def test_session_ratio_long_form(spark):
+    sessions = spark.createDataFrame([(0, 1), (2, 2), (5, 4), (40, 70)], "visit_length long, step_length long")
+    rows = {(r["measure"], r["bucket"]): r["ratio"] for r in ses.session_ratio_long(sessions).collect()}
+    assert len(rows) == 15
+    assert rows[("visit_length", "1s_3s")] == 0.25 and rows[("step_length", "60")] == 0.25
+
+
+def test_category_universe_priority_rule(spark):
+    from shoplens.operators import categories as cat
+    rows = [(1, "s", 5, "6,7", None), (2, "s", None, "8", "9"), (3, "s", None, None, "9,9")]
+    df = spark.createDataFrame(rows, "action_id long, session_id string, click_category_id long, "
+                                     "order_category_ids string, pay_category_ids string")
+    # action 1: click 5 is the universe kind, orders 6 and 7 only count; action 2: order 8 wins over pay 9;
+    # action 3: pay 9 (listed twice, counted twice) puts 9 in the universe.
+    got = {r["category_id"]: (r["click_count"], r["order_count"], r["pay_count"])
+           for r in cat.category_funnel_counts(df).collect()}
+    assert got == {5: (1, 0, 0), 8: (0, 1, 0), 9: (0, 0, 3)}
+    assert sorted(r[0] for r in cat.category_universe(df).collect()) == [5, 8, 9]
+    assert sorted(tuple(r) for r in cat.left_join_category_counts(df).collect()) == [
+        (5, 1, 0, 0), (8, 0, 1, 0), (9, 0, 0, 3)]

@@ -58,6 +58,7 @@ def test_blacklist_stream_closed_form(spark, compact_every):
     top = sorted(tuple(r) for r in state.province_top3(spark).collect())
     assert top == [("2024-01-01", 1, 5, 4), ("2024-01-01", 1, 6, 2), ("2024-01-01", 1, 7, 1),
                    ("2024-01-01", 3, 8, 2)]
+    assert [r["value"] for r in state.log(spark, "malformed").collect()] == ["garbage line"]
     trend = state.click_trend(spark).filter("minute = '03'").collect()
     assert [(r["ad_id"], r["click_count"]) for r in trend] == [(6, 1)]
 
