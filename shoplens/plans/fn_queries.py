@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from shoplens.functions import scalar as fn
 from shoplens.operators import sessions as ses
 from shoplens.plans import oracle_views as ov
-from shoplens.plans.registry import _SESSIONS_SQL, _TIME, register
+from shoplens.plans.registry import register
+from shoplens.plans.report_queries import _SESSIONS_SQL, _TIME
 from shoplens.sources import tables as src
 
 _SESS = [("sessions", _SESSIONS_SQL)]

@@ -12,11 +12,12 @@ from shoplens.operators import regions, sampling
 from shoplens.operators import sessions as ses
 from shoplens.plans import oracle_views as ov
 from shoplens.plans import reports as rp
-from shoplens.plans.registry import (_P6_CTES, _SESSIONS_SQL, AREA_LEVEL_SQL, D40, END, FULL_FILTER,
-                                     REPORT_FILTER, SAMPLE_SEED, SAMPLE_TOTAL, SCAN_END, SCAN_START, START,
-                                     STEP_BUCKET_SQL, TARGET_FLOW, VISIT_BUCKET_SQL, _conversion_ctes,
-                                     _extract_sql, _filtered_sql, _funnel_ctes, _quota_ctes,
-                                     _session_ratio_sql, _TIME, _top_sessions_sql, register)
+from shoplens.plans.registry import ORACLES, register
+from shoplens.plans.report_queries import (
+    _P6_CTES, _SESSIONS_SQL, _TIME, AREA_LEVEL_SQL, D40, END, FULL_FILTER, REPORT_FILTER, SAMPLE_SEED,
+    SAMPLE_TOTAL, SCAN_END, SCAN_START, START, STEP_BUCKET_SQL, TARGET_FLOW, VISIT_BUCKET_SQL,
+    _conversion_ctes, _extract_sql, _filtered_sql, _funnel_ctes, _quota_ctes, _session_ratio_sql,
+    _top_sessions_sql)
 from shoplens.sources import tables as src
 
 _DATE = "'%Y-%m-%d'"
@@ -362,7 +363,6 @@ def q_random_extract(spark, sf):
 # ---------------------------------------------------------------- A: sinks and the SQL path
 
 from shoplens.config import scratch_path  # noqa: E402
-from shoplens.plans.registry import ORACLES  # noqa: E402
 from shoplens.sources import sinks  # noqa: E402
 
 
