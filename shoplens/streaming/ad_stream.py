@@ -15,8 +15,10 @@ one partition per ``batch_id`` (and per ``date`` for the big ones). A
 batch overwrites only its own partitions and reads only earlier ones,
 so replaying a batch after a failure (same ``batch_id``, same input, as
 Structured Streaming guarantees with a checkpoint) gives the same
-result: the sinks are idempotent. Current tables are folds over the
-logs with the merge operators (M1-M4).
+result: the sinks are idempotent. Current tables are set-based folds of
+the logs: M1 (``merge_add``) for the counts, M4 as a distinct over the
+append-only blacklist log, M3 as "rows of the last batch that touched
+each (date, province)" for the top 3.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens import schemas
 from shoplens.operators import ads
-from shoplens.operators.merge import append_distinct, merge_add, replace_groups
+from shoplens.operators.merge import merge_add
 
 # The reference job's batch interval and blacklist threshold.
 BATCH_INTERVAL = "5 seconds"
@@ -186,10 +188,8 @@ class AdState:
     # -- current tables: folds of the logs with the merge operators ---------
 
     def blacklist(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """A11 / M4 fold: every listed user once."""
-        log = self.log(spark, "blacklist", before)
-        empty = spark.createDataFrame([], schemas.AD_BLACKLIST)
-        return append_distinct(empty, log.select("user_id"), ["user_id"])
+        """A11 / M4 fold: every listed user once (the log only ever appends new users)."""
+        return self.log(spark, "blacklist", before).select("user_id").distinct()
 
     def user_click_counts(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """P8 / M1 fold: running clicks per (date, user, ad)."""
@@ -243,8 +243,7 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     days = sorted(passed.get.get("dates") or [])
     stored = ads.lookup_click_count(delta, state.running(spark, "counts", batch_id, snap, days))  # A12
     listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
-    new_users = append_distinct(blacklist.limit(0), listed, ["user_id"])    # M4 against ...
-    new_users = new_users.join(blacklist, "user_id", "left_anti")           # ... the current list
+    new_users = listed.join(blacklist, "user_id", "left_anti")              # M4: only users not yet listed
     stat_delta = ads.count_by(kept, ads.AD_STAT_KEYS)                        # S5
     trend_delta = ads.count_by(kept, ads.TREND_KEYS)                         # S7
     _run_all([lambda: state.write(new_users, "blacklist", batch_id),         # S4
