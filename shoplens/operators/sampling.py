@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens.operators.joins import bounded_broadcast
 from shoplens.operators.sessions import sessions_per_day, sessions_per_hour
 
 DEFAULT_SALT_BUCKETS = 64
@@ -51,8 +52,9 @@ def random_extract(sessions: DataFrame, quotas: DataFrame, seed: str = "shoplens
     s = sessions.withColumn("date", F.date_format("start_time", "yyyy-MM-dd")) \
                 .withColumn("hour", F.date_format("start_time", "HH")) \
                 .withColumn("_h", sample_order(seed))
-    # At most 24 rows a day of the range; joined plainly so AQE broadcasts it on its measured size.
-    q = quotas.select("date", "hour", "quota").filter(F.col("quota") > 0)
+    # Bounded by construction: at most 24 rows per day (a century of days is ~0.9M
+    # tiny rows), so it is broadcast and the sessions never shuffle by hour.
+    q = bounded_broadcast(quotas.select("date", "hour", "quota").filter(F.col("quota") > 0))
     s = s.join(q, ["date", "hour"], "inner")
     order = [F.col("_h"), F.col("session_id")]
     salt = F.pmod(F.xxhash64("session_id"), F.lit(salt_buckets))
