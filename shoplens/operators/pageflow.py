@@ -103,7 +103,7 @@ def page_pair_count(pairs: DataFrame, flow: DataFrame) -> DataFrame:
     f = bounded_broadcast(flow)   # one row per step of the flow parameter
     hits = (pairs.join(f, (pairs.page_id == f.from_page) & (pairs.next_page_id == f.to_page), "inner")
             .groupBy("pos").agg(F.count(F.lit(1)).alias("pair_count")))
-    return (flow.join(hits, "pos", "left")
+    return (flow.join(bounded_broadcast(hits), "pos", "left")   # one row per flow step at most
             .select("pos", pair_label("from_page", "to_page").alias("page_pair"),
                     F.coalesce("pair_count", F.lit(0)).alias("pair_count")))
 
