@@ -104,7 +104,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city"))
     joined = dimension_join(c, n, "c_nationkey", "left")
-    return joined.select(
+    rows = joined.select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("username"),
         F.col("c_name").alias("name"),
@@ -112,7 +112,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("professional"),
         F.col("city"),
         F.when(F.col("c_custkey") % 2 == 0, "male").otherwise("female").alias("sex"),
-    ).dropDuplicates(["user_id"])
+    )
+    # One row per user id (a duplicated id would fan out sessions in C1). The
+    # smallest row wins, so the choice is the same on every run and retry.
+    rest = [c for c in rows.columns if c != "user_id"]
+    return (rows.groupBy("user_id").agg(F.min(F.struct(*rest)).alias("r"))
+            .select("user_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
