@@ -31,11 +31,21 @@ def flow_table(spark: SparkSession, flow: str) -> DataFrame:
     return spark.createDataFrame(flow_pairs(flow) or [], "pos int, from_page bigint, to_page bigint")
 
 
-def _windowed(actions: DataFrame, bucket_seconds: int | None) -> DataFrame:
-    """One row per action with its successor inside its (session, bucket)."""
+def _windowed(actions: DataFrame, bucket_seconds: int | None,
+              range_chunks: int | None = None) -> DataFrame:
+    """One row per action with its successor inside its (session, chunk).
+
+    Chunks are contiguous in (session, time, id) order: a time bucket of
+    ``bucket_seconds``, or, with ``range_chunks``, a range partition of
+    (session, time, id) whose bounds Spark samples from the data, so even
+    one hot session-minute is cut across tasks (one extra shuffle).
+    """
     order = [F.col("action_time"), F.col("action_id")]
     a = actions.select("session_id", "page_id", "action_time", "action_id")
-    if bucket_seconds:
+    if range_chunks:
+        a = (a.repartitionByRange(range_chunks, "session_id", "action_time", "action_id")
+             .withColumn("bucket", F.spark_partition_id().cast("bigint")))
+    elif bucket_seconds:
         a = a.withColumn("bucket", F.floor(ntz_to_epoch_millis("action_time") / (1000 * bucket_seconds)))
     else:
         a = a.withColumn("bucket", F.lit(0).cast("bigint"))
@@ -64,17 +74,19 @@ def _bucket_links(x: DataFrame) -> DataFrame:
             .filter(F.col("_nb").isNotNull()).drop("_nb"))
 
 
-def page_pairs(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_pairs(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+               range_chunks: int | None = None) -> DataFrame:
     """(session_id, page_id, next_page_id) for consecutive actions."""
-    x = _windowed(actions, bucket_seconds)
+    x = _windowed(actions, bucket_seconds, range_chunks)
     inner = x.filter(F.col("_next_id").isNotNull()).select("session_id", "page_id", "next_page_id")
-    if not bucket_seconds:
+    if not bucket_seconds and not range_chunks:
         return inner
     return inner.unionByName(_bucket_links(x))
 
 
 def flow_counts(actions: DataFrame, flow: str,
-                bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                range_chunks: int | None = None) -> DataFrame:
     """D16 + D17 in one pass: (pos, page_pair, pair_count), position 0 = start-page views.
 
     One global aggregate of conditional sums over every action row and the
@@ -83,9 +95,9 @@ def flow_counts(actions: DataFrame, flow: str,
     """
     steps = flow_pairs(flow)
     first = int(flow.split(",")[0])
-    x = _windowed(actions, bucket_seconds)
+    x = _windowed(actions, bucket_seconds, range_chunks)
     rows = x.select("page_id", "next_page_id", F.lit(True).alias("is_action"))
-    if bucket_seconds:
+    if bucket_seconds or range_chunks:
         rows = rows.unionByName(_bucket_links(x).select("page_id", "next_page_id",
                                                         F.lit(False).alias("is_action")))
     sums = [F.sum(F.when(F.col("is_action") & (F.col("page_id") == first), 1).otherwise(0)).alias("c0")]

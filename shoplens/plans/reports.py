@@ -73,15 +73,16 @@ def report_top10_active_session(spark: SparkSession, sf_dir: str, start: str, en
 
 
 def page_conversion(actions: DataFrame, flow: str,
-                    bucket_seconds: int | None = pf.DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """W3 -> D16 + D17 -> W4 on an action table."""
-    return pf.ratios_from_counts(pf.flow_counts(actions, flow, bucket_seconds))
+                    bucket_seconds: int | None = pf.DEFAULT_BUCKET_SECONDS,
+                    range_chunks: int | None = None) -> DataFrame:
+    """W3 -> D16 + D17 -> W4 on an action table (``range_chunks``: see ``pageflow``)."""
+    return pf.ratios_from_counts(pf.flow_counts(actions, flow, bucket_seconds, range_chunks))
 
 
 def report_page_conversion(spark: SparkSession, sf_dir: str, start: str, end: str,
-                           flow: str = "1,2,3,4,5,6,7") -> DataFrame:
+                           flow: str = "1,2,3,4,5,6,7", range_chunks: int | None = None) -> DataFrame:
     """P5: A1 -> W3 -> D16 + D17 -> W4 (long form: pos, pair, count, ratio)."""
-    return page_conversion(src.actions(spark, sf_dir, 1, start, end), flow)
+    return page_conversion(src.actions(spark, sf_dir, 1, start, end), flow, range_chunks=range_chunks)
 
 
 def report_area_top3(spark: SparkSession, sf_dir: str, start: str, end: str, n: int = 3) -> DataFrame:

@@ -46,6 +46,19 @@ def test_bucketed_pairs_equal_plain_lead(spark, items):
     plain = sorted(tuple(r) for r in pf.page_pairs(df, None).collect())
     for b in (1, 7, 60):
         assert sorted(tuple(r) for r in pf.page_pairs(df, b).collect()) == plain
+    for n in (1, 3):
+        assert sorted(tuple(r) for r in pf.page_pairs(df, None, range_chunks=n).collect()) == plain
+
+
+def test_range_split_cuts_one_hot_session_minute(spark):
+    rows = [(i, "hot", i % 5, T0 + dt.timedelta(milliseconds=i)) for i in range(400)]
+    df = _actions(spark, rows)
+    plain = sorted(tuple(r) for r in pf.page_pairs(df, None).collect())
+    assert sorted(tuple(r) for r in pf.page_pairs(df, 60, range_chunks=8).collect()) == plain
+    x = pf._windowed(df, None, range_chunks=8)
+    assert x.select("bucket").distinct().count() > 1      # the single session-minute is split
+    one = {r["pos"]: r["pair_count"] for r in pf.flow_counts(df, "0,1,2", None, range_chunks=8).collect()}
+    assert one == {0: 80, 1: 80, 2: 80}
 
 
 @settings(max_examples=6, deadline=None)
