@@ -72,3 +72,8 @@ def test_flow_counts_equal_pair_and_start_counts(spark, items, flow):
                                                                      pf.flow_table(spark, flow)).collect()}
     start = pf.start_page_count(df, int(flow.split(",")[0])).first()[0]
     assert one_pass == {0: start, **pairs}
+
+
+def test_one_page_flow_has_no_ratios(spark):
+    rows = [(1, "a", 5, T0), (2, "a", 6, T0 + dt.timedelta(seconds=1))]
+    assert page_conversion(_actions(spark, rows), "5").count() == 0
