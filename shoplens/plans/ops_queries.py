@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shoplens.config import materialize, scratch_path
 from shoplens.functions import filters as flt
 from shoplens.functions import scalar as fn
 from shoplens.operators import categories as cat
@@ -18,6 +19,7 @@ from shoplens.plans.report_queries import (
     SAMPLE_TOTAL, SCAN_END, SCAN_START, START, STEP_BUCKET_SQL, TARGET_FLOW, VISIT_BUCKET_SQL,
     _conversion_ctes, _extract_sql, _filtered_sql, _funnel_ctes, _quota_ctes, _session_ratio_sql,
     _top_sessions_sql)
+from shoplens.sources import sinks
 from shoplens.sources import tables as src
 
 _DATE = "'%Y-%m-%d'"
@@ -355,15 +357,12 @@ def q_extract_quota(spark, sf):
 
 @register("random_extract", ov.sql(["actions"], _extract_sql("sessions"), _HOURLY))
 def q_random_extract(spark, sf):
-    from shoplens.config import materialize
     s = materialize(ses.session_rollup(src.actions(spark, sf)))
     return ses.session_output(sampling.sample_sessions(s, SAMPLE_TOTAL, SAMPLE_SEED))
 
 
 # ---------------------------------------------------------------- A: sinks and the SQL path
 
-from shoplens.config import scratch_path  # noqa: E402
-from shoplens.sources import sinks  # noqa: E402
 
 
 @register("temp_view", ORACLES["report_area_top3"])

@@ -26,7 +26,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -208,7 +208,6 @@ class AdState:
 
     def province_top3(self, spark: SparkSession) -> DataFrame:
         """S6 / P9 / M3 fold: per (date, province) the rows of the last batch that touched it."""
-        from pyspark.sql import Window
         log = self.log(spark, "province_top3")
         last = F.max("batch_id").over(Window.partitionBy(*ads.PROVINCE_KEYS))
         return (log.withColumn("_last", last).filter(F.col("batch_id") == F.col("_last"))
@@ -224,7 +223,6 @@ def _run_all(jobs) -> None:
 
 def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     """S2-S7 for one micro-batch (see the module docstring for the order)."""
-    from pyspark.sql import Observation
     spark = batch.sparkSession
     seen, passed = Observation("lines"), Observation("kept")
     parsed = ads.parse_ad_log(batch).persist()
