@@ -57,7 +57,11 @@ LOGS = {
 ADDITIVE = {"counts": ("date", "user_id", "ad_id"),
             "ad_stat": ("date", "province", "city", "ad_id"),
             "click_trend": ("date", "hour", "minute", "ad_id")}
+# Logs with snapshots: the additive ones and the blacklist (read every batch).
+SNAPSHOTTED = (*ADDITIVE, "blacklist")
 COMPACT_EVERY = 50
+# Largest number of batch partitions read through one path glob.
+MAX_GLOB = 2000
 
 
 def ad_log_stream(spark: SparkSession, source: str, fmt: str = "text", **options) -> DataFrame:
@@ -108,8 +112,9 @@ class AdState:
             if name == "blacklist" and blacklist is not None:
                 marker = marker.unionByName(blacklist.select(F.col("user_id").cast("bigint")))
             writes.append(lambda m=marker, n=name: self.write(m, n, -1))
-            if name in ADDITIVE:
-                writes.append(lambda m=marker, n=name: self._write_snapshot(m, n, -1))
+            if name in SNAPSHOTTED:
+                snap_marker = spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
+                writes.append(lambda m=snap_marker, n=name: self._write_snapshot(m, n, -1))
         _run_all(writes)
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
@@ -122,10 +127,26 @@ class AdState:
          .partitionBy("batch_id").parquet(self.path(name)))
 
     def log(self, spark: SparkSession, name: str, before: int | None = None,
-            upto: int | None = None) -> DataFrame:
-        """Rows of one log, optionally only batches ``< before`` or ``<= upto``."""
+            upto: int | None = None, after: int | None = None) -> DataFrame:
+        """Rows of one log, optionally only batches ``< before`` / ``<= upto`` / ``> after``.
+
+        With ``after`` and an upper bound, only those batch folders (and the
+        ``-1`` seed folder) are listed, through a path glob: the per-batch
+        reads never list the whole history.
+        """
         schema = LOGS[name][0]
-        df = spark.read.schema(self._schema(name)).parquet(self.path(name))
+        hi = (before - 1) if before is not None else upto
+        root = self.path(name)
+        if after is not None and hi is not None and 0 <= hi - after <= MAX_GLOB:
+            ids = ",".join(str(i) for i in [-1, *range(after + 1, hi + 1)])
+            df = (spark.read.schema(self._schema(name)).option("basePath", root)
+                  .parquet(f"{root}/batch_id={{{ids}}}"))
+            if after >= -1:
+                df = df.filter((F.col("batch_id") > after) | (F.col("batch_id") == -1))
+        else:
+            df = spark.read.schema(self._schema(name)).parquet(root)
+            if after is not None:
+                df = df.filter((F.col("batch_id") > after) | (F.col("batch_id") == -1))
         df = df.filter(~((F.col("batch_id") == -1) & F.col(schema.fields[0].name).isNull()))
         if before is not None:
             df = df.filter(F.col("batch_id") < before)
@@ -139,16 +160,35 @@ class AdState:
         return StructType(list(LOGS[name][0].fields) + [StructField("upto", LongType())])
 
     def _write_snapshot(self, df: DataFrame, name: str, upto: int) -> None:
-        # Partitioned by (upto, date): written once per compaction, and the
-        # per-batch lookups join on date, so dynamic partition pruning
-        # reads only the dates a batch touches.
+        # Partitioned by (upto, date): written once per compaction; per-batch
+        # lookups read only the days a batch touches.
         out = df.withColumn("upto", F.lit(upto).cast("bigint"))
-        (out.sortWithinPartitions("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("upto", "date").parquet(self.path(name + "_snapshot")))
+        parts = ("upto", "date") if "date" in df.columns else ("upto",)
+        if "date" in df.columns:
+            out = out.sortWithinPartitions("date")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(self.path(name + "_snapshot")))
+
+    def _read_snapshot(self, spark: SparkSession, name: str, ids) -> DataFrame:
+        root = self.path(name + "_snapshot")
+        glob = ",".join(str(i) for i in sorted(set(ids)))
+        return (spark.read.schema(self._snapshot_schema(name)).option("basePath", root)
+                .parquet(f"{root}/upto={{{glob}}}"))
 
     def latest_snapshot(self, spark: SparkSession, name: str, upto: int | None = None) -> int:
-        """Batch id of the newest snapshot at or before ``upto`` (-1: none)."""
-        snap = spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
+        """Batch id of the newest snapshot at or before ``upto`` (-1: none).
+
+        Snapshots are written at multiples of ``compact_every``, and batch
+        b+1 starts only after batch b (and its compaction) finished, so only
+        the last two candidates are listed. Without that knowledge (``upto``
+        unknown or compaction off) every snapshot folder is listed.
+        """
+        k = self.compact_every
+        if upto is not None and k:
+            c = (max(upto, 0) // k) * k
+            snap = self._read_snapshot(spark, name, [-1] + [x for x in (c, c - k) if 0 < x <= upto])
+        else:
+            snap = spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
         if upto is not None:
             snap = snap.filter(F.col("upto") <= upto)
         got = snap.agg(F.max("upto")).first()[0]
@@ -166,9 +206,8 @@ class AdState:
         """
         cols = LOGS[name][0].names
         s = self.latest_snapshot(spark, name, upto) if snapshot is None else snapshot
-        snap = (spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
-                .filter(F.col("upto") == s).filter(F.col(cols[0]).isNotNull()))
-        deltas = self.log(spark, name, upto=upto).filter(F.col("batch_id") > s)
+        snap = self._read_snapshot(spark, name, [s]).filter(F.col(cols[0]).isNotNull())
+        deltas = self.log(spark, name, upto=upto, after=s)
         if dates is not None:
             snap = snap.filter(F.col("date").isin(list(dates)))
             deltas = deltas.filter(F.col("date").isin(list(dates)))
@@ -180,16 +219,26 @@ class AdState:
         Deterministic for a given ``upto``, so re-running it after a failure
         rewrites the same snapshot. Older deltas are no longer read.
         """
+        # Fold from the snapshot before ``upto`` so the partition being written
+        # is never also read by the same job.
+        prev = self.latest_snapshot(spark, "counts", upto - 1)
         for name, keys in ADDITIVE.items():
-            rows = self.running(spark, name, upto)
+            rows = self.running(spark, name, upto, snapshot=prev)
             folded = merge_add(rows.limit(0), rows, keys).select(*LOGS[name][0].names)
             self._write_snapshot(folded, name, upto)
+        users = self.blacklist(spark, before=upto + 1, snapshot=self.latest_snapshot(spark, "blacklist", upto - 1))
+        self._write_snapshot(users, "blacklist", upto)
 
     # -- current tables: folds of the logs with the merge operators ---------
 
-    def blacklist(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """A11 / M4 fold: every listed user once (the log only ever appends new users)."""
-        return self.log(spark, "blacklist", before).select("user_id").distinct()
+    def blacklist(self, spark: SparkSession, before: int | None = None,
+                  snapshot: int | None = None) -> DataFrame:
+        """A11 / M4 fold: every listed user once (newest snapshot + later log batches)."""
+        s = snapshot if snapshot is not None else self.latest_snapshot(
+            spark, "blacklist", None if before is None else before - 1)
+        snap = self._read_snapshot(spark, "blacklist", [s]).filter(F.col("user_id").isNotNull())
+        later = self.log(spark, "blacklist", before, after=s)
+        return snap.select("user_id").unionByName(later.select("user_id")).distinct()
 
     def user_click_counts(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """P8 / M1 fold: running clicks per (date, user, ad)."""
