@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens import schemas
 from shoplens.operators import ads
-from shoplens.operators.merge import merge_add
+from shoplens.operators.merge import merge_add, replace_groups
 
 # The reference job's batch interval and blacklist threshold.
 BATCH_INTERVAL = "5 seconds"
@@ -58,7 +58,7 @@ ADDITIVE = {"counts": ("date", "user_id", "ad_id"),
             "ad_stat": ("date", "province", "city", "ad_id"),
             "click_trend": ("date", "hour", "minute", "ad_id")}
 # Logs with snapshots: the additive ones and the blacklist (read every batch).
-SNAPSHOTTED = (*ADDITIVE, "blacklist")
+SNAPSHOTTED = (*ADDITIVE, "blacklist", "province_top3")
 COMPACT_EVERY = 50
 # Largest number of batch partitions read through one path glob.
 MAX_GLOB = 2000
@@ -228,6 +228,8 @@ class AdState:
             self._write_snapshot(folded, name, upto)
         users = self.blacklist(spark, before=upto + 1, snapshot=self.latest_snapshot(spark, "blacklist", upto - 1))
         self._write_snapshot(users, "blacklist", upto)
+        top = self.province_top3(spark, upto, snapshot=self.latest_snapshot(spark, "province_top3", upto - 1))
+        self._write_snapshot(top, "province_top3", upto)
 
     # -- current tables: folds of the logs with the merge operators ---------
 
@@ -255,12 +257,20 @@ class AdState:
         rows = self.running(spark, "click_trend", upto)
         return merge_add(rows.limit(0), rows, ads.TREND_KEYS).select(*schemas.AD_CLICK_TREND.names)
 
-    def province_top3(self, spark: SparkSession) -> DataFrame:
-        """S6 / P9 / M3 fold: per (date, province) the rows of the last batch that touched it."""
-        log = self.log(spark, "province_top3")
+    def province_top3(self, spark: SparkSession, upto: int | None = None,
+                      snapshot: int | None = None) -> DataFrame:
+        """S6 / P9 / M3 fold: per (date, province) the rows of the last batch that touched it.
+
+        The snapshot's groups are replaced (``replace_groups``) by the
+        latest rows of every group touched in the batches after it.
+        """
+        cols = schemas.AD_PROVINCE_TOP3.names
+        s = snapshot if snapshot is not None else self.latest_snapshot(spark, "province_top3", upto)
+        snap = self._read_snapshot(spark, "province_top3", [s]).filter(F.col("date").isNotNull()).select(*cols)
+        later = self.log(spark, "province_top3", upto=upto, after=s)
         last = F.max("batch_id").over(Window.partitionBy(*ads.PROVINCE_KEYS))
-        return (log.withColumn("_last", last).filter(F.col("batch_id") == F.col("_last"))
-                .select(*schemas.AD_PROVINCE_TOP3.names))
+        latest = (later.withColumn("_last", last).filter(F.col("batch_id") == F.col("_last")).select(*cols))
+        return replace_groups(snap, latest, ads.PROVINCE_KEYS)
 
 
 def _run_all(jobs) -> None:
