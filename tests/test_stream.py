@@ -38,8 +38,9 @@ def run(spark, base, slices, compact_every=st.COMPACT_EVERY):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("compact_every", [st.COMPACT_EVERY, 1])
-def test_blacklist_stream_closed_form(spark, compact_every):
+@pytest.mark.parametrize("compact_every,max_glob", [(st.COMPACT_EVERY, st.MAX_GLOB), (1, st.MAX_GLOB), (0, 0)])
+def test_blacklist_stream_closed_form(spark, compact_every, max_glob, monkeypatch):
+    monkeypatch.setattr(st, "MAX_GLOB", max_glob)   # 0: every read lists the whole log
     base = tempfile.mkdtemp(prefix="shoplens-stream-")
     state = run(spark, base, SLICES, compact_every)
     if compact_every == 1:
