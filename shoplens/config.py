@@ -1,14 +1,14 @@
 """Session construction and the shared working folder.
 
 Everything that must outlive one task (stream checkpoints, state logs,
-lineage cuts) goes under the folder named by ``spark.checkpoint.dir``.
-On a cluster that setting must point at shared storage (HDFS, S3, ...);
-only a local-mode session without it gets a private temporary folder.
+lineage cuts) goes under the folder named by ``spark.checkpoint.dir``,
+or, where that is unset, under the session's warehouse folder. Both are
+shared by driver and executors on a cluster; no machine-local temporary
+folder is ever used.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -42,20 +43,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and state; read from the session.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it. Only a local
-    session without it gets its own temporary folder (as in tests).
+    ``spark.checkpoint.dir`` when set, else a folder inside the session's
+    ``spark.sql.warehouse.dir``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if not current:
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -63,6 +60,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store(df, name: str):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but columnar and compressed: readers
+    prune columns, and a lost executor re-reads files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df):
     """Compute ``df`` once and cut its lineage (a reliable checkpoint).
 

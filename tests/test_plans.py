@@ -2,11 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
-from shoplens.plans import stream_queries
+from shoplens.plans import registry, stream_queries
 from tests.conftest import SF_SMALL
 
-STREAM_KEYS = {k for k in E.queries() if k.startswith(("stream_", "report_ad_", "report_province", "report_click",
+STREAM_KEYS = {k for k in registry.queries() if k.startswith(("stream_", "report_ad_", "report_province", "report_click",
                                                          "ad_log_source"))}
 
 
@@ -14,35 +13,35 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAM_KEYS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - STREAM_KEYS))
 def test_no_cartesian_no_python(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(registry.queries()[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in p, (name, bad)
 
 
 def test_date_range_reaches_parquet(spark):
-    df = E.queries()["scan_actions_by_date"](spark, SF_SMALL)
+    df = registry.queries()["scan_actions_by_date"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in p and "LessThan(ts" in p
 
 
 def test_column_pruning(spark):
-    df = E.queries()["category_click_count"](spark, SF_SMALL)
+    df = registry.queries()["category_click_count"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "value:" not in p and "ReadSchema: struct<event_type:string,props:string>" in p
 
 
 def test_top_k_per_group_is_partial(spark):
-    df = E.queries()["area_top3"](spark, SF_SMALL)
+    df = registry.queries()["area_top3"](spark, SF_SMALL)
     df.collect()
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p
 
 
 def test_global_top10_is_take_ordered(spark):
-    df = E.queries()["top10_categories"](spark, SF_SMALL)
+    df = registry.queries()["top10_categories"](spark, SF_SMALL)
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
 
 
