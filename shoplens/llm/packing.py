@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from shoplens.config import store
 from shoplens.llm.common import row_slices, texts_of, with_row_key
 from shoplens.llm.window_plan import plan_windows
+from shoplens.llm.word_ids import word_encoder
 
 CAPACITY = 4096
 #: Salts that split the ranking of one remainder length.
@@ -40,9 +41,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from shoplens.llm.word_ids import WordEncoder
-
-        encoder = WordEncoder(tokenizer_path)
+        encoder = word_encoder(tokenizer_path)
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in row_slices([4 * len(t) for t in texts]):

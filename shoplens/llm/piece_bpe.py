@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -129,11 +130,17 @@ class PieceEncoder:
         return self._library.decode([np.frombuffer(x, dtype="<u4").tolist() for x in ids], num_threads=1)
 
 
+@lru_cache(maxsize=2)
+def piece_encoder(model_file: str) -> PieceEncoder:
+    """One encoder per Python worker: tasks that follow find its cache filled."""
+    return PieceEncoder(model_file)
+
+
 def encode_decode(docs: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, ids, decoded) of every text; ids are 4-byte little-endian."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(model_file)
+        encoder = piece_encoder(model_file)
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in row_slices([4 * len(t) for t in texts]):

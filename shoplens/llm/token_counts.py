@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -36,15 +37,21 @@ from shoplens.llm.common import texts_of
 BLOCK = 1024
 
 
+@lru_cache(maxsize=2)
+def rank_encoding(ranks_path: str, pattern: str):
+    """The encoding of a rank-file vocabulary, loaded once per Python worker."""
+    import tiktoken
+
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 def document_lengths(docs: DataFrame, ranks_path: str, pattern: str, group: str) -> DataFrame:
     """(grp, length): encoded length of every text under a rank-file vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoding = rank_encoding(ranks_path, pattern)
         for batch in batches:
             lengths = [len(encoding.encode_ordinary(t)) for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["grp", "length"])

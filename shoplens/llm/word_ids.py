@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -61,3 +62,9 @@ class WordEncoder:
             for i, found in zip(whole, self._library([texts[i] for i in whole])):
                 out[i] = found
         return out
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder per Python worker: tasks that follow find its cache filled."""
+    return WordEncoder(path)
