@@ -23,8 +23,10 @@ _LETTER = "a-zªµºß-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
 _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
 
-#: Words kept; beyond it the cache starts anew (about 200 bytes a word).
-CACHE_WORDS = 1 << 19
+#: Words per generation of the cache; two are kept (about 200 bytes a word).
+CACHE_WORDS = 400_000
+#: Unseen words that go to the tokenizer as one text.
+JOINED = 256
 
 
 class WordEncoder:
@@ -37,27 +39,58 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._limit = cache_words
         self._ids: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        vocab = self._tokenizer.get_vocab()
+        self._ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self._ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words; every word's last piece carries the word-end mark."""
+        out: list[bytes] = []
+        runs = [words[k:k + JOINED] for k in range(0, len(words), JOINED)]
+        for run, ids in zip(runs, self._library([" ".join(r) for r in runs])):
+            ends = (np.flatnonzero(self._ends_word[np.frombuffer(ids, "<u4")]) + 1) * 4
+            if len(ends) == len(run):
+                out.extend(ids[lo:hi] for lo, hi in zip([0, *ends.tolist()], ends.tolist()))
+            else:
+                out.extend(self._library(run))
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self._ids) > self._limit:
+            self._older, self._ids = self._ids, {}
+        older = self._older
+        known = {w: older[w] for w in words if w in older} if older else {}
+        unseen = list(words.difference(known)) if known else list(words)
+        self._ids.update(known)
+        self._ids.update(zip(unseen, self._encode_words(unseen)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        whole, split = [], []
+        out: list[bytes] = [b""] * len(texts)
+        whole, gaps, unseen = [], [], set()
+        find = self._ids.get
         for i, text in enumerate(texts):
             if _OTHER.search(text):
                 whole.append(i)
+                continue
+            words = _WORD.findall(text.lower())
+            ids = list(map(find, words))
+            if None in ids:
+                new = {k: words[k] for k, x in enumerate(ids) if x is None}
+                unseen.update(new.values())
+                gaps.append((i, ids, new))
             else:
-                split.append((i, _WORD.findall(text.lower())))
-        if len(self._ids) > self._limit:
-            self._ids = {}
-        unseen = list(set().union(*(words for _, words in split)).difference(self._ids)) if split else []
-        if unseen:
-            self._ids.update(zip(unseen, self._library(unseen)))
-        ids = self._ids.__getitem__
-        for i, words in split:
-            out[i] = b"".join(map(ids, words))
+                out[i] = b"".join(ids)
+        if gaps:
+            self._learn(unseen)
+            for i, ids, new in gaps:
+                for k, word in new.items():
+                    ids[k] = self._ids[word]
+                out[i] = b"".join(ids)
         if whole:
             for i, found in zip(whole, self._library([texts[i] for i in whole])):
                 out[i] = found
