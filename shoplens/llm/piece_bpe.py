@@ -20,6 +20,7 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -32,9 +33,11 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import row_slices, texts_of
 
 SPACE = "▁"
-#: Chunks kept; beyond it the cache starts anew (about 250 bytes a chunk).
-CACHE_CHUNKS = 1 << 19
-_CHUNK = re.compile(rf"{SPACE}*[^\W\d_{SPACE}]+|{SPACE}*(?:[\d_]|[^\w{SPACE}])+|{SPACE}+")
+#: Chunks per generation of the cache; two are kept (about 200 bytes a chunk).
+CACHE_CHUNKS = 400_000
+#: Numerals that the regular expressions' word class counts among the letters.
+_NUMERAL = "²³¹¼-¾⁰-ₙ⅐-↉①-⓿❶-➓"
+_CHUNK = re.compile(rf"{SPACE}*[^\W\d_{_NUMERAL}]+|{SPACE}*(?:[\d_{_NUMERAL}]|[^\w{SPACE}])+|{SPACE}+")
 
 
 class PieceEncoder:
@@ -60,6 +63,7 @@ class PieceEncoder:
         # A piece may begin with space marks; the rest must be one chunk for texts to be cut.
         self._cut = all(_CHUNK.fullmatch(piece) for piece in self._id)
         self._cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._probe = len(sp.encode("\n"))           # ids of the space mark and of a line feed
 
     def merge(self, chunk: str) -> list[int]:
@@ -99,29 +103,45 @@ class PieceEncoder:
                 out.extend(self._byte[b] for b in s.encode())
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: set[str]) -> None:
         """Encode new chunks and compare each with the library."""
+        if len(self._cache) > self._limit:
+            self._older, self._cache = self._cache, {}
+        known = {c: self._older[c] for c in chunks if c in self._older}
+        self._cache.update(known)
+        new = list(chunks.difference(known))
         # A line feed in front keeps the library's own space mark away from the chunk.
-        theirs = self._library.encode(["\n" + c.replace(SPACE, " ") for c in chunks], num_threads=1)
-        for chunk, found in zip(chunks, theirs):
+        theirs = self._library.encode(["\n" + c.replace(SPACE, " ") for c in new], num_threads=1)
+        for chunk, found in zip(new, theirs):
             ids = self.merge(chunk)
             if ids != found[self._probe:]:
                 raise ValueError(f"agenda and library differ on {chunk!r}: {ids} and {found[self._probe:]}")
-            self._cache[chunk] = np.asarray(ids, dtype="<u4").tobytes()
+            self._cache[chunk] = array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids between the begin and end ids, as little-endian unsigned 32-bit bytes."""
-        marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
-        chunks = [_CHUNK.findall(m) for m in marked] if self._cut else [[m] if m else [] for m in marked]
-        if len(self._cache) > self._limit:
-            self._cache = {}
-        self._learn(list(set().union(*chunks).difference(self._cache)))
-        ids = self._cache.__getitem__
-        begin, end = (np.asarray([x], dtype="<u4").tobytes() for x in (self._begin, self._end))
-        out = [begin + b"".join(map(ids, c)) + end for c in chunks]
+        lists, gaps, unseen = [], [], set()
+        find = self._cache.get
+        for i, text in enumerate(texts):
+            marked = SPACE + text.replace(" ", SPACE) if text else ""
+            chunks = _CHUNK.findall(marked) if self._cut else [marked] * bool(marked)
+            ids = list(map(find, chunks))
+            if None in ids:
+                new = {k: chunks[k] for k, x in enumerate(ids) if x is None}
+                unseen.update(new.values())
+                gaps.append((i, new))
+            lists.append(ids)
+        if gaps:
+            self._learn(unseen)
+            for i, new in gaps:
+                ids = lists[i]
+                for k, chunk in new.items():
+                    ids[k] = self._cache[chunk]
+        begin, end = (array("I", [x]).tobytes() for x in (self._begin, self._end))
+        out = [begin + b"".join(ids) + end for ids in lists]
         if texts:
             whole = self._library.encode(texts[0], add_bos=True, add_eos=True)
-            if np.asarray(whole, dtype="<u4").tobytes() != out[0]:
+            if array("I", whole).tobytes() != out[0]:
                 raise ValueError("agenda and library differ on a whole text")
         return out
 
