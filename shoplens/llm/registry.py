@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chunk_dedup, packing, piece_bpe, token_counts
+from shoplens.llm import chunk_dedup, host_rules, packing, piece_bpe, token_counts
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -60,8 +60,16 @@ def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    judged, names = host_rules.judge(docs, carry=["doc_id"])
+    return judged.select("doc_id", *[f"{names['metrics']}.{m}" for m in host_rules.METRICS[:5]],
+                         F.col(names["base_failed"]).alias("base_failed"), F.col(names["kept"]).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op5_exact_dedup, op8_sentencepiece)}
+    f.__name__: f for f in (op2_token_counts, op3_packing, op5_exact_dedup, op8_sentencepiece,
+                                op9_quality_rules)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
 
