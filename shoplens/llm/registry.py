@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chunk_dedup, host_rules, packing, piece_bpe, token_counts
+from shoplens.llm import chunk_dedup, host_rules, packing, piece_bpe, pii_votes, token_counts
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -53,6 +53,24 @@ FROM d
 """
 
 
+def _kind(k: int) -> Callable[[Column], Column]:
+    return lambda s: s["kind"] == k
+
+
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found, spans = pii_votes.find_spans(table(spark, sf, "documents"), carry=["doc_id"])
+    names = F.array(*[F.lit(k) for k in pii_votes.KINDS])
+
+    def listed(a: Column) -> Column:
+        return F.concat_ws(",", F.transform(a, lambda s: F.concat_ws(
+            ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
+
+    counts = [F.size(F.filter(spans, _kind(k))).cast("bigint").alias(f"n_{kind}")
+              for k, kind in enumerate(pii_votes.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(F.encode(listed(F.filter(spans, lambda s: s["base"])), "UTF-8"), 256)
+                        .alias("base_sha256"), listed(F.col(spans)).alias("spans"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     done = piece_bpe.encode_decode(table(spark, sf, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return done.select("doc_id", F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
@@ -68,7 +86,7 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op5_exact_dedup, op8_sentencepiece,
+    f.__name__: f for f in (op2_token_counts, op3_packing, op5_exact_dedup, op7_pii, op8_sentencepiece,
                                 op9_quality_rules)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
