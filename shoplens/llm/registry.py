@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chunk_dedup, host_rules, packing, piece_bpe, pii_votes, token_counts
+from shoplens.llm import chunk_dedup, host_rules, packing, piece_bpe, pii_votes, set_join, token_counts
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -85,9 +85,14 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
                          F.col(names["base_failed"]).alias("base_failed"), F.col(names["kept"]).alias("kept"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    docs = set_join.keyed(table(spark, sf, "documents"), ["doc_id", "text"])
+    return set_join.set_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_token_counts, op3_packing, op5_exact_dedup, op7_pii, op8_sentencepiece,
-                                op9_quality_rules)}
+                                op9_quality_rules, op10_jaccard_join)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
 
