@@ -15,18 +15,17 @@ Index      A set is listed under the first shingles of its order, as many as
 lists.     a partner may lack. A list holds (set, size, position). If x and y
            link, the first shingle they share stands at positions i and j with
            ``i + j <= |x ^ y| <= slack(|x|, |y|)``.
-Pivots     In each list the smallest set is a candidate for all others (one
-(answers   pair per row, not all pairs). Candidates are verified and a set
-reused).   follows the first verified pivot; its distance to it is kept.
-Blocks     A list's rows with the same pivot form one block with its smallest
-(skipped   position and range of sizes. Pairs of blocks whose positions or
-by         sizes cannot meet the bound are skipped; the others give one pair
-position). of pivots, whatever their numbers of rows.
-Derived    The verified distance d(p, q) of two pivots answers for their
-answers.   followers: ``d(x, y) >= d(p, q) - d(p, x) - d(q, y)``. If p and q
-           link, all their followers are connected already. If no followers
-           can come within the bound, the pair is done. Only followers that
-           can are compared, and verified.
+Short      Lists of up to ``COMMON`` rows give their pairs directly.
+Pivots     In a longer list the most listed set is compared with the others (a
+(answers   pair per row, not all pairs). Linked ones follow it; the others keep
+reused).   their distance to it and draw again, ``ROUNDS`` times. Followers of
+           one pivot are connected, so its answers serve for theirs.
+Skipping   What is left open in long lists is compared in parts of ``PART``
+by         rows. Skipped without a look at the sets: pairs already connected,
+position.  positions or sizes that rule a link out, pairs whose distances d to
+           the same pivot p differ by more than a link allows
+           (``d(x, y) >= |d(p, x) - d(p, y)|``), and pairs whose parity maps
+           differ too much. Only the rest leaves the task.
 
 Verification first compares parity bitmaps (a lower bound of the
 distance, as exact as their length allows), then the sets themselves,
@@ -51,13 +50,18 @@ from pyspark.sql import functions as F
 from shoplens.config import store
 from shoplens.llm.common import row_slices, texts_of, with_row_key
 from shoplens.llm.components import connected_components
+from shoplens.llm.list_compare import near_pairs, parity_bits, parity_distance
 from shoplens.llm.shingles import shingle_set
 
 WIDTH = 4
 #: Similarity as a ratio of integers: at least NUM / DEN.
 NUM, DEN = 85, 100
-#: Sets that may hold a shingle before it counts as common.
-COMMON = 24
+#: Sets that may hold a shingle before it counts as common; rows of a short list.
+COMMON = 8
+#: Rounds of pivots in long lists; what they leave open is compared in full.
+ROUNDS = 3
+#: Rows of a long list that one comparison holds.
+PART = 2048
 #: Bits of the map of common shingles (8 MB).
 MAP_BITS = 1 << 26
 #: Share of the hash range whose shingles are counted: 1 / 2 ** RANGE_BITS.
@@ -107,22 +111,6 @@ def common_map(shingles: DataFrame, common: int, bits: int) -> np.ndarray:
     return out
 
 
-def parity_bits(hashes: np.ndarray) -> bytes:
-    """Bit k: parity of the hashes that fall on k; as many bits as a power of two >= the set, 64 at least."""
-    n = max(64, 1 << (len(hashes) - 1).bit_length())
-    counts = np.bincount((hashes % np.uint64(n)).astype(np.int64), minlength=n)
-    return np.packbits(counts.astype(np.uint8) & 1, bitorder="little").tobytes()
-
-
-def parity_distance(a: bytes, b: bytes) -> int:
-    """A lower bound of the symmetric difference; the longer map is folded onto the shorter."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if len(x) < len(y):
-        x, y = y, x
-    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
-    return int(np.bitwise_count(x ^ y).sum())
-
-
 def sets_table(docs: DataFrame, marked: np.ndarray, width: int, num: int, den: int) -> DataFrame:
     """(doc_id, text, n, digest, parity, prefix) of every row."""
     spark = docs.sparkSession
@@ -201,6 +189,107 @@ def distances(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, n
     return store(checked.unionByName(far), "set_distances")
 
 
+def _pivot_round(long: DataFrame, follow: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, num: int,
+                 den: int, common: int, turn: int) -> DataFrame | None:
+    """(node, pivot, dist, linked) of one round; None where no list has many rows without a pivot.
+
+    A list's pivot is its row listed most often: of a family of near copies
+    the one with the fewest words of its own. Ties fall to a hash.
+    """
+    done = follow.filter("linked").select("node").distinct()
+    loose = long.join(done, "node", "left_anti")
+    drawn = F.struct("score", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "pos")
+    heads = (loose.groupBy("shingle").agg(F.count(F.lit(1)).alias("left"), F.max(drawn).alias("head"))
+             .filter(F.col("left") > common))
+    heads = store(heads.select("shingle", F.col("head.node").alias("a"), F.col("head.n").alias("na"),
+                               F.col("head.pos").alias("pa")), "list_heads")
+    if heads.isEmpty():
+        return None
+    met = (loose.join(heads, "shingle").filter(
+        (F.col("a") != F.col("node")) & _sizes_fit(F.least("n", "na"), F.greatest("n", "na"), num, den)
+        & (F.col("pos") + F.col("pa") <= slack(F.col("n"), F.col("na"), num, den)))
+        .select("a", F.col("node").alias("b")).distinct())
+    met = distances(met, nodes, texts, width, num, den).filter("exact")
+    chosen = heads.select(F.col("a").alias("node")).distinct()
+    # One pivot a row and round: a linked one if there is any, else one at a known distance.
+    best = F.min(F.struct((~F.col("linked")).alias("apart"), F.xxhash64("a", F.lit(turn)).alias("h"), "a", "d"))
+    met = (met.groupBy(F.col("b").alias("node")).agg(best.alias("best")).join(chosen, "node", "left_anti")
+           .select("node", F.col("best.a").alias("pivot"), F.col("best.d").alias("dist"),
+                   (~F.col("best.apart")).alias("linked")))
+    return store(met.unionByName(chosen.select("node", F.col("node").alias("pivot"), F.lit(0).cast("bigint").alias("dist"),
+                                               F.lit(True).alias("linked"))), "pivot_round")
+
+
+def _open_pairs(long: DataFrame, follow: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): pairs of sets in long lists that neither labels, positions, sizes, known
+    distances nor parity maps settle.
+
+    Lists are dealt in parts of about ``PART`` rows; a task compares one
+    part, or two parts with each other, at a time.
+    """
+    anchor = follow.groupBy("node").agg(F.min(F.struct("pivot", "dist")).alias("k")).select(
+        "node", F.col("k.pivot").alias("anchor"), F.col("k.dist").alias("dist"))
+    rows = (long.join(labels, "node", "left").join(anchor, "node", "left").select(
+        "shingle", "node", "n", "pos", F.coalesce("component", "node").alias("label"),
+        F.coalesce("anchor", "node").alias("anchor"), F.coalesce("dist", F.lit(0)).alias("dist"), "parity"))
+    rows = store(rows, "open_rows")
+    lists = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("pos").alias("first"),
+                                         F.min("label").alias("l0"), F.max("label").alias("l1"))
+             .filter("l0 <> l1").select("shingle", F.ceil(F.col("held") / PART).cast("int").alias("parts"), "first"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = (rows.join(store(lists, "open_lists"), "shingle")
+             .filter(F.col("pos") + F.col("first") <= F.floor(F.col("n") * ((den - num) / num)))
+             .withColumn("part", part)
+             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("shingle", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"),
+                     "part", "node", "n", "pos", "label", "anchor", "dist", "parity"))
+    key = ["shingle", "i", "j"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None                                    # rows of a group that may go on in the next batch
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            left, full = _cut_last(rows if left is None else pa.concat_tables([left, rows]).combine_chunks(), key)
+            yield from _compared(full, key, num, den)
+        if left is not None:
+            yield from _compared(left, key, num, den)
+
+    return (dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long").distinct())
+
+
+def _group_ends(rows: pa.Table, key: list[str]) -> np.ndarray:
+    change = np.zeros(max(len(rows) - 1, 0), bool)
+    for k in key:
+        x = rows[k].to_numpy()
+        change |= x[1:] != x[:-1]
+    return np.flatnonzero(change) + 1
+
+
+def _cut_last(rows: pa.Table, key: list[str]) -> tuple[pa.Table, pa.Table]:
+    """(rows of the last group, the rows before it)."""
+    ends = _group_ends(rows, key)
+    at = int(ends[-1]) if len(ends) else 0
+    return rows.slice(at), rows.slice(0, at)
+
+
+def _compared(rows: pa.Table, key: list[str], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Open pairs of each group of ``rows``."""
+    if not len(rows):
+        return
+    columns = {c: rows[c].to_numpy() for c in ("i", "j", "part", "node", "n", "pos", "label", "anchor", "dist")}
+    parity = rows["parity"].to_pylist()
+    ends = _group_ends(rows, key).tolist() + [len(rows)]
+    lo, out = 0, set()
+    for hi in ends:
+        c = {k: v[lo:hi] for k, v in columns.items()}
+        out.update((min(p), max(p)) for p in near_pairs(
+            c["node"], c["n"], c["pos"], c["label"], c["anchor"], c["dist"], parity[lo:hi], c["part"],
+            bool(c["i"][0] != c["j"][0]), num, den))
+        lo = hi
+    a, b = ([p[k] for p in out] for k in (0, 1))
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN, common: int = COMMON,
                    map_bits: int = MAP_BITS, range_bits: int = RANGE_BITS) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, links_found) of every row of ``docs``.
@@ -218,59 +307,37 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
     texts = rows.select(F.col("row").alias("node"), "text")
 
     listed = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    heads = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("n", "node")).alias("head"))
-    live = store(listed.join(heads.filter("held > 1"), "shingle").select(
-        "shingle", "node", "n", "pos", F.col("head.n").alias("head_n"), F.col("head.node").alias("head")), "index_lists")
-
-    # Pivots: each list's smallest set against the list's other rows.
-    firsts = (live.filter((F.col("head") != F.col("node")) & _sizes_fit(F.col("head_n"), F.col("n"), num, den))
-              .select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-    to_pivot = distances(firsts, nodes, texts, width, num, den)
-    links = to_pivot.filter("linked").select("a", "b")
-    follow = (to_pivot.filter("linked").join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-              .groupBy("b").agg(F.min(F.struct("na", "a", "d")).alias("best"))
-              .select(F.col("b").alias("node"), F.col("best.a").alias("pivot"), F.col("best.d").alias("dist")))
-    follow = store(follow, "followers")
-
-    # Blocks of rows with the same pivot; pairs of blocks that position and size allow.
-    blocks = store(live.join(follow, "node", "left").select(
-        "shingle", "pos", "n", F.coalesce("pivot", "node").alias("pivot"))
-        .groupBy("shingle", "pivot").agg(F.min("pos").alias("pos"), F.min("n").alias("least"), F.max("n").alias("most")),
-        "list_blocks")
-    several = blocks.groupBy("shingle").agg(F.count(F.lit(1)).alias("blocks"), F.min("pos").alias("first")).filter("blocks > 1")
-    open_ = store(blocks.join(several, "shingle").filter(
-        F.col("pos") + F.col("first") <= F.floor(F.col("most") * ((den - num) / num))).drop("blocks", "first"),
-        "open_blocks")
-    other = open_.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("pivot", "pos", "least", "most")])
-    pairs = (open_.join(other, "shingle").filter(
-        (F.col("pivot") < F.col("pivot_b"))
-        & _sizes_fit(F.col("most"), F.col("least_b"), num, den) & _sizes_fit(F.col("most_b"), F.col("least"), num, den)
-        & (F.col("pos") + F.col("pos_b") <= slack(F.col("most"), F.col("most_b"), num, den)))
-        .select(F.col("pivot").alias("a"), F.col("pivot_b").alias("b")).distinct()
-        .join(to_pivot.filter("linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-              ["a", "b"], "left_anti"))
-    between = distances(pairs, nodes, texts, width, num, den)
-    links = links.unionByName(between.filter("linked").select("a", "b"))
-
-    # Followers whose distance the pivots' answers do not settle.
-    group = store(follow.join(nodes.select("node", "n"), "node").select("node", "n", "pivot", "dist")
-                  .unionByName(nodes.select("node", "n", F.col("node").alias("pivot"), F.lit(0).cast("bigint").alias("dist"))),
-                  "pivot_groups")
-    reach = store(group.groupBy("pivot").agg(F.max("dist").alias("radius"), F.max("n").alias("most")), "pivot_reach")
-    side = lambda k: reach.select(*[F.col(c).alias(f"{c}_{k}") for c in reach.columns])
-    unsettled = (between.filter("NOT linked").join(side("a"), F.col("a") == F.col("pivot_a"))
-                 .join(side("b"), F.col("b") == F.col("pivot_b"))
-                 .withColumn("limit", slack(F.col("most_a"), F.col("most_b"), num, den))
-                 .filter("radius_a + radius_b > 0 AND d - radius_a - radius_b <= limit")
-                 .select("a", "b", "d", "radius_b", "limit"))
-    member = lambda k: group.select(*[F.col(c).alias(f"{c}_{k}") for c in group.columns])
-    left = unsettled.join(member("a"), F.col("a") == F.col("pivot_a")).filter("dist_a >= d - radius_b - limit")
-    deep = (left.join(member("b"), F.col("b") == F.col("pivot_b"))
-            .filter((F.col("d") - F.col("dist_a") - F.col("dist_b") <= slack(F.col("n_a"), F.col("n_b"), num, den))
-                    & (F.col("dist_a") + F.col("dist_b") > 0)
-                    & _sizes_fit(F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), num, den))
-            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    links = links.unionByName(distances(deep, nodes, texts, width, num, den).filter("linked").select("a", "b"))
+    held = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    live = store(listed.join(held.filter("held > 1"), "shingle").select("shingle", "node", "n", "pos", "held"),
+                 "index_lists")
+
+    # Short lists: a few pairs of sets each, where position and size allow.
+    short = live.filter(F.col("held") <= common).drop("held")
+    other = short.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos")])
+    pairs = short.join(other, "shingle").filter(
+        (F.col("node") < F.col("node_b"))
+        & _sizes_fit(F.least("n", "n_b"), F.greatest("n", "n_b"), num, den)
+        & (F.col("pos") + F.col("pos_b") <= slack(F.col("n"), F.col("n_b"), num, den))).select(
+        F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    links = distances(pairs, nodes, texts, width, num, den).filter("linked").select("a", "b")
+
+    # Long lists: pivots first, then whatever they leave open.
+    long = live.filter(F.col("held") > common).drop("held")
+    listings = long.groupBy("node").agg(F.count(F.lit(1)).alias("score"))
+    long = store(long.join(listings, "node").join(nodes.select("node", "parity"), "node"), "long_lists")
+    follow = docs.sparkSession.createDataFrame([], "node long, pivot long, dist long, linked boolean")
+    for turn in range(ROUNDS):
+        met = _pivot_round(long.drop("parity"), follow, nodes, texts, width, num, den, common, turn)
+        if met is None:
+            break
+        links = links.unionByName(met.filter("linked AND node <> pivot").select(
+            F.col("pivot").alias("a"), F.col("node").alias("b")))
+        follow = store(follow.unionByName(met), "followers")
+    links = store(links, "first_links")
+    labels = connected_components(links)
+    open_pairs = _open_pairs(long, follow, labels, num, den)
+    links = links.unionByName(distances(open_pairs, nodes, texts, width, num, den)
+                              .filter("linked").select("a", "b"))
 
     labels = connected_components(store(links, "set_links"))
     names = store(sets.join(classes, "digest", "left").select(
