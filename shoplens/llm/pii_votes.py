@@ -261,3 +261,28 @@ def find_spans(docs: DataFrame, text_col: str = "text", carry: list[str] | None
     ordered = F.array_sort(F.transform(final, lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base"))))
     return table.withColumn(name, ordered), name
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+    found, name = find_spans(docs, text_col)
+    tags = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    none = F.expr("CAST(array() AS array<struct<start:bigint,end:bigint,kind:int,from:bigint>>)")
+
+    def apart(spans: Column) -> Column:
+        """Spans that begin at or after the end of the one before, each with that end."""
+        def step(acc: Column, s: Column) -> Column:
+            return F.when(s["start"] < acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), F.array_append(
+                acc["kept"], F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
+                                      acc["at"].alias("from"))).alias("kept")))
+        return F.aggregate(spans, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("kept")), step)
+
+    def rewritten(done: Column) -> Column:
+        text = F.col(text_col)
+        parts = F.transform(done["kept"], lambda s: F.concat(
+            F.substring(text, (s["from"] + 1).cast("int"), (s["start"] - s["from"]).cast("int")), F.get(tags, s["kind"])))
+        return F.concat(F.array_join(parts, ""), F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
+
+    text = F.when(F.size(name) > 0, let(apart(F.col(name)), rewritten)).otherwise(F.col(text_col))
+    out = found.withColumn(text_col, text)
+    return out.select(*docs.columns)

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chunk_dedup, host_rules, packing, piece_bpe, pii_votes, set_join, token_counts
+from shoplens.llm import (chunk_dedup, host_rules, line_dedup, ngram_quality, packing, piece_bpe, pii_votes, set_join,
+                          token_counts, url_templates)
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -23,6 +24,17 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    labels = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int").alias("bad"))
+    return url_templates.judge_urls(table(spark, sf, "pages").select("page_id", "url"), labels, URL_RULES)
+
+
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,6 +48,13 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_dedup.repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    spans = F.concat_ws(",", F.transform("removed", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string"))))
+    return found.select("doc_id", "n_lines", "n_removed", spans.alias("removed"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     rows, decisions, names = chunk_dedup.exact_duplicates(docs)
@@ -53,6 +72,11 @@ FROM d
 """
 
 
+def op6_ngram_quality(spark: SparkSession, sf: str) -> DataFrame:
+    trusted = table(spark, sf, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0")
+    return ngram_quality.perplexities(table(spark, sf, "documents"), trusted)
+
+
 def _kind(k: int) -> Callable[[Column], Column]:
     return lambda s: s["kind"] == k
 
@@ -90,9 +114,9 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return set_join.set_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op3_packing, op5_exact_dedup, op7_pii, op8_sentencepiece,
-                                op9_quality_rules, op10_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_url_filter, op2_token_counts, op3_packing, op4_line_dedup, op5_exact_dedup, op6_ngram_quality, op7_pii,
+    op8_sentencepiece, op9_quality_rules, op10_jaccard_join)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
 

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.config import store
-from shoplens.llm.common import row_slices, texts_of, with_row_key
+from shoplens.llm.common import free_name, row_slices, texts_of, with_row_key
 from shoplens.llm.components import connected_components
 from shoplens.llm.list_compare import near_pairs, parity_bits, parity_distance
 from shoplens.llm.shingles import shingle_set
@@ -354,3 +354,12 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
 def keyed(docs: DataFrame, columns: list[str], row: str = "row") -> DataFrame:
     """The given columns of ``docs`` stored with a stable row key."""
     return store(with_row_key(docs.select(*columns), row), "keyed_documents")
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id, then the first row."""
+    key = free_name(docs.columns, "row")
+    table = keyed(docs, docs.columns, key)
+    found = set_components(table.select(F.col(key).alias("row"), "doc_id", "text"))
+    kept = found.filter("row = first_row").select(F.col("row").alias(key))
+    return table.join(kept, key, "left_semi").select(*docs.columns)
