@@ -6,8 +6,8 @@ import numpy as np
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
-    """Bit k: parity of the hashes that fall on k; as many bits as a power of two >= the set, 64 at least."""
-    n = max(64, 1 << (len(hashes) - 1).bit_length())
+    """Bit k: parity of the hashes that fall on k; as many bits as a power of two >= twice the set, 64 at least."""
+    n = max(64, 1 << (2 * len(hashes) - 1).bit_length())
     counts = np.bincount((hashes & np.uint64(n - 1)).astype(np.int64), minlength=n)
     return np.packbits(counts.astype(np.uint8) & 1, bitorder="little").tobytes()
 

@@ -16,10 +16,10 @@ lists.     a partner may lack. A list holds (set, size, position). If x and y
            link, the first shingle they share stands at positions i and j with
            ``i + j <= |x ^ y| <= slack(|x|, |y|)``.
 Short      Lists of up to ``COMMON`` rows give their pairs directly.
-Pivots     In a longer list the most listed set is compared with the others (a
-(answers   pair per row, not all pairs). Linked ones follow it; the others keep
-reused).   their distance to it and draw again, ``ROUNDS`` times. Followers of
-           one pivot are connected, so its answers serve for theirs.
+Pivots     In a longer list the ``PIVOTS`` most listed sets are compared with
+(answers   the others (a few pairs per row, not all pairs). A set linked to a
+reused).   pivot is connected with all that the pivot links to, so the pivot's
+           answers serve for it; the others keep their distance to a pivot.
 Skipping   What is left open in long lists is compared in parts of ``PART``
 by         rows. Skipped without a look at the sets: pairs already connected,
 position.  positions or sizes that rule a link out, pairs whose distances d to
@@ -44,7 +44,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.config import store
@@ -58,8 +58,8 @@ WIDTH = 4
 NUM, DEN = 85, 100
 #: Sets that may hold a shingle before it counts as common; rows of a short list.
 COMMON = 8
-#: Rounds of pivots in long lists; what they leave open is compared in full.
-ROUNDS = 3
+#: Pivots of a long list; what their answers leave open is compared in full.
+PIVOTS = 8
 #: Rows of a long list that one comparison holds.
 PART = 2048
 #: Bits of the map of common shingles (8 MB).
@@ -148,27 +148,29 @@ def sets_table(docs: DataFrame, marked: np.ndarray, width: int, num: int, den: i
 
 
 def distances(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(a, b, d, linked, exact) for candidate pairs of nodes.
+    """(a, b, flag, d, linked) of the candidate pairs (a, b, flag) whose parity maps leave a link possible.
 
-    ``d`` is the symmetric difference where the bitmaps leave a link
-    possible (``exact``), else their lower bound of it.
+    ``d`` is the exact symmetric difference. Of the texts, those of such
+    pairs are picked once and then met by their pairs.
     """
     side = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}"))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [parity_distance(x, y) for x, y in zip(batch["pa"].to_pylist(), batch["pb"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], batch["na"], batch["nb"],
-                                              pa.array(found, pa.int64())], ["a", "b", "na", "nb", "low"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("a", "b", "flag", "na", "nb")),
+                                              pa.array(found, pa.int64())], ["a", "b", "flag", "na", "nb", "low"])
 
-    bounded = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        bound, "a long, b long, na long, nb long, low long")
-    bounded = store(bounded.withColumn("most", slack(F.col("na"), F.col("nb"), num, den)), "parity_bounds")
-    near = bounded.filter("low <= most")
-    text = lambda k: texts.select(F.col("node").alias(k), F.col("text").alias(f"t{k}"))
+    near = pairs.select("a", "b", "flag").join(side("a"), "a").join(side("b"), "b").mapInArrow(
+        bound, "a long, b long, flag boolean, na long, nb long, low long")
+    near = store(near.filter(F.col("low") <= slack(F.col("na"), F.col("nb"), num, den)).select("a", "b", "flag"),
+                 "near_pairs")
+    asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    picked = store(texts.join(asked, "node", "left_semi"), "near_texts")
+    text = lambda k: picked.select(F.col("node").alias(k), F.col("text").alias(f"t{k}"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, x = None, None                           # pairs come with the same first set in a row
+        last, x = None, None                           # pairs mostly come with the same first set in a row
         for batch in batches:
             found, linked = [], []
             for a, s, t in zip(batch["a"].to_pylist(), batch["ta"].to_pylist(), batch["tb"].to_pylist()):
@@ -178,60 +180,59 @@ def distances(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, n
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 found.append(len(x) + len(y) - 2 * both)
                 linked.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(found, pa.int64()),
-                                              pa.array(linked, pa.bool_()), pa.array([True] * len(found), pa.bool_())],
-                                             ["a", "b", "d", "linked", "exact"])
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], batch["flag"], pa.array(found, pa.int64()),
+                                              pa.array(linked, pa.bool_())], ["a", "b", "flag", "d", "linked"])
 
-    checked = near.select("a", "b").join(text("b"), "b").join(text("a"), "a").mapInArrow(
-        verify, "a long, b long, d long, linked boolean, exact boolean")
-    far = bounded.filter("low > most").select("a", "b", F.col("low").alias("d"), F.lit(False).alias("linked"),
-                                              F.lit(False).alias("exact"))
-    return store(checked.unionByName(far), "set_distances")
+    return store(near.join(text("b"), "b").join(text("a"), "a").mapInArrow(
+        verify, "a long, b long, flag boolean, d long, linked boolean"), "set_distances")
 
 
-def _pivot_round(long: DataFrame, follow: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, num: int,
-                 den: int, common: int, turn: int) -> DataFrame | None:
-    """(node, pivot, dist, linked) of one round; None where no list has many rows without a pivot.
+def _pivot_pairs(long: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): each long list's pivots a against its other rows.
 
-    A list's pivot is its row listed most often: of a family of near copies
-    the one with the fewest words of its own. Ties fall to a hash.
+    Pivots are the ``PIVOTS`` rows listed most often: of a family of near
+    copies the ones with the fewest words of their own. Ties fall to a hash.
     """
-    done = follow.filter("linked").select("node").distinct()
-    loose = long.join(done, "node", "left_anti")
-    drawn = F.struct("score", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "pos")
-    heads = (loose.groupBy("shingle").agg(F.count(F.lit(1)).alias("left"), F.max(drawn).alias("head"))
-             .filter(F.col("left") > common))
-    heads = store(heads.select("shingle", F.col("head.node").alias("a"), F.col("head.n").alias("na"),
-                               F.col("head.pos").alias("pa")), "list_heads")
-    if heads.isEmpty():
-        return None
-    met = (loose.join(heads, "shingle").filter(
+    first = Window.partitionBy("shingle").orderBy(F.desc("score"), F.xxhash64("node"))
+    heads = long.select("shingle", "node", "n", "pos", "score", F.row_number().over(first).alias("k")).filter(
+        F.col("k") <= PIVOTS)
+    heads = store(heads.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")),
+                  "list_heads")
+    return (long.join(heads, "shingle").filter(
         (F.col("a") != F.col("node")) & _sizes_fit(F.least("n", "na"), F.greatest("n", "na"), num, den)
         & (F.col("pos") + F.col("pa") <= slack(F.col("n"), F.col("na"), num, den)))
-        .select("a", F.col("node").alias("b")).distinct())
-    met = distances(met, nodes, texts, width, num, den).filter("exact")
-    chosen = heads.select(F.col("a").alias("node")).distinct()
-    # One pivot a row and round: a linked one if there is any, else one at a known distance.
-    best = F.min(F.struct((~F.col("linked")).alias("apart"), F.xxhash64("a", F.lit(turn)).alias("h"), "a", "d"))
-    met = (met.groupBy(F.col("b").alias("node")).agg(best.alias("best")).join(chosen, "node", "left_anti")
-           .select("node", F.col("best.a").alias("pivot"), F.col("best.d").alias("dist"),
-                   (~F.col("best.apart")).alias("linked")))
-    return store(met.unionByName(chosen.select("node", F.col("node").alias("pivot"), F.lit(0).cast("bigint").alias("dist"),
-                                               F.lit(True).alias("linked"))), "pivot_round")
-
-
-def _open_pairs(long: DataFrame, follow: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+        .select("a", F.col("node").alias("b")))
+
+
+def _answers(met: DataFrame) -> DataFrame:
+    """(node, label, anchor, dist): what the verified pivot pairs say about a row.
+
+    ``label``: a node it is connected with, followed twice; ``anchor`` and
+    ``dist``: a pivot at a known distance.
+    """
+    order = lambda c: F.xxhash64(c)
+    own = met.select(F.col("a").alias("node"), F.col("a").alias("pivot"), F.lit(0).cast("bigint").alias("d"),
+                     F.lit(True).alias("linked")).distinct()
+    rows = met.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "d", "linked").unionByName(own)
+    best = store(rows.groupBy("node").agg(
+        F.min(F.when(F.col("linked"), F.struct(order("pivot").alias("h"), "pivot"))).alias("to"),
+        F.min(F.struct(order("pivot").alias("h"), "pivot", "d")).alias("near"))
+        .select("node", F.coalesce("to.pivot", "node").alias("pivot"), F.col("near.pivot").alias("anchor"),
+                F.col("near.d").alias("dist")), "pivot_answers")
+    jump = best.select(F.col("node").alias("pivot"), F.col("pivot").alias("next"))
+    return best.join(jump, "pivot", "left").select("node", F.coalesce("next", "pivot").alias("label"), "anchor", "dist")
+
+
+def _open_pairs(long: DataFrame, answers: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): pairs of sets in long lists that neither labels, positions, sizes, known
     distances nor parity maps settle.
 
     Lists are dealt in parts of about ``PART`` rows; a task compares one
     part, or two parts with each other, at a time.
     """
-    anchor = follow.groupBy("node").agg(F.min(F.struct("pivot", "dist")).alias("k")).select(
-        "node", F.col("k.pivot").alias("anchor"), F.col("k.dist").alias("dist"))
-    rows = (long.join(labels, "node", "left").join(anchor, "node", "left").select(
-        "shingle", "node", "n", "pos", F.coalesce("component", "node").alias("label"),
-        F.coalesce("anchor", "node").alias("anchor"), F.coalesce("dist", F.lit(0)).alias("dist"), "parity"))
+    rows = long.join(answers, "node", "left").select(
+        "shingle", "node", "n", "pos", F.coalesce("label", "node").alias("label"),
+        F.coalesce("anchor", "node").alias("anchor"), F.coalesce("dist", F.lit(0)).alias("dist"), "parity")
     rows = store(rows, "open_rows")
     lists = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("pos").alias("first"),
                                          F.min("label").alias("l0"), F.max("label").alias("l1"))
@@ -318,28 +319,20 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
         (F.col("node") < F.col("node_b"))
         & _sizes_fit(F.least("n", "n_b"), F.greatest("n", "n_b"), num, den)
         & (F.col("pos") + F.col("pos_b") <= slack(F.col("n"), F.col("n_b"), num, den))).select(
-        F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
-    links = distances(pairs, nodes, texts, width, num, den).filter("linked").select("a", "b")
+        F.col("node").alias("a"), F.col("node_b").alias("b"))
 
-    # Long lists: pivots first, then whatever they leave open.
+    # Long lists: pivots first, then whatever their answers leave open.
     long = live.filter(F.col("held") > common).drop("held")
     listings = long.groupBy("node").agg(F.count(F.lit(1)).alias("score"))
     long = store(long.join(listings, "node").join(nodes.select("node", "parity"), "node"), "long_lists")
-    follow = docs.sparkSession.createDataFrame([], "node long, pivot long, dist long, linked boolean")
-    for turn in range(ROUNDS):
-        met = _pivot_round(long.drop("parity"), follow, nodes, texts, width, num, den, common, turn)
-        if met is None:
-            break
-        links = links.unionByName(met.filter("linked AND node <> pivot").select(
-            F.col("pivot").alias("a"), F.col("node").alias("b")))
-        follow = store(follow.unionByName(met), "followers")
-    links = store(links, "first_links")
-    labels = connected_components(links)
-    open_pairs = _open_pairs(long, follow, labels, num, den)
-    links = links.unionByName(distances(open_pairs, nodes, texts, width, num, den)
-                              .filter("linked").select("a", "b"))
-
+    flagged = pairs.withColumn("flag", F.lit(False)).unionByName(
+        _pivot_pairs(long.drop("parity"), num, den).withColumn("flag", F.lit(True)))
+    met = distances(flagged.groupBy("a", "b").agg(F.max("flag").alias("flag")), nodes, texts, width, num, den)
+    rest = _open_pairs(long, _answers(met.filter("flag")), num, den).withColumn("flag", F.lit(False))
+    found = distances(rest, nodes, texts, width, num, den)
+    links = met.unionByName(found).filter("linked").select("a", "b")
     labels = connected_components(store(links, "set_links"))
+
     names = store(sets.join(classes, "digest", "left").select(
         "row", F.col("n").alias("n_shingles"), F.coalesce("node", "row").alias("node")), "set_members")
     named = names.join(labels, "node", "left").select(
