@@ -10,6 +10,7 @@ folder is ever used.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,7 +58,32 @@ def work_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared work folder."""
-    return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def tracked_scratch():
+    """Gathers the scratch folders made inside the block, for ``release``."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders whose readers have finished."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def store(df, name: str):
