@@ -3,14 +3,19 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes it as Parquet under the shared folder and rereads it as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
+When a stage begins, the one before has been written, so the tables that
+one kept on the way are deleted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.config import store
+from shoplens.config import release, store, tracked_scratch
 from shoplens.llm import chunk_dedup, host_rules, packing, pii_votes, set_join
 from shoplens.llm.registry import tokenizer_file
 from shoplens.sources.tables import table
@@ -44,8 +49,23 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                          "offset")
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("jaccard_join", jaccard_join),
-          ("personal_data", personal_data), ("pack_windows", pack_windows)]
+#: Scratch folders of the stage that ran last.
+_LAST: list[str] = []
+
+
+def _tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _LAST)
+        with tracked_scratch() as paths:
+            out = stage(spark, docs, sf_dir)
+        _LAST.extend(paths)
+        return out
+
+    return run_stage
+
+
+STAGES = [(f.__name__, _tidy(f)) for f in (quality_rules, exact_dedup, jaccard_join, personal_data, pack_windows)]
 
 #: SQL can express neither the shingle components, the span classifier nor the packing;
 #: tests hold the stages against brute-force versions.
@@ -54,7 +74,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"stage_{name}")
+        out = stage(spark, docs, sf_dir)
+        with tracked_scratch() as paths:
+            docs = store(out, f"stage_{name}")
+        release(spark, before)                         # the input of the stage just written
+        before = paths
     return STAGES[-1][1](spark, docs, sf_dir)

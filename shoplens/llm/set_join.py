@@ -59,7 +59,7 @@ NUM, DEN = 85, 100
 #: Sets that may hold a shingle before it counts as common; rows of a short list.
 COMMON = 8
 #: Pivots of a long list; what their answers leave open is compared in full.
-PIVOTS = 8
+PIVOTS = 4
 #: Rows of a long list that one comparison holds.
 PART = 2048
 #: Bits of the map of common shingles (8 MB).
@@ -147,12 +147,8 @@ def sets_table(docs: DataFrame, marked: np.ndarray, width: int, num: int, den: i
         run, "doc_id long, n long, digest binary, parity binary, prefix array<long>")
 
 
-def distances(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(a, b, flag, d, linked) of the candidate pairs (a, b, flag) whose parity maps leave a link possible.
-
-    ``d`` is the exact symmetric difference. Of the texts, those of such
-    pairs are picked once and then met by their pairs.
-    """
+def bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The candidate pairs (a, b, flag) whose parity maps leave a link possible."""
     side = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}"))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +159,15 @@ def distances(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, n
 
     near = pairs.select("a", "b", "flag").join(side("a"), "a").join(side("b"), "b").mapInArrow(
         bound, "a long, b long, flag boolean, na long, nb long, low long")
-    near = store(near.filter(F.col("low") <= slack(F.col("na"), F.col("nb"), num, den)).select("a", "b", "flag"),
-                 "near_pairs")
+    return near.filter(F.col("low") <= slack(F.col("na"), F.col("nb"), num, den)).select("a", "b", "flag")
+
+
+def distances(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(a, b, flag, d, linked) of the pairs; ``d`` is the exact symmetric difference.
+
+    Of the texts, those of the pairs are picked once and then met by them.
+    """
+    near = store(pairs, "near_pairs")
     asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
     picked = store(texts.join(asked, "node", "left_semi"), "near_texts")
     text = lambda k: picked.select(F.col("node").alias(k), F.col("text").alias(f"t{k}"))
@@ -327,9 +330,10 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
     long = store(long.join(listings, "node").join(nodes.select("node", "parity"), "node"), "long_lists")
     flagged = pairs.withColumn("flag", F.lit(False)).unionByName(
         _pivot_pairs(long.drop("parity"), num, den).withColumn("flag", F.lit(True)))
-    met = distances(flagged.groupBy("a", "b").agg(F.max("flag").alias("flag")), nodes, texts, width, num, den)
+    flagged = flagged.groupBy("a", "b").agg(F.max("flag").alias("flag"))
+    met = distances(bounded(flagged, nodes, num, den), texts, width, num, den)
     rest = _open_pairs(long, _answers(met.filter("flag")), num, den).withColumn("flag", F.lit(False))
-    found = distances(rest, nodes, texts, width, num, den)
+    found = distances(rest, texts, width, num, den)
     links = met.unionByName(found).filter("linked").select("a", "b")
     labels = connected_components(store(links, "set_links"))
 
