@@ -58,8 +58,10 @@ WIDTH = 4
 NUM, DEN = 85, 100
 #: Sets that may hold a shingle before it counts as common; rows of a short list.
 COMMON = 8
-#: Pivots of a long list; what their answers leave open is compared in full.
-PIVOTS = 4
+#: Pivots of a list of at least ``PIVOT_ROWS`` rows; what their answers leave
+#: open, and lists below that, is compared in full.
+PIVOTS = 16
+PIVOT_ROWS = 64
 #: Rows of a long list that one comparison holds.
 PART = 2048
 #: Bits of the map of common shingles (8 MB).
@@ -197,6 +199,7 @@ def _pivot_pairs(long: DataFrame, num: int, den: int) -> DataFrame:
     copies the ones with the fewest words of their own. Ties fall to a hash.
     """
     first = Window.partitionBy("shingle").orderBy(F.desc("score"), F.xxhash64("node"))
+    long = long.filter(F.col("held") >= PIVOT_ROWS)
     heads = long.select("shingle", "node", "n", "pos", "score", F.row_number().over(first).alias("k")).filter(
         F.col("k") <= PIVOTS)
     heads = store(heads.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")),
@@ -325,7 +328,7 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
         F.col("node").alias("a"), F.col("node_b").alias("b"))
 
     # Long lists: pivots first, then whatever their answers leave open.
-    long = live.filter(F.col("held") > common).drop("held")
+    long = live.filter(F.col("held") > common)
     listings = long.groupBy("node").agg(F.count(F.lit(1)).alias("score"))
     long = store(long.join(listings, "node").join(nodes.select("node", "parity"), "node"), "long_lists")
     flagged = pairs.withColumn("flag", F.lit(False)).unionByName(
