@@ -197,17 +197,24 @@ def _pivot_pairs(long: DataFrame, num: int, den: int) -> DataFrame:
 
     Pivots are the ``PIVOTS`` rows listed most often: of a family of near
     copies the ones with the fewest words of their own. Ties fall to a hash.
+    A row's pivots are gathered over its lists (no more than its prefix
+    length times ``PIVOTS``), so that each pair is formed once.
     """
     first = Window.partitionBy("shingle").orderBy(F.desc("score"), F.xxhash64("node"))
     long = long.filter(F.col("held") >= PIVOT_ROWS)
     heads = long.select("shingle", "node", "n", "pos", "score", F.row_number().over(first).alias("k")).filter(
         F.col("k") <= PIVOTS)
-    heads = store(heads.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")),
-                  "list_heads")
-    return (long.join(heads, "shingle").filter(
-        (F.col("a") != F.col("node")) & _sizes_fit(F.least("n", "na"), F.greatest("n", "na"), num, den)
-        & (F.col("pos") + F.col("pa") <= slack(F.col("n"), F.col("na"), num, den)))
-        .select("a", F.col("node").alias("b")))
+    heads = store(heads.groupBy("shingle").agg(F.collect_list(F.struct("node", "n", "pos")).alias("heads")), "list_heads")
+
+    def may_link(h: Column) -> Column:
+        return ((h["node"] != F.col("node"))
+                & _sizes_fit(F.least(F.col("n"), h["n"]), F.greatest(F.col("n"), h["n"]), num, den)
+                & (F.col("pos") + h["pos"] <= slack(F.col("n"), h["n"], num, den)))
+
+    met = long.join(heads, "shingle").select(
+        "node", F.array_sort(F.transform(F.filter("heads", may_link), lambda h: h["node"])).alias("pivots"))
+    return (met.filter(F.size("pivots") > 0).groupBy("node").agg(F.collect_set("pivots").alias("pivots"))
+            .select(F.explode(F.array_distinct(F.flatten("pivots"))).alias("a"), F.col("node").alias("b")))
 
 
 def _answers(met: DataFrame) -> DataFrame:
