@@ -19,7 +19,8 @@ Short      Lists of up to ``COMMON`` rows give their pairs directly.
 Pivots     In a longer list the ``PIVOTS`` most listed sets are compared with
 (answers   the others (a few pairs per row, not all pairs). A set linked to a
 reused).   pivot is connected with all that the pivot links to, so the pivot's
-           answers serve for it; the others keep their distance to a pivot.
+           answers serve for it: the components of the links found so far are
+           settled. All keep their distance to a pivot.
 Skipping   What is left open in long lists is compared in parts of ``PART``
 by         rows. Skipped without a look at the sets: pairs already connected,
 position.  positions or sizes that rule a link out, pairs whose distances d to
@@ -218,33 +219,22 @@ def _pivot_pairs(long: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _answers(met: DataFrame) -> DataFrame:
-    """(node, label, anchor, dist): what the verified pivot pairs say about a row.
+    """(node, anchor, dist): a pivot at a known distance, from the verified pivot pairs."""
+    own = met.select(F.col("a").alias("node"), F.col("a").alias("pivot"), F.lit(0).cast("bigint").alias("d")).distinct()
+    rows = met.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "d").unionByName(own)
+    best = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("pivot").alias("h"), "pivot", "d")).alias("near"))
+    return best.select("node", F.col("near.pivot").alias("anchor"), F.col("near.d").alias("dist"))
 
-    ``label``: a node it is connected with, followed twice; ``anchor`` and
-    ``dist``: a pivot at a known distance.
-    """
-    order = lambda c: F.xxhash64(c)
-    own = met.select(F.col("a").alias("node"), F.col("a").alias("pivot"), F.lit(0).cast("bigint").alias("d"),
-                     F.lit(True).alias("linked")).distinct()
-    rows = met.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "d", "linked").unionByName(own)
-    best = store(rows.groupBy("node").agg(
-        F.min(F.when(F.col("linked"), F.struct(order("pivot").alias("h"), "pivot"))).alias("to"),
-        F.min(F.struct(order("pivot").alias("h"), "pivot", "d")).alias("near"))
-        .select("node", F.coalesce("to.pivot", "node").alias("pivot"), F.col("near.pivot").alias("anchor"),
-                F.col("near.d").alias("dist")), "pivot_answers")
-    jump = best.select(F.col("node").alias("pivot"), F.col("pivot").alias("next"))
-    return best.join(jump, "pivot", "left").select("node", F.coalesce("next", "pivot").alias("label"), "anchor", "dist")
-
-
-def _open_pairs(long: DataFrame, answers: DataFrame, num: int, den: int) -> DataFrame:
+
+def _open_pairs(long: DataFrame, labels: DataFrame, answers: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): pairs of sets in long lists that neither labels, positions, sizes, known
     distances nor parity maps settle.
 
     Lists are dealt in parts of about ``PART`` rows; a task compares one
     part, or two parts with each other, at a time.
     """
-    rows = long.join(answers, "node", "left").select(
-        "shingle", "node", "n", "pos", F.coalesce("label", "node").alias("label"),
+    rows = long.join(labels, "node", "left").join(answers, "node", "left").select(
+        "shingle", "node", "n", "pos", F.coalesce("component", "node").alias("label"),
         F.coalesce("anchor", "node").alias("anchor"), F.coalesce("dist", F.lit(0)).alias("dist"), "parity")
     rows = store(rows, "open_rows")
     lists = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("pos").alias("first"),
@@ -342,15 +332,20 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
         _pivot_pairs(long.drop("parity"), num, den).withColumn("flag", F.lit(True)))
     flagged = flagged.groupBy("a", "b").agg(F.max("flag").alias("flag"))
     met = distances(bounded(flagged, nodes, num, den), texts, width, num, den)
-    rest = _open_pairs(long, _answers(met.filter("flag")), num, den).withColumn("flag", F.lit(False))
+    labels = connected_components(store(met.filter("linked").select("a", "b"), "set_links"))
+    rest = _open_pairs(long, labels, _answers(met.filter("flag")), num, den).withColumn("flag", F.lit(False))
     found = distances(rest, texts, width, num, den)
-    links = met.unionByName(found).filter("linked").select("a", "b")
-    labels = connected_components(store(links, "set_links"))
+    name = lambda k: labels.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+    bridges = found.filter("linked").join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = connected_components(store(bridges, "component_links")).select(
+        F.col("node").alias("label"), F.col("component").alias("whole"))
 
     names = store(sets.join(classes, "digest", "left").select(
         "row", F.col("n").alias("n_shingles"), F.coalesce("node", "row").alias("node")), "set_members")
-    named = names.join(labels, "node", "left").select(
-        "row", "n_shingles", F.coalesce("component", "node").alias("component"))
+    named = (names.join(labels, "node", "left")
+             .select("row", "n_shingles", F.coalesce("component", "node").alias("label")).join(joined, "label", "left")
+             .select("row", "n_shingles", F.coalesce("whole", "label").alias("component")))
     full = store(named.join(rows.select("row", "doc_id"), "row"), "set_rows")
     smallest = store(full.groupBy("component").agg(F.min("doc_id").alias("component_id"),
                                                    F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
