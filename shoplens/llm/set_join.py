@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.config import store
+from shoplens.config import release, store, tracked_scratch
 from shoplens.llm.common import free_name, row_slices, texts_of, with_row_key
 from shoplens.llm.components import connected_components
 from shoplens.llm.list_compare import near_pairs, parity_bits, parity_distance
@@ -303,46 +303,50 @@ def set_components(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int
     marked = common_map(low_hashes(docs.select("text"), width, range_bits), common, map_bits)
     rows = docs.select(F.col("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     keyed = rows.select(F.col("row").alias("doc_id"), "text")          # the row key takes the id's place
-    sets = store(sets_table(keyed, marked, width, num, den).withColumnRenamed("doc_id", "row"), "shingle_sets")
-
-    classes = store(sets.filter("n > 0").groupBy("digest").agg(F.min("row").alias("node")), "set_classes")
+    with tracked_scratch() as first:
+        sets = store(sets_table(keyed, marked, width, num, den).withColumnRenamed("doc_id", "row"), "shingle_sets")
+        classes = store(sets.filter("n > 0").groupBy("digest").agg(F.min("row").alias("node")), "set_classes")
     nodes = store(sets.filter("n > 0").join(classes, "digest").filter("row = node")
                   .select("node", "n", "parity", "prefix"), "set_nodes")
+    names = store(sets.join(classes, "digest", "left").select(
+        "row", F.col("n").alias("n_shingles"), F.coalesce("node", "row").alias("node")), "set_members")
+    release(docs.sparkSession, first)                  # read by what has been written, no more needed
     texts = rows.select(F.col("row").alias("node"), "text")
 
-    listed = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    held = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
-    live = store(listed.join(held.filter("held > 1"), "shingle").select("shingle", "node", "n", "pos", "held"),
-                 "index_lists")
-
-    # Short lists: a few pairs of sets each, where position and size allow.
-    short = live.filter(F.col("held") <= common).drop("held")
-    other = short.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos")])
-    pairs = short.join(other, "shingle").filter(
-        (F.col("node") < F.col("node_b"))
-        & _sizes_fit(F.least("n", "n_b"), F.greatest("n", "n_b"), num, den)
-        & (F.col("pos") + F.col("pos_b") <= slack(F.col("n"), F.col("n_b"), num, den))).select(
-        F.col("node").alias("a"), F.col("node_b").alias("b"))
-
-    # Long lists: pivots first, then whatever their answers leave open.
-    long = live.filter(F.col("held") > common)
-    listings = long.groupBy("node").agg(F.count(F.lit(1)).alias("score"))
-    long = store(long.join(listings, "node").join(nodes.select("node", "parity"), "node"), "long_lists")
-    flagged = pairs.withColumn("flag", F.lit(False)).unionByName(
-        _pivot_pairs(long.drop("parity"), num, den).withColumn("flag", F.lit(True)))
-    flagged = flagged.groupBy("a", "b").agg(F.max("flag").alias("flag"))
-    met = distances(bounded(flagged, nodes, num, den), texts, width, num, den)
+    with tracked_scratch() as lists:
+        listed = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
+        held = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+        live = store(listed.join(held.filter("held > 1"), "shingle").select("shingle", "node", "n", "pos", "held"),
+                     "index_lists")
+
+        # Short lists: a few pairs of sets each, where position and size allow.
+        short = live.filter(F.col("held") <= common).drop("held")
+        other = short.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos")])
+        pairs = short.join(other, "shingle").filter(
+            (F.col("node") < F.col("node_b"))
+            & _sizes_fit(F.least("n", "n_b"), F.greatest("n", "n_b"), num, den)
+            & (F.col("pos") + F.col("pos_b") <= slack(F.col("n"), F.col("n_b"), num, den))).select(
+            F.col("node").alias("a"), F.col("node_b").alias("b"))
+
+        # Long lists: pivots first, then whatever their answers leave open.
+        long = live.filter(F.col("held") > common)
+        listings = long.groupBy("node").agg(F.count(F.lit(1)).alias("score"))
+        long = store(long.join(listings, "node").join(nodes.select("node", "parity"), "node"), "long_lists")
+        flagged = pairs.withColumn("flag", F.lit(False)).unionByName(
+            _pivot_pairs(long.drop("parity"), num, den).withColumn("flag", F.lit(True)))
+        flagged = flagged.groupBy("a", "b").agg(F.max("flag").alias("flag"))
+        met = distances(bounded(flagged, nodes, num, den), texts, width, num, den)
     labels = connected_components(store(met.filter("linked").select("a", "b"), "set_links"))
-    rest = _open_pairs(long, labels, _answers(met.filter("flag")), num, den).withColumn("flag", F.lit(False))
-    found = distances(rest, texts, width, num, den)
+    with tracked_scratch() as parts:
+        rest = _open_pairs(long, labels, _answers(met.filter("flag")), num, den).withColumn("flag", F.lit(False))
+        found = distances(rest, texts, width, num, den)
     name = lambda k: labels.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
     bridges = found.filter("linked").join(name("a"), "a", "left").join(name("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     joined = connected_components(store(bridges, "component_links")).select(
         F.col("node").alias("label"), F.col("component").alias("whole"))
+    release(docs.sparkSession, lists + parts)
 
-    names = store(sets.join(classes, "digest", "left").select(
-        "row", F.col("n").alias("n_shingles"), F.coalesce("node", "row").alias("node")), "set_members")
     named = (names.join(labels, "node", "left")
              .select("row", "n_shingles", F.coalesce("component", "node").alias("label")).join(joined, "label", "left")
              .select("row", "n_shingles", F.coalesce("whole", "label").alias("component")))
