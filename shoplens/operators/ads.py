@@ -15,6 +15,9 @@ from shoplens.functions.scalar import epoch_millis_to_ntz
 from shoplens.operators.regions import top_n_per_group
 
 AD_FIELDS = ("time_ms", "province", "city", "user_id", "ad_id")
+TEXT_FIELDS = ("province", "city")
+#: Epoch milliseconds of the years 1 to 9999 (UTC), the range of a date.
+TIME_RANGE = (-62135596800000, 253402300799999)
 DAILY_KEYS = ("date", "user_id", "ad_id")
 AD_STAT_KEYS = ("date", "province", "city", "ad_id")
 TREND_KEYS = ("date", "hour", "minute", "ad_id")
@@ -24,17 +27,18 @@ PROVINCE_KEYS = ("date", "province")
 def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
     """Split ``<ms> <province> <city> <user> <ad>`` lines.
 
-    Keeps every input column, adds the five fields (NULL when a field is
-    not a number) and ``is_valid`` (exactly five numeric fields).
+    Keeps every input column, adds the five fields (NULL when a number is
+    not one; province and city are text) and ``is_valid``: at least five
+    fields, numeric user and ad, and a time within ``TIME_RANGE``.
     """
     parts = F.split(F.col(col), " ")
-    fields = [F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint").alias(n)
-              for i, n in enumerate(AD_FIELDS)]
-    parsed = lines.select("*", F.size(parts).alias("_n"), *fields)
-    valid = (F.col("_n") == 5)
+    raw = {n: F.try_element_at(parts, F.lit(i + 1)) for i, n in enumerate(AD_FIELDS)}
+    fields = [(raw[n] if n in TEXT_FIELDS else raw[n].try_cast("bigint")).alias(n) for n in AD_FIELDS]
+    parsed = lines.select("*", *fields)
+    valid = F.col("time_ms").between(*TIME_RANGE)
     for n in AD_FIELDS:
         valid = valid & F.col(n).isNotNull()
-    return parsed.withColumn("is_valid", F.coalesce(valid, F.lit(False))).drop("_n")
+    return parsed.withColumn("is_valid", F.coalesce(valid, F.lit(False)))
 
 
 def ad_events(parsed: DataFrame) -> DataFrame:
@@ -48,7 +52,7 @@ def ad_events(parsed: DataFrame) -> DataFrame:
 
 
 def malformed_lines(parsed: DataFrame) -> DataFrame:
-    """S1 side output: lines that are not five numeric fields."""
+    """S1 side output: lines that are not valid clicks."""
     return parsed.filter(~F.col("is_valid"))
 
 

@@ -54,14 +54,13 @@ VIEWS = {
   WHERE e.event_type = 'click'""",
     "ad_parsed": """
   SELECT event_id, value, p,
-         len(p) = 5 AND TRY_CAST(p[1] AS BIGINT) IS NOT NULL AND TRY_CAST(p[2] AS BIGINT) IS NOT NULL
-           AND TRY_CAST(p[3] AS BIGINT) IS NOT NULL AND TRY_CAST(p[4] AS BIGINT) IS NOT NULL
-           AND TRY_CAST(p[5] AS BIGINT) IS NOT NULL AS is_valid
+         len(p) >= 5 AND TRY_CAST(p[4] AS BIGINT) IS NOT NULL AND TRY_CAST(p[5] AS BIGINT) IS NOT NULL
+           AND coalesce(TRY_CAST(p[1] AS BIGINT) BETWEEN -62135596800000 AND 253402300799999, false) AS is_valid
   FROM (SELECT event_id, value, string_split(value, ' ') AS p FROM ad_lines) x""",
     "ad_events": """
   SELECT event_id,
-         CAST(p[1] AS BIGINT) AS time_ms, CAST(p[2] AS BIGINT) AS province,
-         CAST(p[3] AS BIGINT) AS city, CAST(p[4] AS BIGINT) AS user_id, CAST(p[5] AS BIGINT) AS ad_id,
+         CAST(p[1] AS BIGINT) AS time_ms, p[2] AS province,
+         p[3] AS city, CAST(p[4] AS BIGINT) AS user_id, CAST(p[5] AS BIGINT) AS ad_id,
          strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%Y-%m-%d') AS date,
          strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%H') AS hour,
          strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%M') AS minute

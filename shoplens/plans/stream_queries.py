@@ -182,8 +182,8 @@ def _early_late(spark, sf):
 @register("parse_ad_log", ov.sql(["ad_parsed"], """
 SELECT value, is_valid,
        CASE WHEN is_valid THEN CAST(p[1] AS BIGINT) END AS time_ms,
-       CASE WHEN is_valid THEN CAST(p[2] AS BIGINT) END AS province,
-       CASE WHEN is_valid THEN CAST(p[3] AS BIGINT) END AS city,
+       CASE WHEN is_valid THEN p[2] END AS province,
+       CASE WHEN is_valid THEN p[3] END AS city,
        CASE WHEN is_valid THEN CAST(p[4] AS BIGINT) END AS user_id,
        CASE WHEN is_valid THEN CAST(p[5] AS BIGINT) END AS ad_id
 FROM ad_parsed"""))

@@ -30,15 +30,15 @@ PRODUCT_INFO = _s(("product_id", LongType()), ("product_name", StringType()),
 
 CITY_INFO = _s(("city_id", LongType()), ("city_name", StringType()), ("area_name", StringType()))
 
-AD_EVENT = _s(("time_ms", LongType()), ("province", LongType()), ("city", LongType()),
+AD_EVENT = _s(("time_ms", LongType()), ("province", StringType()), ("city", StringType()),
               ("user_id", LongType()), ("ad_id", LongType()))
 
 AD_USER_CLICK_COUNT = _s(("date", StringType()), ("user_id", LongType()),
                          ("ad_id", LongType()), ("click_count", LongType()))
 AD_BLACKLIST = _s(("user_id", LongType()))
-AD_STAT = _s(("date", StringType()), ("province", LongType()), ("city", LongType()),
+AD_STAT = _s(("date", StringType()), ("province", StringType()), ("city", StringType()),
              ("ad_id", LongType()), ("click_count", LongType()))
-AD_PROVINCE_TOP3 = _s(("date", StringType()), ("province", LongType()),
+AD_PROVINCE_TOP3 = _s(("date", StringType()), ("province", StringType()),
                       ("ad_id", LongType()), ("click_count", LongType()))
 AD_CLICK_TREND = _s(("date", StringType()), ("hour", StringType()), ("minute", StringType()),
                     ("ad_id", LongType()), ("click_count", LongType()))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens import schemas
+from shoplens.config import release
 from shoplens.operators import ads
 from shoplens.operators.merge import merge_add, replace_groups
 
@@ -60,8 +61,8 @@ ADDITIVE = {"counts": ("date", "user_id", "ad_id"),
 # Logs with snapshots: the additive ones and the blacklist (read every batch).
 SNAPSHOTTED = (*ADDITIVE, "blacklist", "province_top3")
 COMPACT_EVERY = 50
-# Largest number of batch partitions read through one path glob.
-MAX_GLOB = 2000
+# Published snapshots that stay; older ones are deleted after the next is out.
+KEEP_SNAPSHOTS = 2
 
 
 def ad_log_stream(spark: SparkSession, source: str, fmt: str = "text", **options) -> DataFrame:
@@ -113,9 +114,10 @@ class AdState:
                 marker = marker.unionByName(blacklist.select(F.col("user_id").cast("bigint")))
             writes.append(lambda m=marker, n=name: self.write(m, n, -1))
             if name in SNAPSHOTTED:
-                snap_marker = spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
-                writes.append(lambda m=snap_marker, n=name: self._write_snapshot(m, n, -1))
+                empty = spark.createDataFrame([], schema)
+                writes.append(lambda m=empty, n=name: self._write_snapshot(m, n, -1))
         _run_all(writes)
+        self._publish(spark, -1)
 
     def write(self, df: DataFrame, name: str, batch_id: int) -> None:
         """Overwrite this batch's partitions of one log (idempotent on replay)."""
@@ -131,13 +133,14 @@ class AdState:
         """Rows of one log, optionally only batches ``< before`` / ``<= upto`` / ``> after``.
 
         With ``after`` and an upper bound, only those batch folders (and the
-        ``-1`` seed folder) are listed, through a path glob: the per-batch
-        reads never list the whole history.
+        ``-1`` seed folder) are listed, through a path glob that spans what
+        came since a snapshot: the per-batch reads never list the whole
+        history. Without compaction there is no such bound and all is listed.
         """
         schema = LOGS[name][0]
         hi = (before - 1) if before is not None else upto
         root = self.path(name)
-        if after is not None and hi is not None and 0 <= hi - after <= MAX_GLOB:
+        if after is not None and hi is not None and self.compact_every:
             ids = ",".join(str(i) for i in [-1, *range(after + 1, hi + 1)])
             df = (spark.read.schema(self._schema(name)).option("basePath", root)
                   .parquet(f"{root}/batch_id={{{ids}}}"))
@@ -161,37 +164,45 @@ class AdState:
 
     def _write_snapshot(self, df: DataFrame, name: str, upto: int) -> None:
         # Partitioned by (upto, date): written once per compaction; per-batch
-        # lookups read only the days a batch touches.
-        out = df.withColumn("upto", F.lit(upto).cast("bigint"))
+        # lookups read only the days a batch touches. The all-NULL marker row
+        # (dropped by readers) makes the folder exist even for an empty fold.
+        schema = LOGS[name][0]
+        marker = df.sparkSession.createDataFrame([tuple(None for _ in schema.fields)], schema)
+        out = df.select(*schema.names).unionByName(marker).withColumn("upto", F.lit(upto).cast("bigint"))
         parts = ("upto", "date") if "date" in df.columns else ("upto",)
         if "date" in df.columns:
             out = out.sortWithinPartitions("date")
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(self.path(name + "_snapshot")))
 
-    def _read_snapshot(self, spark: SparkSession, name: str, ids) -> DataFrame:
+    def _read_snapshot(self, spark: SparkSession, name: str, upto: int) -> DataFrame:
         root = self.path(name + "_snapshot")
-        glob = ",".join(str(i) for i in sorted(set(ids)))
         return (spark.read.schema(self._snapshot_schema(name)).option("basePath", root)
-                .parquet(f"{root}/upto={{{glob}}}"))
+                .parquet(f"{root}/upto={upto}").filter(F.col(LOGS[name][0].names[0]).isNotNull()))
+
+    def _publish(self, spark: SparkSession, upto: int) -> None:
+        """Make the snapshots at ``upto`` readable: one marker file, written after all of them."""
+        spark.createDataFrame([(upto,)], "upto long").coalesce(1).write.mode("overwrite").parquet(
+            self.path(f"published/v={upto}"))
+
+    def _published(self, spark: SparkSession) -> DataFrame:
+        root = self.path("published")
+        return spark.read.schema("upto long").option("basePath", root).parquet(f"{root}/v=*").select("upto")
 
-    def latest_snapshot(self, spark: SparkSession, name: str, upto: int | None = None) -> int:
-        """Batch id of the newest snapshot at or before ``upto`` (-1: none).
+    def latest_snapshot(self, spark: SparkSession, upto: int | None = None) -> int:
+        """Batch id of the newest published snapshot at or before ``upto`` (-1: the empty one).
 
-        Snapshots are written at multiples of ``compact_every``, and batch
-        b+1 starts only after batch b (and its compaction) finished, so only
-        the last two candidates are listed. Without that knowledge (``upto``
-        unknown or compaction off) every snapshot folder is listed.
+        Only the markers are read, a few one-row files: a snapshot whose
+        compaction failed half-way has none and is never seen.
         """
-        k = self.compact_every
-        if upto is not None and k:
-            c = (max(upto, 0) // k) * k
-            snap = self._read_snapshot(spark, name, [-1] + [x for x in (c, c - k) if 0 < x <= upto])
-        else:
-            snap = spark.read.schema(self._snapshot_schema(name)).parquet(self.path(name + "_snapshot"))
+        seen = self._published(spark)
         if upto is not None:
-            snap = snap.filter(F.col("upto") <= upto)
-        got = snap.agg(F.max("upto")).first()[0]
+            seen = seen.filter(F.col("upto") <= max(upto, -1))
+        return int(seen.agg(F.max("upto")).first()[0])
+
+    def last_batch(self, spark: SparkSession) -> int:
+        """The newest finished batch (its ``batches`` row is written last); -1: none."""
+        got = self.log(spark, "batches").agg(F.max("batch_id")).first()[0]
         return -1 if got is None else int(got)
 
     def running(self, spark: SparkSession, name: str, upto: int | None = None,
@@ -200,13 +211,15 @@ class AdState:
         snapshot plus the deltas written after it (never the whole history).
 
         ``snapshot`` skips the lookup when the caller already knows it (all
-        additive logs are compacted at the same batch ids). ``dates`` limits
+        tables are published together); ``upto`` defaults to the last
+        finished batch. ``dates`` limits
         the read to those days: a partition filter on the snapshot and a
         pushed ``IN`` filter (row-group skipping) on the date-sorted deltas.
         """
         cols = LOGS[name][0].names
-        s = self.latest_snapshot(spark, name, upto) if snapshot is None else snapshot
-        snap = self._read_snapshot(spark, name, [s]).filter(F.col(cols[0]).isNotNull())
+        upto = self.last_batch(spark) if upto is None else upto
+        s = self.latest_snapshot(spark, upto) if snapshot is None else snapshot
+        snap = self._read_snapshot(spark, name, s)
         deltas = self.log(spark, name, upto=upto, after=s)
         if dates is not None:
             snap = snap.filter(F.col("date").isin(list(dates)))
@@ -214,31 +227,36 @@ class AdState:
         return snap.select(*cols).unionByName(deltas.select(*cols))
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold every additive log through batch ``upto`` into a snapshot (M1).
+        """Fold every log through batch ``upto`` into a snapshot and publish it.
 
-        Deterministic for a given ``upto``, so re-running it after a failure
-        rewrites the same snapshot. Older deltas are no longer read.
+        It starts from a snapshot before ``upto`` and is deterministic, so
+        re-running it after a failure rewrites the same folders; nothing
+        reads them until the marker, written last, is there.
         """
-        # Fold from the snapshot before ``upto`` so the partition being written
-        # is never also read by the same job.
-        prev = self.latest_snapshot(spark, "counts", upto - 1)
+        prev = self.latest_snapshot(spark, upto - 1)
         for name, keys in ADDITIVE.items():
             rows = self.running(spark, name, upto, snapshot=prev)
-            folded = merge_add(rows.limit(0), rows, keys).select(*LOGS[name][0].names)
-            self._write_snapshot(folded, name, upto)
-        users = self.blacklist(spark, before=upto + 1, snapshot=self.latest_snapshot(spark, "blacklist", upto - 1))
-        self._write_snapshot(users, "blacklist", upto)
-        top = self.province_top3(spark, upto, snapshot=self.latest_snapshot(spark, "province_top3", upto - 1))
-        self._write_snapshot(top, "province_top3", upto)
+            self._write_snapshot(merge_add(rows.limit(0), rows, keys), name, upto)
+        self._write_snapshot(self.blacklist(spark, before=upto + 1, snapshot=prev), "blacklist", upto)
+        self._write_snapshot(self.province_top3(spark, upto, snapshot=prev), "province_top3", upto)
+        self._publish(spark, upto)
+        self._expire(spark)
+
+    def _expire(self, spark: SparkSession) -> None:
+        """Delete all but the newest snapshots, each one's marker first; the logs stay."""
+        ids = sorted(r[0] for r in self._published(spark).filter("upto >= 0").collect())   # KEEP_SNAPSHOTS + 1 rows
+        for old in ids[:-KEEP_SNAPSHOTS]:
+            release(spark, [self.path(f"published/v={old}")])
+            release(spark, [self.path(f"{name}_snapshot/upto={old}") for name in SNAPSHOTTED])
 
     # -- current tables: folds of the logs with the merge operators ---------
 
     def blacklist(self, spark: SparkSession, before: int | None = None,
                   snapshot: int | None = None) -> DataFrame:
         """A11 / M4 fold: every listed user once (newest snapshot + later log batches)."""
-        s = snapshot if snapshot is not None else self.latest_snapshot(
-            spark, "blacklist", None if before is None else before - 1)
-        snap = self._read_snapshot(spark, "blacklist", [s]).filter(F.col("user_id").isNotNull())
+        before = self.last_batch(spark) + 1 if before is None else before
+        s = snapshot if snapshot is not None else self.latest_snapshot(spark, before - 1)
+        snap = self._read_snapshot(spark, "blacklist", s)
         later = self.log(spark, "blacklist", before, after=s)
         return snap.select("user_id").unionByName(later.select("user_id")).distinct()
 
@@ -265,8 +283,9 @@ class AdState:
         latest rows of every group touched in the batches after it.
         """
         cols = schemas.AD_PROVINCE_TOP3.names
-        s = snapshot if snapshot is not None else self.latest_snapshot(spark, "province_top3", upto)
-        snap = self._read_snapshot(spark, "province_top3", [s]).filter(F.col("date").isNotNull()).select(*cols)
+        upto = self.last_batch(spark) if upto is None else upto
+        s = snapshot if snapshot is not None else self.latest_snapshot(spark, upto)
+        snap = self._read_snapshot(spark, "province_top3", s).select(*cols)
         later = self.log(spark, "province_top3", upto=upto, after=s)
         last = F.max("batch_id").over(Window.partitionBy(*ads.PROVINCE_KEYS))
         latest = (later.withColumn("_last", last).filter(F.col("batch_id") == F.col("_last")).select(*cols))
@@ -288,7 +307,8 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     tallied = parsed.observe(seen, F.count(F.lit(1)).alias("lines"),
                              F.sum((~F.col("is_valid")).cast("long")).alias("malformed"),
                              F.sum(F.col("is_valid").cast("long")).alias("valid"))
-    blacklist = state.blacklist(spark, before=batch_id)                     # A11, fresh per batch
+    snap = state.latest_snapshot(spark, batch_id - 1)                       # a replay starts before its own batch
+    blacklist = state.blacklist(spark, before=batch_id, snapshot=snap)      # A11, fresh per batch
     kept = ads.anti_blacklist(ads.ad_events(tallied), blacklist).persist()   # S2 / C6
     # The batch's days ride along with the count (bounded by the batch's time span).
     kept_tallied = kept.observe(passed, F.count(F.lit(1)).alias("kept"),
@@ -296,7 +316,6 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
 
     delta = ads.daily_user_ad_clicks(kept_tallied)                           # S3 / D19
     state.write(delta, "counts", batch_id)                                   # M1 (log form)
-    snap = state.latest_snapshot(spark, "counts", batch_id)
     days = sorted(passed.get.get("dates") or [])
     stored = ads.lookup_click_count(delta, state.running(spark, "counts", batch_id, snap, days))  # A12
     listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
@@ -314,8 +333,8 @@ def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
     got, k = seen.get, passed.get                                            # A7 / S2 tallies
     row = (got.get("lines", 0), got.get("malformed") or 0, got.get("valid") or 0, k.get("kept", 0))
     tallies = spark.createDataFrame([row], LOGS["batches"][0])
-    _run_all([lambda: state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id),  # S6
-              lambda: state.write(tallies, "batches", batch_id)])
+    state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id)  # S6
+    state.write(tallies, "batches", batch_id)                                # last: the batch is finished
     kept.unpersist()
     parsed.unpersist()
     if state.compact_every and batch_id > 0 and batch_id % state.compact_every == 0:
