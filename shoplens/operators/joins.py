@@ -10,9 +10,6 @@ Broadcast is decided by size, never by hope:
   measured at runtime (and can switch a sort-merge join to a broadcast
   join or split skewed partitions), and above the threshold the join
   stays a shuffle join.
-
-``checked_broadcast`` is for callers that want a hint on a side they
-cannot bound statically; it pays one small counting job.
 """
 
 from __future__ import annotations
@@ -20,14 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(small)`` when it has at most ``max_rows`` rows, else ``small``."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
 
 def bounded_broadcast(small: DataFrame) -> DataFrame:
     """Hint for a side whose row count is bounded by construction (top-n, parameters)."""

@@ -29,8 +29,7 @@ def merge_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
 
 def replace_groups(target: DataFrame, batch: DataFrame, group_keys: Sequence[str]) -> DataFrame:
     """M3: drop every target row of a group present in the batch, then add the batch."""
-    kept = target.join(batch.select(*group_keys).distinct(), list(group_keys), "left_anti").select(*target.columns)
-    return kept.unionByName(batch.select(*target.columns))
+    return merge_overwrite(target, batch, group_keys)
 
 
 def append_distinct(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

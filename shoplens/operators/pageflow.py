@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shoplens.config import store
 from shoplens.functions.scalar import ntz_to_epoch_millis, pair_label
 from shoplens.operators.joins import bounded_broadcast
 
@@ -38,13 +39,15 @@ def _windowed(actions: DataFrame, bucket_seconds: int | None,
     Chunks are contiguous in (session, time, id) order: a time bucket of
     ``bucket_seconds``, or, with ``range_chunks``, a range partition of
     (session, time, id) whose bounds Spark samples from the data, so even
-    one hot session-minute is cut across tasks (one extra shuffle).
+    one hot session-minute is cut across tasks. Sampled bounds may differ
+    from one run to the next, so the cut is written once and all readers
+    of it see the same chunks (one extra shuffle and write).
     """
     order = [F.col("action_time"), F.col("action_id")]
     a = actions.select("session_id", "page_id", "action_time", "action_id")
     if range_chunks:
-        a = (a.repartitionByRange(range_chunks, "session_id", "action_time", "action_id")
-             .withColumn("bucket", F.spark_partition_id().cast("bigint")))
+        a = store(a.repartitionByRange(range_chunks, "session_id", "action_time", "action_id")
+                  .withColumn("bucket", F.spark_partition_id().cast("bigint")), "page_chunks")
     elif bucket_seconds:
         a = a.withColumn("bucket", F.floor(ntz_to_epoch_millis("action_time") / (1000 * bucket_seconds)))
     else:
@@ -126,18 +129,6 @@ def start_page_count(actions: DataFrame, first_page: int) -> DataFrame:
         F.count(F.lit(1)).alias("start_count"))
 
 
-def chained_ratio(pair_counts: DataFrame, start: DataFrame) -> DataFrame:
-    """count(pair i) / count(pair i-1); the first pair divides by the start views.
-
-    Runs on the flow-sized table only (the start count becomes position 0),
-    so the un-partitioned window never sees the action table. Zero
-    denominators give NULL.
-    """
-    base = start.select(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("page_pair"),
-                        F.col("start_count").alias("pair_count"))
-    return ratios_from_counts(base.unionByName(pair_counts.select("pos", "page_pair", "pair_count")))
-
-
 def ratios_from_counts(counts: DataFrame) -> DataFrame:
     """W4 over a flow-sized (pos, page_pair, pair_count) table with position 0 = start views."""
     w = Window.partitionBy().orderBy("pos")

@@ -30,10 +30,9 @@ def extract_quota(hourly: DataFrame, total: int = 100) -> DataFrame:
     ``per_day = total div number_of_days``.
     """
     d = sessions_per_day(hourly)
-    per_day = F.floor(F.lit(total) / F.col("num_days"))
-    quota = F.least(F.floor(F.col("hour_count") * per_day / F.col("day_count")), F.col("hour_count"))
-    return d.select("date", "hour", "hour_count", "day_count", "num_days",
-                    per_day.cast("bigint").alias("per_day"), quota.cast("bigint").alias("quota"))
+    d = d.withColumn("per_day", F.expr(f"{int(total)}L div num_days"))
+    quota = F.least(F.expr("(hour_count * per_day) div day_count"), F.col("hour_count"))
+    return d.select("date", "hour", "hour_count", "day_count", "num_days", "per_day", quota.alias("quota"))
 
 
 def sample_order(seed: str) -> F.Column:
@@ -42,13 +41,8 @@ def sample_order(seed: str) -> F.Column:
 
 
 def random_extract(sessions: DataFrame, quotas: DataFrame, seed: str = "shoplens",
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS, max_quota: int | None = None) -> DataFrame:
-    """R2: ``quota`` sessions per (date, hour) of their start, drawn by seeded hash.
-
-    ``max_quota`` (an upper bound of every quota, e.g. the sample total)
-    adds a literal limit so Spark can also cut each sub-group before the
-    shuffle (partial ``WindowGroupLimit``, for bounds up to its threshold).
-    """
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """R2: ``quota`` sessions per (date, hour) of their start, drawn by seeded hash."""
     s = sessions.withColumn("date", F.date_format("start_time", "yyyy-MM-dd")) \
                 .withColumn("hour", F.date_format("start_time", "HH")) \
                 .withColumn("_h", sample_order(seed))
@@ -60,11 +54,8 @@ def random_extract(sessions: DataFrame, quotas: DataFrame, seed: str = "shoplens
     salt = F.pmod(F.xxhash64("session_id"), F.lit(salt_buckets))
     w1 = Window.partitionBy("date", "hour", "_salt").orderBy(*order)
     w2 = Window.partitionBy("date", "hour").orderBy(*order)
-    keep = F.col("_rn") <= F.col("quota")
-    if max_quota is not None:
-        keep = (F.col("_rn") <= F.lit(int(max_quota))) & keep
     first = (s.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(w1))
-             .filter(keep).drop("_rn", "_salt"))
+             .filter(F.col("_rn") <= F.col("quota")).drop("_rn", "_salt"))
     return (first.withColumn("_rn", F.row_number().over(w2))
             .filter(F.col("_rn") <= F.col("quota")).drop("_rn", "_h", "quota"))
 
@@ -73,4 +64,4 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "shoplens
                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """D13 -> R1 -> R2."""
     quotas = extract_quota(sessions_per_hour(sessions), total)
-    return random_extract(sessions, quotas, seed, salt_buckets, max_quota=total)
+    return random_extract(sessions, quotas, seed, salt_buckets)

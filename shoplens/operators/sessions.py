@@ -98,11 +98,6 @@ def semi_actions_in_sessions(actions: DataFrame, sessions: DataFrame) -> DataFra
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def with_buckets(sessions: DataFrame) -> DataFrame:
-    return sessions.withColumn("visit_bucket", visit_length_bucket("visit_length")) \
-                   .withColumn("step_bucket", step_length_bucket("step_length"))
-
-
 def visit_length_histogram(sessions: DataFrame) -> DataFrame:
     """Sessions per visit-length bucket (sessions of 0 s are in none)."""
     b = visit_length_bucket("visit_length")

@@ -131,20 +131,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The original 10-row city dimension (id, city, area).
-CITY_ROWS_CN = [
-    (0, "北京", "华北"), (1, "上海", "华东"), (2, "南京", "华东"), (3, "广州", "华南"),
-    (4, "三亚", "华南"), (5, "武汉", "华中"), (6, "长沙", "华中"), (7, "西安", "西北"),
-    (8, "成都", "西南"), (9, "哈尔滨", "东北"),
-]
-
-
-def city_dim(spark: SparkSession, rows=None) -> DataFrame:
-    """A5: an in-memory city dimension (defaults to the original 10 rows)."""
-    return spark.createDataFrame(rows if rows is not None else CITY_ROWS_CN,
-                                 "city_id bigint, city_name string, area_name string")
-
-
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 over the test tables: nation -> city, region -> area."""
     n = table(spark, sf_dir, "nation")
