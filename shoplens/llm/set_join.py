@@ -2,7 +2,8 @@
 
 Sets are the distinct 4-word shingles of a text, as 64-bit hashes. Two sets
 link when ``100 * |x & y| >= 85 * |x | y|``. The result is every row's set
-size and its component.
+size and its component. ``drop_near_copies`` is told width and limit by its
+caller.
 
 Classes.   Rows with equal sets form a class (grouped by a 128-bit digest
            with map-side combining); one row of it stands for all.
@@ -362,10 +363,13 @@ def keyed(docs: DataFrame, columns: list[str], row: str = "row") -> DataFrame:
     return store(with_row_key(docs.select(*columns), row), "keyed_documents")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id, then the first row."""
+def drop_near_copies(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id, then the first row.
+
+    Texts link when their ``width``-word sets are alike by at least ``num / den``.
+    """
     key = free_name(docs.columns, "row")
     table = keyed(docs, docs.columns, key)
-    found = set_components(table.select(F.col(key).alias("row"), "doc_id", "text"))
+    found = set_components(table.select(F.col(key).alias("row"), "doc_id", "text"), width, num, den)
     kept = found.filter("row = first_row").select(F.col("row").alias(key))
     return table.join(kept, key, "left_semi").select(*docs.columns)
