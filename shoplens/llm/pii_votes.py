@@ -264,16 +264,18 @@ def find_spans(docs: DataFrame, text_col: str = "text", carry: list[str] | None
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+    """``docs`` with every span replaced by its kind in angle brackets; what a span
+    shares with one before it counts for that one, the rest is replaced too."""
     found, name = find_spans(docs, text_col)
     tags = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     none = F.expr("CAST(array() AS array<struct<start:bigint,end:bigint,kind:int,from:bigint>>)")
 
     def apart(spans: Column) -> Column:
-        """Spans that begin at or after the end of the one before, each with that end."""
+        """What each span covers beyond those before it, with the end of these."""
         def step(acc: Column, s: Column) -> Column:
-            return F.when(s["start"] < acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), F.array_append(
-                acc["kept"], F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
+            start = F.greatest(s["start"], acc["at"])
+            return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), F.array_append(
+                acc["kept"], F.struct(start.alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
                                       acc["at"].alias("from"))).alias("kept")))
         return F.aggregate(spans, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("kept")), step)
 
