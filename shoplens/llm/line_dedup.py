@@ -1,21 +1,27 @@
-"""Operator 4: repeated lines across the corpus (built-in functions only).
+"""Operator 4: repeated lines and paragraphs across the corpus (built-in functions only).
 
-Lines are normalised (lower case, white space collapsed) and hashed to 128
-bits; lines of fewer than ``min_words`` words are left alone. Per digest
-the earliest occurrence by (doc_id, offset, row) stays; every other one is
-removed and reported with its offsets in the original text. Only digests and
-offsets are shuffled; a digest that a third of all lines share is counted
-with map-side combining, and its occurrences meet the digest's first one in
-a join of two stored tables, which the adaptive skew join can split.
+Two units are normalised (lower case, white space collapsed) and hashed to
+128 bits: every line with a word, and every paragraph of several lines (a
+run of lines between lines without a word). Both share their digests, so a
+paragraph broken into other lines, or into one, is found too. Per digest
+the earliest occurrence by (doc_id, row, line) stays; the lines of every
+other one are removed and reported with their offsets in the original text.
+What a removed unit repeats stands earlier, so its first copy stays.
+``repeated_lines`` is the same over lines of at least ``min_words`` words.
+
+Only digests and line numbers are shuffled; a digest that a third of all
+lines share is counted with map-side combining, and its occurrences meet the
+digest's first one in a join of two stored tables, which the adaptive skew
+join can split.
 
 Defined results: null or empty text has one empty line and nothing to
-remove; repeated rows lose all their long lines but the first row's; null
+remove; repeated rows lose all their lines but the first row's; null
 doc_ids rank first; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.config import store
@@ -59,3 +65,63 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return table.select("row", "doc_id", "n_lines").join(store(spans, "removed_lines"), "row", "left").select(
         "row", "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("removed", none).alias("removed"))
+
+
+def _digest(norm: Column) -> list[Column]:
+    return [F.xxhash64(norm).alias("h1"), F.xxhash64(F.lit("|"), norm, F.length(norm)).alias("h2")]
+
+
+def all_units(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, n_lines, spans, units): spans are (start, end) of the lines with a word, units
+    (at, n, h1, h2) the lines and paragraphs that begin at span ``at`` and have ``n`` of them."""
+    def found(lines: Column) -> Column:
+        sizes = F.transform(lines, lambda x: (F.length(x) + 1).cast("bigint"))
+
+        def placed(starts: Column) -> Column:
+            return F.transform(lines, lambda x, i: F.struct(
+                F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(x)).alias("end"),
+                F.trim(F.regexp_replace(F.lower(x), r"\s+", " ")).alias("norm")))
+
+        def parted(every: Column) -> Column:
+            text = F.array_join(F.transform(every, lambda u: u["norm"]), "\n")
+            paragraphs = F.split(F.trim(text, F.lit("\n")), "\n\n+")
+            return F.struct(
+                F.size(every).cast("bigint").alias("n_lines"), F.filter(every, lambda u: u["norm"] != "").alias("worded"),
+                F.transform(paragraphs, lambda p: F.struct(p.alias("text"), F.size(F.split(p, "\n")).cast("bigint").alias("n")))
+                .alias("paragraphs"))
+
+        return let(let(sizes, lambda s: let(running_sums(s), placed)), parted)
+
+    def united(u: Column) -> Column:
+        one = F.transform(u["worded"], lambda x, i: F.struct(
+            i.cast("bigint").alias("at"), F.lit(1).cast("bigint").alias("n"), *_digest(x["norm"])))
+
+        def several(ats: Column) -> Column:
+            each = F.transform(u["paragraphs"], lambda p, i: F.struct(
+                F.get(ats, i).alias("at"), p["n"].alias("n"), *_digest(F.translate(p["text"], "\n", " "))))
+            return F.filter(each, lambda x: x["n"] > 1)
+
+        counts = F.transform(u["paragraphs"], lambda p: p["n"])
+        return F.struct(u["n_lines"].alias("n_lines"),
+                        F.transform(u["worded"], lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("spans"),
+                        F.concat(one, let(counts, lambda c: let(running_sums(c), several))).alias("units"))
+
+    rows = docs.select("doc_id", let(let(F.split(F.coalesce("text", F.lit("")), "\n"), found), united).alias("u"))
+    return with_row_key(rows.select("doc_id", "u.n_lines", "u.spans", "u.units"), "row")
+
+
+def repeated_units(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_lines, n_removed, removed (array of start and end of lines), row."""
+    table = store(all_units(docs), "all_units")
+    each = store(table.select("row", "doc_id", F.explode("units").alias("u")).select("row", "doc_id", "u.*"), "unit_occurrences")
+    firsts = store(each.groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "at")).alias("first"))
+        .filter("n > 1").select("h1", "h2", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")),
+        "repeated_units")
+    again = each.join(firsts, ["h1", "h2"]).filter("row <> first_row OR at <> first_at")
+    found = store(again.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("found")), "removed_units")
+    none = F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)")
+    lines = F.flatten(F.transform("found", lambda u: F.slice("spans", (u["at"] + 1).cast("int"), u["n"].cast("int"))))
+    return table.select("row", "doc_id", "n_lines", "spans").join(found, "row", "left").select(
+        "row", "doc_id", "n_lines", F.coalesce(F.sort_array(F.array_distinct(lines)), none).alias("removed")).select(
+        "row", "doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), "removed")
