@@ -3,18 +3,20 @@
 Per host, paths form a tree of segments. Segments that look like numbers
 or hashes become wildcards at once; then, level by level, a node with more
 than ``FANOUT`` different children has its rarer children replaced by one
-wildcard. Sibling templates whose share of bad pages does not differ from
-their parent's by more than ``Z`` standard errors are merged with it. A
-template's purity is smoothed towards its host's, and the host's towards
-the corpus's; templates that are bad by at least ``REJECT`` are rejected.
+wildcard. From the deepest level up, siblings whose share of bad pages does
+not differ from that of all of them by more than ``Z`` standard errors are
+merged; those that differ stay groups of their own and leave the pool. A
+group's bad share is shrunk by a beta prior fitted to the hosts' shares, as
+in operator 9; its templates are rejected when the shrunk share minus ``Z``
+posterior deviations lies above the corpus's share.
 
 Pages are first summed per (host, template), with map-side sums, so a host
 with a third of all pages is a few rows from there on. Pages meet their
 template's verdict in a join of two stored tables.
 
 Defined results: a null url, or one without ``://``, has empty host and path
-and is judged like any host; unlabelled templates keep the smoothed rate;
-repeated rows are judged alike; an empty table gives no rows; other
+and is judged like any host; unlabelled templates have the share of the
+siblings they are merged with, the corpus's if none has labels; repeated rows are judged alike; an empty table gives no rows; other
 columns are ignored.
 """
 
@@ -28,13 +30,12 @@ from shoplens.llm.common import UPPER
 
 #: Levels of the tree; deeper segments are one wildcard.
 DEPTH = 4
+#: Last segment of a template's node; no real segment holds a slash.
+END = "/"
 FANOUT = 20
 #: Share of a node's pages from which a child stays a branch of its own.
 OWN_SHARE = 0.05
 Z = 1.96
-#: Pseudo-pages of the smoothing, and the bad share from which a template is rejected.
-WEIGHT = 20.0
-REJECT = 0.5
 
 
 def host_of(url: Column) -> Column:
@@ -86,6 +87,8 @@ def generalise(templates: DataFrame) -> DataFrame:
         wide = nodes.filter(F.col("kids") > FANOUT)
         rare = store(kids.join(wide, ["host", "node"]).filter(F.col("kid_n") < OWN_SHARE * F.col("node_n"))
                      .select("host", "node", "child", F.lit(True).alias("rare")), "rare_children")
+        if rare.isEmpty():
+            continue
         left = t.withColumn("node", F.slice("path_template", 1, level)).withColumn("child", child)
         wild = F.transform("path_template", lambda s, i: F.when(i == level, F.lit("*")).otherwise(s))
         t = store(left.join(rare, ["host", "node", "child"], "left").withColumn(
@@ -94,27 +97,68 @@ def generalise(templates: DataFrame) -> DataFrame:
     return t
 
 
+def template_groups(leaves: DataFrame) -> DataFrame:
+    """(host, group_node, labelled, bad): siblings alike merged bottom-up, level by level.
+
+    A node's children that differ from all its children together stay groups
+    of their own and leave the pool; the rest is the node, one level up. Paths
+    end with ``END``, so a template and the branch below it are different nodes.
+    """
+    deepest = leaves.agg(F.max(F.size("node")).alias("d")).first()["d"] or 0
+    pools, groups = None, []
+    for level in range(deepest, 0, -1):
+        own = leaves.filter(F.size("node") == level)
+        nodes = own if pools is None else own.unionByName(pools)
+        nodes = nodes.withColumn("parent", F.slice("node", 1, level - 1))
+        parents = nodes.groupBy("host", "parent").agg(F.sum("labelled").alias("p_labelled"), F.sum("bad").alias("p_bad"))
+        pooled = (F.col("p_bad") + 1) / (F.col("p_labelled") + 2)
+        off = F.col("bad") - F.col("labelled") * pooled
+        alike = off * off <= Z * Z * F.col("labelled") * pooled * (1 - pooled)
+        judged = store(nodes.join(parents, ["host", "parent"]).select(
+            "host", "node", "parent", "labelled", "bad", alike.alias("alike")), "sibling_templates")
+        groups.append(judged.filter(~F.col("alike")).select("host", "node", "labelled", "bad"))
+        # A pool that is empty remains as a node without labels.
+        kept = [F.coalesce(F.sum(F.when(F.col("alike"), F.col(c))), F.lit(0)).cast("bigint").alias(c) for c in ("labelled", "bad")]
+        pools = judged.groupBy("host", F.col("parent").alias("node")).agg(*kept)
+    for g in groups:
+        pools = g if pools is None else pools.unionByName(g)
+    pools = leaves if pools is None else pools
+    return store(pools.select("host", F.col("node").alias("group_node"), "labelled", "bad"), "template_groups")
+
+
+def host_prior(hosts: DataFrame) -> tuple[float, float]:
+    """(mean, strength) of the beta prior of the hosts' bad shares, by the method of moments."""
+    share = F.col("bad") * F.col("bad") / F.col("labelled")
+    m = hosts.filter("labelled > 0").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("bad"), F.sum(share).alias("square")).first()
+    n = m["n"] or 0
+    if not n:
+        return 0.5, 1.0
+    p = (m["bad"] + 1) / (n + 2)
+    variance = max(m["square"] / n - (m["bad"] / n) ** 2, 1e-9)
+    return p, max(p * (1 - p) / variance - 1, 1.0)
+
+
 def judged_templates(templates: DataFrame) -> DataFrame:
     """(host, segs, template, merged, bad_share, rejected) of every raw template."""
     t = generalise(templates)
-    sums = [F.sum(c).alias(c) for c in ("labelled", "bad")]
-    total = t.agg(*sums).first()
-    corpus = ((total["bad"] or 0) + 1) / ((total["labelled"] or 0) + 2)
-    hosts = t.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("bad").alias("host_bad"))
-    leaves = t.groupBy("host", "path_template").agg(*sums).withColumn(
-        "parent", F.slice("path_template", 1, F.greatest(F.size("path_template") - 1, F.lit(0))))
-    parents = leaves.groupBy("host", "parent").agg(F.sum("labelled").alias("p_labelled"), F.sum("bad").alias("p_bad"))
-    leaves = leaves.join(parents, ["host", "parent"]).join(hosts, "host")
-    pooled = (F.col("p_bad") + 1) / (F.col("p_labelled") + 2)
-    off = F.abs(F.col("bad") - F.col("labelled") * pooled)
-    alike = off * off <= Z * Z * F.col("labelled") * pooled * (1 - pooled)
-    host_share = (F.col("host_bad") + WEIGHT * corpus) / (F.col("host_labelled") + WEIGHT)
-    bad, labelled = (F.when(alike, F.col(f"p_{c}")).otherwise(F.col(c)) for c in ("bad", "labelled"))
-    share = (bad + WEIGHT * host_share) / (labelled + WEIGHT)
-    leaves = store(leaves.select("host", "path_template", alike.alias("merged"), share.alias("bad_share")), "template_purity")
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("labelled", "bad")]
+    leaves = store(t.groupBy("host", F.concat("path_template", F.array(F.lit(END))).alias("node")).agg(*sums), "template_leaves")
+    p, strength = host_prior(leaves.groupBy("host").agg(*sums))
+    groups = template_groups(leaves)
+    # A template belongs to the first group on its way up.
+    way = leaves.select("host", "node", F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("node")), lambda k: F.slice("node", 1, k))).alias("group_node"))
+    best = way.join(groups, ["host", "group_node"]).groupBy("host", "node").agg(
+        F.max(F.struct(F.size("group_node").alias("size"), "labelled", "bad")).alias("g"))
+    total = F.col("g.labelled") + strength
+    share = (F.col("g.bad") + p * strength) / total
+    low = share - Z * F.sqrt(share * (1 - share) / (total + 1))
+    leaves = store(best.select("host", F.slice("node", 1, F.size("node") - 1).alias("path_template"),
+                               (F.col("g.size") < F.size("node")).alias("merged"), share.alias("bad_share"),
+                               (low > p).alias("rejected")), "template_purity")
     return t.join(leaves, ["host", "path_template"]).select(
         "host", "segs", F.concat(F.lit("/"), F.concat_ws("/", "path_template")).alias("template"), "merged", "bad_share",
-        (F.col("bad_share") >= REJECT).alias("rejected"))
+        "rejected")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
