@@ -8,7 +8,8 @@ not differ from that of all of them by more than ``Z`` standard errors are
 merged; those that differ stay groups of their own and leave the pool. A
 group's bad share is shrunk by a beta prior fitted to the hosts' shares, as
 in operator 9; its templates are rejected when the shrunk share minus ``Z``
-posterior deviations lies above the corpus's share.
+posterior deviations lies above the corpus's share. There is one round per
+level of the deepest path.
 
 Pages are first summed per (host, template), with map-side sums, so a host
 with a third of all pages is a few rows from there on. Pages meet their
@@ -28,8 +29,6 @@ from pyspark.sql import functions as F
 from shoplens.config import store
 from shoplens.llm.common import UPPER
 
-#: Levels of the tree; deeper segments are one wildcard.
-DEPTH = 4
 #: Last segment of a template's node; no real segment holds a slash.
 END = "/"
 FANOUT = 20
@@ -64,7 +63,7 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 
 
 def segments(path: Column) -> Column:
-    """Path segments, at most ``DEPTH`` and one wildcard for the rest; variable-looking ones as wildcards."""
+    """Path segments; variable-looking ones as wildcards."""
     parts = F.split(F.regexp_replace(path, "^/", ""), "/")
 
     def shape(s: Column) -> Column:
@@ -72,14 +71,14 @@ def segments(path: Column) -> Column:
                 .when(s.rlike("^[0-9]+[.][A-Za-z0-9]{1,5}$"), F.concat(F.lit("{n}."), F.substring_index(s, ".", -1)))
                 .when(s.rlike("^[0-9a-fA-F-]{8,}$") & s.rlike("[0-9]"), F.lit("{h}")).otherwise(s))
 
-    few = F.transform(F.slice(parts, 1, DEPTH), shape)
-    return F.when(F.size(parts) > DEPTH, F.concat(few, F.array(F.lit("**")))).otherwise(few)
+    return F.transform(parts, shape)
 
 
 def generalise(templates: DataFrame) -> DataFrame:
     """(host, segs, path_template, n, labelled, bad): wildcards for rare children, level by level."""
     t = templates.withColumn("path_template", F.col("segs"))
-    for level in range(DEPTH):
+    deepest = t.agg(F.max(F.size("segs")).alias("d")).first()["d"] or 0
+    for level in range(deepest):
         node = [F.col("host"), F.slice("path_template", 1, level).alias("node")]
         child = F.get("path_template", F.lit(level))
         kids = t.filter(F.size("path_template") > level).groupBy(*node, child.alias("child")).agg(F.sum("n").alias("kid_n"))
