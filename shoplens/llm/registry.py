@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import (chunk_dedup, host_rules, line_dedup, ngram_quality, packing, piece_bpe, pii_votes, set_join,
-                          token_counts, url_templates)
+from shoplens.llm import (chunk_dedup, host_rules, line_dedup, ngram_quality, packing, piece_bpe, pii_votes,
+                          ranked_search, set_join, token_counts, url_templates)
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -114,11 +114,36 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return set_join.set_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT row_number() OVER () AS r, doc_id, ws, len(ws) AS n FROM words WHERE len(ws) > 0),
+corpus AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM docs),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(ws) AS term FROM docs) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+items AS (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM items GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, corpus),
+scored AS (SELECT i, item_id, r, doc_id,
+                  CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nt)))) AS BIGINT) AS score
+           FROM asked JOIN w USING (term) JOIN tf USING (term), corpus GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                  doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_token_counts, op3_packing, op4_line_dedup, op5_exact_dedup, op6_ngram_quality, op7_pii,
-    op8_sentencepiece, op9_quality_rules, op10_jaccard_join)}
+    op8_sentencepiece, op9_quality_rules, op10_jaccard_join, op13_ranked_search)}
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op13_ranked_search": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
