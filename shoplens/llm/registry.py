@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import (chunk_dedup, host_rules, line_dedup, ngram_quality, packing, piece_bpe, pii_votes,
-                          ranked_search, set_join, token_counts, url_templates)
+                          ranked_search, set_join, token_counts, turn_repair, url_templates)
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -114,6 +114,11 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return set_join.set_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    damaged = turn_repair.damage(table(spark, sf, "conversations"))
+    return turn_repair.repair(damaged, absent="absent").filter("repaired_sha256 IS NOT NULL").drop("part", "turns")
+
+
 def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_search.search(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
 
@@ -141,7 +146,7 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_token_counts, op3_packing, op4_line_dedup, op5_exact_dedup, op6_ngram_quality, op7_pii,
-    op8_sentencepiece, op9_quality_rules, op10_jaccard_join, op13_ranked_search)}
+    op8_sentencepiece, op9_quality_rules, op10_jaccard_join, op11_turn_repair, op13_ranked_search)}
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op13_ranked_search": OP13_SQL}
 
