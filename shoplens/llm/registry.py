@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import (chunk_dedup, host_rules, line_dedup, ngram_quality, packing, piece_bpe, pii_votes,
-                          ranked_search, set_join, token_counts, turn_repair, url_templates)
+                          ranked_search, set_join, token_counts, turn_repair, url_templates,
+                          warc_archive)
 from shoplens.llm.common import lower_ascii
 from shoplens.sources.tables import table
 
@@ -119,6 +120,34 @@ def op11_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
     return turn_repair.repair(damaged, absent="absent").filter("repaired_sha256 IS NOT NULL").drop("part", "turns")
 
 
+def _base32(hexed: Column) -> Column:
+    """Base32 of 40 hex digits: every five become four."""
+    digits = [F.lpad(F.conv(F.substring(hexed, i, 5), 16, 32), 4, "0") for i in range(1, 41, 5)]
+    return F.translate(F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    found = warc_archive.round_trip(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return found.select(
+        "page_id", F.coalesce(F.octet_length("payload").cast("bigint"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(_base32(F.sha1("payload")), "payload_digest").alias("payload_digest"), "record_type",
+        F.col("refers_to_page").alias("refers_to"))
+
+
+OP12_SQL = """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages),
+k AS (SELECT page_id, h, sha1(h) AS s, row_number() OVER g AS rank, first_value(page_id) OVER g AS first
+      FROM p WINDOW g AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, r))
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           ((CAST('0x' || substr(s, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1
+           AS INT), 1)), '') AS payload_digest,
+       CASE WHEN rank = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN rank > 1 THEN first END AS refers_to
+FROM k
+"""
+
+
 def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_search.search(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
 
@@ -146,9 +175,9 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_token_counts, op3_packing, op4_line_dedup, op5_exact_dedup, op6_ngram_quality, op7_pii,
-    op8_sentencepiece, op9_quality_rules, op10_jaccard_join, op11_turn_repair, op13_ranked_search)}
+    op8_sentencepiece, op9_quality_rules, op10_jaccard_join, op11_turn_repair, op12_warc, op13_ranked_search)}
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op13_ranked_search": OP13_SQL}
+ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op12_warc": OP12_SQL, "op13_ranked_search": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
