@@ -117,7 +117,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
                 size += len(row[2])
             out = ArchiveFrames(train([r[2] for r in held if not r[3]]))
             n, total = 0, len(out.head)
-            with files.open_output_stream(f"{root}/{name}") as f:
+            with files.open_output_stream(f"{root}/{name}", compression=None) as f:
                 f.write(out.head)
                 at = iter(held)
                 head = next(at)
@@ -165,7 +165,7 @@ def read_archives(archives: DataFrame, strict: bool = False) -> DataFrame:
                     data = batch.column(1)[i].as_py()
                 else:
                     files, name = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
-                    with files.open_input_stream(name) as f:
+                    with files.open_input_stream(name, compression=None) as f:
                         data = f.read()
                 for at, frame in frames(data):
                     try:
