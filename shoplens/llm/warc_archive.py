@@ -2,9 +2,10 @@
 
 Writing: pages get a row key and the digest of their payload once and are
 stored; payloads that occur more than once are found by grouping the digests
-(map-side combined) and joined back on the digest, so a payload that a third
-of all pages share is one small row on one side and a skewed key, which Spark
-splits, on the other. Each task writes archives of about ``ARCHIVE_BYTES``
+(map-side combined) and stored as well, so that Spark knows their size when
+they are joined back: few of them are sent to the pages, which then stay
+where they are; of many, a payload that a third of all pages share is one
+small row on one side and a skewed key, which Spark splits, on the other. Each task writes archives of about ``ARCHIVE_BYTES``
 through ``pyarrow.fs`` under names of its own attempt and returns their
 names; only names that reach the stored list are ever read, so a task that
 was lost or ran twice leaves no record twice.
@@ -72,9 +73,9 @@ def records_of(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = store(with_row_key(pages.select(F.col("page_id").cast("bigint"), "url", html.alias("html")), "row")
                  .withColumn("digest", F.sha2("html", 256)), "warc_pages")
     key = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "row")
-    shared = (rows.filter(F.octet_length("html") >= min_bytes).groupBy("digest")
-              .agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("first")).filter("n > 1")
-              .select("digest", "first"))
+    shared = store(rows.filter(F.octet_length("html") >= min_bytes).groupBy("digest")
+                   .agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("first")).filter("n > 1")
+                   .select("digest", "first"), "warc_shared")
     own = record_id(F.col("page_id"), F.col("row"))
     first = record_id(F.col("first.page_id"), F.col("first.row"))
     return (rows.join(shared, "digest", "left")
