@@ -51,9 +51,12 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup.repeated_units(table(spark, sf, "documents").select("doc_id", "text"))
-    spans = F.concat_ws(",", F.transform("removed", lambda s: F.concat_ws(
-        ":", s["start"].cast("string"), s["end"].cast("string"))))
-    return found.select("doc_id", "n_lines", "n_removed", spans.alias("removed"))
+
+    def listed(spans: str) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+            ":", s["start"].cast("string"), s["end"].cast("string")))).alias(spans)
+
+    return found.select("doc_id", "n_pieces", "n_removed", listed("removed"), listed("repeated"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -130,23 +130,6 @@ def test_exact_duplicates_even_when_digests_collide(docs, rows, bits):
     assert sum(r.stays for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.stays)
 
 
-def test_repeated_lines(docs, rows):
-    seen, want = set(), {}
-    for d, t in sorted(rows, key=lambda r: r[0]):
-        at, cut = 0, []
-        for line in t.split("\n"):
-            k = " ".join(line.lower().split())
-            if len(k.split()) >= 20:
-                cut += [(at, at + len(line))] * (k in seen)
-                seen.add(k)
-            at += len(line) + 1
-        want.setdefault(d, []).append(cut)
-    got = defaultdict(list)
-    for r in line_dedup.repeated_lines(docs).collect():
-        got[r.doc_id].append([tuple(s) for s in r.removed])
-    assert {d: sorted(v) for d, v in got.items()} == {d: sorted(v) for d, v in want.items()}
-
-
 def test_base_spans(docs, rows):
     found, name = pii_votes.find_spans(docs.drop("kept"), carry=["doc_id", "text"])
     for r in found.collect():
@@ -276,7 +259,7 @@ def test_empty_tables(spark, docs):
         out = stage(spark, none, "")
         assert out.count() == 0, name
         assert name == "pack_windows" or out.columns == docs.columns
-    assert line_dedup.repeated_lines(none).count() == 0
+    assert line_dedup.repeated_units(none).count() == 0
 
 
 def test_pipeline_stages(spark, docs):
