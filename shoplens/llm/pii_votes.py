@@ -39,10 +39,12 @@ ACCEPT = 0.95
 ROUNDS = 50
 
 # The base patterns. Possessive runs and look-behinds only spare
-# backtracking; what they match, leftmost and without overlap, is the same.
+# backtracking (Java matches a repeated group by recursion, which a host name of
+# thousands of labels would exhaust); what they match, leftmost and without
+# overlap, is the same.
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 BASE = {
-    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)+",
+    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -50,7 +52,7 @@ BASE = {
 #: Looser candidates: spelled-out mail signs, eight-group addresses, grouped
 #: card numbers, numbers without the international prefix.
 LOOSE = {
-    "email": rf"{_LOCAL}++\x20?[(\[]at[)\]]\x20?{_LABEL}++(?:\x20?(?:\.|[(\[]dot[)\]])\x20?{_LABEL}++)+",
+    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++\x20?[(\[]at[)\]]\x20?{_LABEL}++(?:\x20?(?:\.|[(\[]dot[)\]])\x20?{_LABEL}++)++",
     "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20-][0-9]{4}){2}[\x20-][0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
@@ -77,19 +79,27 @@ _AGAINST = r"(?i)\b(?:version|isbn|issn|order|invoice|serial|build|page|doi|no\.
 
 
 def running_sums(sizes: Column) -> Column:
-    """Exclusive running sums of an array, in two levels of 64 entries."""
-    width = 64
-
+    """Exclusive running sums of an array of n entries, in three levels of about n^(1/3) each."""
     def total(a: Column) -> Column:
         return F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)
 
-    def by_blocks(blocks: Column) -> Column:
-        return F.transform(sizes, lambda _, i: total(F.slice(blocks, 1, (i / width).cast("int")))
-                           + total(F.slice(sizes, (i / width).cast("int") * width + 1, i % width)))
+    def blocks_of(a: Column, width: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(a) / width).cast("int")),
+                           lambda b: total(F.slice(a, b * width + 1, width)))
+
+    def by_width(width: Column) -> Column:
+        def by_small(small: Column) -> Column:
+            def at(i: Column, large: Column) -> Column:
+                block = F.floor(i / width).cast("int")
+                above = F.floor(block / width).cast("int")
+                return (total(F.slice(large, 1, above)) + total(F.slice(small, above * width + 1, block - above * width))
+                        + total(F.slice(sizes, block * width + 1, i - block * width)))
+
+            return let(blocks_of(small, width), lambda large: F.transform(sizes, lambda _, i: at(i, large)))
+
+        return let(blocks_of(sizes, width), by_small)
 
-    blocks = F.transform(F.sequence(F.lit(0), (F.size(sizes) / width).cast("int")),
-                         lambda b: total(F.slice(sizes, b * width + 1, width)))
-    return let(blocks, by_blocks)
+    return let(F.greatest(F.lit(1), F.ceil(F.cbrt(F.size(sizes))).cast("int")), by_width)
 
 
 def matches(text: Column, pattern: str, needs: str | None) -> Column:
