@@ -16,8 +16,11 @@ from functools import lru_cache
 import numpy as np
 
 #: Characters for which NFC is the identity, lower-casing works letter by letter
-#: and the classes below equal the splitter's Unicode classes.
-_OTHER = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa0-ɏ]|<\|(?:startoftext|endoftext)\|>")
+#: and the classes below equal the splitter's Unicode classes; those whose lower
+#: case leaves the range are not among them.
+_SAFE = [chr(c) for c in (*range(9, 14), *range(0x20, 0x7F), *range(0xA0, 0x250))]
+_SAFE = "".join(c for c in _SAFE if set(c.lower()) <= set(_SAFE))
+_OTHER = re.compile(rf"[^{re.escape(_SAFE)}]|<\|(?:startoftext|endoftext)\|>")
 # The splitter's pattern, with its classes spelled out for that range.
 _LETTER = "a-zªµºß-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
