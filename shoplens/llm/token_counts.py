@@ -23,7 +23,8 @@ ignored.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -47,13 +48,44 @@ def rank_encoding(ranks_path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+#: The end of patterns that give a run of white space, all but its last character if something
+#: follows, as one piece; Unicode's White_Space, and the length from which a run is cut out beforehand.
+_RUN_END = r"|\s+(?!\S)|\s+"
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 4096
+
+
+def length_counter(ranks_path: str, pattern: str, long_run: int = LONG_RUN) -> Callable[[str], int]:
+    """Encoded length of a text.
+
+    The library matches a run of white space by recursion and gives up on
+    very long ones. Where the pattern says what becomes of a run, long runs
+    are cut out at the piece's own bounds and encoded whole.
+    """
+    encoding = rank_encoding(ranks_path, pattern)
+    if not pattern.endswith(_RUN_END):
+        return lambda text: len(encoding.encode_ordinary(text))
+    whole = rank_encoding(ranks_path, r"[\s\S]+")
+    runs = re.compile(f"[{_WHITE}]{{{long_run},}}")
+
+    def count(text: str) -> int:
+        at = n = 0
+        for run in runs.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            n += len(encoding.encode_ordinary(text[at:run.start()])) + len(whole.encode_ordinary(text[run.start():end]))
+            at = end
+        return n + len(encoding.encode_ordinary(text[at:]))
+
+    return count
+
+
 def document_lengths(docs: DataFrame, ranks_path: str, pattern: str, group: str) -> DataFrame:
     """(grp, length): encoded length of every text under a rank-file vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = rank_encoding(ranks_path, pattern)
+        count = length_counter(ranks_path, pattern)
         for batch in batches:
-            lengths = [len(encoding.encode_ordinary(t)) for t in texts_of(batch.column(1))]
+            lengths = [count(t) for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["grp", "length"])
 
     return docs.select(F.col(group).cast("string"), "text").mapInArrow(run, "grp string, length long")
