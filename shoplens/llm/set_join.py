@@ -1,7 +1,8 @@
 """Operator 10: n-gram Jaccard join with set-relation skipping.
 
-Sets are the distinct 4-word shingles of a text, as 64-bit hashes. Two sets
-link when ``100 * |x & y| >= 85 * |x | y|``. The result is every row's set
+Sets are the distinct 4-word shingles of a text, told apart by 128-bit hashes
+made of their words' digests; 64 bits of them order and index the sets, all
+128 name classes and verify links. Two sets link when ``100 * |x & y| >= 85 * |x | y|``. The result is every row's set
 size and its component. ``drop_near_copies`` is told width and limit by its
 caller.
 
@@ -53,7 +54,7 @@ from shoplens.config import release, store, tracked_scratch
 from shoplens.llm.common import free_name, row_slices, texts_of, with_row_key
 from shoplens.llm.components import connected_components
 from shoplens.llm.list_compare import near_pairs, parity_bits, parity_distance
-from shoplens.llm.shingles import shingle_set
+from shoplens.llm.shingles import in_common, shingle_halves, shingle_set
 
 WIDTH = 4
 #: Similarity as a ratio of integers: at least NUM / DEN.
@@ -128,7 +129,7 @@ def sets_table(docs: DataFrame, marked: np.ndarray, width: int, num: int, den: i
             for lo, hi in row_slices([len(t) for t in texts]):
                 sizes, digests, parities, prefixes = [], [], [], []
                 for t in texts[lo:hi]:
-                    s = shingle_set(t, width)
+                    s, second = shingle_halves(t, width)
                     sizes.append(len(s))
                     if not len(s):
                         digests.append(None), parities.append(None), prefixes.append([])
@@ -139,7 +140,7 @@ def sets_table(docs: DataFrame, marked: np.ndarray, width: int, num: int, den: i
                     first = s[often == 0][:k]
                     if len(first) < k:
                         first = np.concatenate((first, s[often == 1][:k - len(first)]))
-                    digests.append(blake2b(s.tobytes(), digest_size=16).digest())
+                    digests.append(blake2b(s.tobytes() + second.tobytes(), digest_size=16).digest())
                     parities.append(parity_bits(s))
                     prefixes.append(first.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -182,11 +183,11 @@ def distances(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int
             found, linked = [], []
             for a, s, t in zip(batch["a"].to_pylist(), batch["ta"].to_pylist(), batch["tb"].to_pylist()):
                 if a != last:
-                    last, x = a, shingle_set(s or "", width)
-                y = shingle_set(t or "", width)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                found.append(len(x) + len(y) - 2 * both)
-                linked.append(den * both >= num * (len(x) + len(y) - both))
+                    last, x = a, shingle_halves(s or "", width)
+                y = shingle_halves(t or "", width)
+                both, sizes = in_common(x, y), len(x[0]) + len(y[0])
+                found.append(sizes - 2 * both)
+                linked.append(den * both >= num * (sizes - both))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], batch["flag"], pa.array(found, pa.int64()),
                                               pa.array(linked, pa.bool_())], ["a", "b", "flag", "d", "linked"])
 

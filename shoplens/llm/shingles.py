@@ -1,44 +1,34 @@
-"""Word-shingle sets as sorted arrays of 64-bit hashes (NumPy, no Spark in here)."""
+"""Word-shingle sets as sorted arrays of 128-bit hashes in two halves (NumPy, no Spark in here).
+
+A word's hash is its BLAKE2b digest, kept for the words seen last; a
+shingle's halves each combine one half of its words' digests by place. The
+first half orders and indexes a set; both halves together tell shingles
+apart where sets are compared.
+"""
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 _U = np.uint64
 _RNG = np.random.default_rng(90210)
-#: Fixed odd multipliers: one per byte value, the power base, and one per word place.
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_BASE = 0x9E3779B97F4A7C15
-_PLACE = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) * _U(2) + _U(1)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    step = 1
-    while step < n:
-        m = min(step, n - step)
-        out[step:step + m] = out[:m] * _U(pow(base, step, 1 << 64))
-        step += m
-    return out
+#: Fixed odd multipliers, one per word place, for either half.
+_PLACE = _RNG.integers(1, 1 << 63, (8, 2), dtype=np.uint64) * _U(2) + _U(1)
+#: Words whose digests a process keeps (about 150 bytes each).
+KEPT_WORDS = 400_000
 
 
-class _Table:
-    """Powers of the base and of its inverse, grown on demand."""
+class _Digests(dict):
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        found = self[word] = blake2b(word, digest_size=16).digest()
+        return found
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(0, np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            self.up, self.down = _powers(size, _BASE), _powers(size, pow(_BASE, -1, 1 << 64))
-        return self.up, self.down
-
-
-_TABLE = _Table()
+_DIGESTS = _Digests()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -48,30 +38,50 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A hash per word, A-Z lower-cased; words end at the six ASCII white-space characters."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
-    if not len(data):
-        return np.zeros(0, np.uint64)
-    blank = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
-    lo, hi = edge[::2], edge[1::2]
-    up, down = _TABLE.upto(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
-    return mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64))
+def word_digests(text: str) -> np.ndarray:
+    """Two 64-bit halves per word, A-Z lower-cased; words end at the six ASCII white-space characters."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return np.frombuffer(b"".join(map(_DIGESTS.__getitem__, words)), "<u8").reshape(-1, 2)
 
 
-def shingle_set(text: str, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the ``width``-word shingles; of the whole sequence if shorter."""
-    words = word_hashes(text)
+def _hashes(words: np.ndarray, width: int, half: int) -> np.ndarray:
     n = len(words)
-    if n == 0:
-        return words
     k = min(n, width)
     h = np.zeros(n - k + 1, np.uint64)
     for j in range(k):
-        h += words[j:n - k + 1 + j] * _PLACE[j]
-    h = mix(h + _U(k))
+        h += words[j:n - k + 1 + j, half] * _PLACE[j, half]
+    return mix(h + _U(k))
+
+
+def shingle_set(text: str, width: int) -> np.ndarray:
+    """Sorted distinct first halves of the ``width``-word shingles; of the whole sequence if shorter."""
+    words = word_digests(text)
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    h = _hashes(words, width, 0)
     h.sort()
     return h[np.concatenate(([True], h[1:] != h[:-1]))]
+
+
+def shingle_halves(text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the distinct shingles, sorted."""
+    words = word_digests(text)
+    if not len(words):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    first, second = _hashes(words, width, 0), _hashes(words, width, 1)
+    order = np.argsort(first)
+    a, b = first[order], second[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((second, first))
+        a, b = first[order], second[order]
+    own = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    return a[own], b[own]
+
+
+def in_common(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> int:
+    """Shingles of both sets, given by their halves."""
+    if not len(x[0]) or not len(y[0]):
+        return 0
+    at = np.searchsorted(y[0], x[0])
+    at[at == len(y[0])] = 0
+    return int(((y[0][at] == x[0]) & (y[1][at] == x[1])).sum())

@@ -3,6 +3,8 @@
 import numpy as np
 
 import corpus_pipeline
+from shoplens.llm import set_join, shingles
+from shoplens.llm.shingles import in_common, shingle_halves, shingle_set
 from tests.llm.test_operators import _words
 
 
@@ -33,3 +35,25 @@ def test_stage_drops_what_is_alike_by_four_fifths(spark):
     kept = {r.doc_id for r in corpus_pipeline.jaccard_join(spark, docs, "").collect()}
     assert kept == _survivors(texts, 5, 80)
     assert kept != _survivors(texts, 4, 85)
+
+
+def _opposite_words(n):
+    """Words of ``n`` letters that equal any polynomial hash modulo 2 ** 64: a sequence of signs and its negation."""
+    signs = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[s] for s in signs), "".join("ba"[s] for s in signs)
+
+
+def test_words_of_equal_polynomial_hash_do_not_link(spark):
+    a, b = _opposite_words(1024)
+    texts = [f"x y z {a}", f"x y z {b}", f"X y z {a}", f"{a} {b} " * 40, f"{b} {a} " * 40]
+    docs = set_join.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id", "text"])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in set_join.set_components(docs).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 0), 3: (2, 3), 4: (2, 3)}
+    assert not np.isin(shingle_set(texts[0], 4), shingle_set(texts[1], 4)).any()
+
+
+def test_halves_tell_shingles_apart(monkeypatch):
+    monkeypatch.setattr(shingles, "_hashes", lambda words, width, half: np.array([5, 5, 5, 7] if half == 0 else [1, 2, 1, 3], np.uint64))
+    x = shingle_halves("a", 4)
+    assert [h.tolist() for h in x] == [[5, 5, 7], [1, 2, 3]]
+    assert in_common((np.array([5, 7], np.uint64), np.array([9, 3], np.uint64)), (np.array([5, 7], np.uint64), np.array([1, 3], np.uint64))) == 1
