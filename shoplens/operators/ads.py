@@ -41,14 +41,18 @@ def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
     return parsed.withColumn("is_valid", F.coalesce(valid, F.lit(False)))
 
 
+def ad_time_texts(parsed: DataFrame) -> DataFrame:
+    """UTC date / hour / minute texts of the valid lines; null for the others."""
+    ntz = F.when(F.col("is_valid"), epoch_millis_to_ntz("time_ms"))
+    return (parsed.withColumn("date", F.date_format(ntz, "yyyy-MM-dd"))
+            .withColumn("hour", F.date_format(ntz, "HH"))
+            .withColumn("minute", F.date_format(ntz, "mm")))
+
+
 def ad_events(parsed: DataFrame) -> DataFrame:
     """Valid lines with UTC date / hour / minute texts and an event-time column."""
-    ntz = epoch_millis_to_ntz("time_ms")
-    return (parsed.filter("is_valid").drop("is_valid")
-            .withColumn("date", F.date_format(ntz, "yyyy-MM-dd"))
-            .withColumn("hour", F.date_format(ntz, "HH"))
-            .withColumn("minute", F.date_format(ntz, "mm"))
-            .withColumn("event_time", ntz.cast("timestamp")))
+    return (ad_time_texts(parsed).filter("is_valid").drop("is_valid")
+            .withColumn("event_time", F.timestamp_millis("time_ms")))
 
 
 def malformed_lines(parsed: DataFrame) -> DataFrame:

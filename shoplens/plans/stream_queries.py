@@ -2,7 +2,7 @@
 
 The stream replays the derived ad log in ``SLICES`` ordered slices of
 ``event_id``: each slice is written as new files under the source folder
-and consumed by one ``availableNow`` run of the same checkpointed query,
+and consumed by one ``availableNow`` run of each of the stream's queries,
 so slice i is micro-batch i (and every run after the first is a restart
 from the checkpoint). The oracle is the closed form of SURVEY §7.5: a
 user is listed at the first batch where a cumulative (date, user, ad)
@@ -24,35 +24,46 @@ from shoplens.streaming import ad_stream as st
 
 THRESHOLD = 2   # 100 is never reached on the test tables (SURVEY §7.5)
 SLICES = 3
+LATE_EVERY = 7  # in the replay with late lines, every seventh comes a slice late
 
 _RUNS: dict = {}
 
 
-def sliced_ad_lines(spark: SparkSession, sf: str, slices: int = SLICES) -> DataFrame:
+def sliced_ad_lines(spark: SparkSession, sf: str, slices: int = SLICES, late: bool = False) -> DataFrame:
     """Ad log lines with their replay slice ``b`` (ordered ranges of event_id)."""
     mx = src.table(spark, sf, "events").agg(F.max("event_id")).first()[0]
-    return src.ad_log_lines(spark, sf).withColumn(
-        "b", F.floor(F.col("event_id") * slices / (mx + 1)).cast("bigint"))
+    b = F.floor(F.col("event_id") * slices / (mx + 1))
+    if late:
+        b = F.least(b + (F.col("event_id") % LATE_EVERY == 0).cast("int"), F.lit(slices - 1))
+    return src.ad_log_lines(spark, sf).withColumn("b", b.cast("bigint"))
 
 
-def run_ad_pipeline(spark: SparkSession, sf: str, threshold: int = THRESHOLD,
-                    slices: int = SLICES) -> st.AdState:
+def _version(spark: SparkSession, sf: str) -> tuple:
+    """Size and age of the files that the replay reads."""
+    files = src.table(spark, sf, "events").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("file_size"), F.max("file_modification_time")).first())
+
+
+def run_ad_pipeline(spark: SparkSession, sf: str, threshold: int = THRESHOLD, slices: int = SLICES,
+                    late: bool = False) -> st.AdStream:
     """Replay the ad log through the stream once per session and inputs."""
-    key = (spark.sparkContext.applicationId, sf, threshold, slices)
+    key = (spark.sparkContext.applicationId, sf, _version(spark, sf), threshold, slices, late)
     if key in _RUNS:
         return _RUNS[key]
     base = scratch_path(spark, "adstream")
-    state = st.AdState(f"{base}/state", threshold)
-    state.init(spark)
-    lines = sliced_ad_lines(spark, sf, slices).persist()   # derived once, written slice by slice
-    for i in range(slices):
-        lines.filter(F.col("b") == i).select("value").write.mode("overwrite").text(f"{base}/source/slice{i:05d}")
-        q = st.start_ad_stream(st.ad_log_stream(spark, f"{base}/source"), state, f"{base}/checkpoint",
-                               {"availableNow": True})
-        q.awaitTermination()
-    lines.unpersist()
-    _RUNS[key] = state
-    return state
+    stream, now = st.AdStream(base, threshold), {"availableNow": True}
+    lines = sliced_ad_lines(spark, sf, slices, late).persist()   # derived once, written slice by slice
+    try:
+        for i in range(slices):
+            lines.filter(F.col("b") == i).select("value").write.mode("overwrite").text(f"{base}/source/slice{i:05d}")
+            stream.start_filter(st.ad_log_stream(spark, f"{base}/source"), now).awaitTermination()
+            after = [stream.start_trend(spark, now)] + ([] if late else [stream.start_totals(spark, now)])
+            for q in after:                                # both read the clicks, neither reads the other
+                q.awaitTermination()
+    finally:
+        lines.unpersist()
+    _RUNS[key] = stream
+    return stream
 
 
 # ------------------------------------------------------------ oracle pieces
@@ -120,7 +131,7 @@ _LINES_B = [("lb", f"""
 SELECT b AS batch_id, count(*) AS lines, count(*) FILTER (WHERE NOT is_valid) AS malformed
 FROM lb GROUP BY b""", _LINES_B))
 def q_ad_log_source(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "batches").select("batch_id", "lines", "malformed")
+    return run_ad_pipeline(spark, sf).batches(spark).select("batch_id", "lines", "malformed")
 
 
 @register("stream_blacklist_filter", ov.sql(["ad_events", "ad_parsed"], """
@@ -128,24 +139,24 @@ SELECT v.b AS batch_id, v.valid, coalesce(k.kept, 0) AS kept
 FROM (SELECT b, count(*) AS valid FROM ev GROUP BY b) v
 LEFT JOIN (SELECT b, count(*) AS kept FROM counted GROUP BY b) k ON v.b = k.b""", _STREAM_CTES))
 def q_stream_blacklist_filter(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "batches").select("batch_id", "valid", "kept")
+    return run_ad_pipeline(spark, sf).batches(spark).select("batch_id", "valid", "kept")
 
 
 @register("stream_daily_counts", _s(
     "SELECT b AS batch_id, date, user_id, ad_id, count(*) AS click_count FROM counted GROUP BY ALL"))
 def q_stream_daily_counts(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "counts")
+    return run_ad_pipeline(spark, sf).kept_counts(spark, ads.DAILY_KEYS)
 
 
 @register("stream_blacklist_update", _s("SELECT listed_at AS batch_id, user_id FROM listed"))
 def q_stream_blacklist_update(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "blacklist")
+    return run_ad_pipeline(spark, sf).clicks(spark, "listed").select("batch_id", "user_id")
 
 
 @register("stream_ad_stat", _s(
     "SELECT b AS batch_id, date, province, city, ad_id, count(*) AS click_count FROM counted GROUP BY ALL"))
 def q_stream_ad_stat(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "ad_stat")
+    return run_ad_pipeline(spark, sf).kept_counts(spark, ads.AD_STAT_KEYS)
 
 
 @register("stream_province_top3", _s("""
@@ -158,13 +169,34 @@ SELECT b AS batch_id, date, province, ad_id, click_count FROM (
   FROM touched t JOIN counted c ON c.date = t.date AND c.province = t.province AND c.b <= t.b
   GROUP BY ALL""")]))
 def q_stream_province_top3(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "province_top3")
+    return spark.read.parquet(run_ad_pipeline(spark, sf).path("top3_changes"))
 
 
 @register("stream_click_trend", _s(
     "SELECT b AS batch_id, date, hour, minute, ad_id, count(*) AS click_count FROM counted GROUP BY ALL"))
 def q_stream_click_trend(spark, sf):
-    return run_ad_pipeline(spark, sf).log(spark, "click_trend")
+    return run_ad_pipeline(spark, sf).kept_counts(spark, ads.TREND_KEYS)
+
+
+_LATE_EV = f"""
+  SELECT a.*, least(CAST(floor(a.event_id * {SLICES} / (SELECT max(event_id) + 1 FROM events)) AS BIGINT)
+                    + CASE WHEN a.event_id % {LATE_EVERY} = 0 THEN 1 ELSE 0 END, {SLICES - 1}) AS b
+  FROM ad_events a"""
+
+
+# A click is late when its minute ended ten minutes or more before the newest kept click of the slices before.
+@register("stream_late_clicks", ov.sql(["ad_events"], """
+SELECT date, hour, minute, ad_id, count(*) FILTER (WHERE NOT late) AS click_count, count(*) FILTER (WHERE late) AS late_clicks
+FROM (SELECT c.*, coalesce((time_ms // 60000 + 1) * 60000 <= m.newest - 600000, FALSE) AS late
+      FROM counted c LEFT JOIN marks m ON m.b = c.b) x
+GROUP BY date, hour, minute, ad_id""", [("ev", _LATE_EV), *_STREAM_CTES[1:], ("marks", f"""
+  SELECT s.b, max(c.time_ms) AS newest FROM range({SLICES}) s(b) JOIN counted c ON c.b < s.b GROUP BY s.b""")]))
+def q_stream_late_clicks(spark, sf):
+    stream = run_ad_pipeline(spark, sf, late=True)
+    kept = stream.clicks(spark, "kept").groupBy(*ads.TREND_KEYS).agg(F.sum("n").alias("all_clicks"))
+    counted = F.coalesce("click_count", F.lit(0))
+    return kept.join(stream.click_trend(spark), list(ads.TREND_KEYS), "left").select(
+        *ads.TREND_KEYS, counted.alias("click_count"), (F.col("all_clicks") - counted).alias("late_clicks"))
 
 
 # ------------------------------------------------------------ batch forms

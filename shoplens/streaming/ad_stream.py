@@ -1,68 +1,71 @@
 """Real-time ad-click statistics with a self-updating blacklist.
 
-One ``foreachBatch`` function per micro-batch, in this order:
-
-1. read the blacklist as of the previous batches (fresh every batch),
-2. drop its users' clicks (C6),
-3. count clicks per (date, user, ad) and store them (D19 + M1),
-4. users whose stored total for a key of this batch reached the
-   threshold join the blacklist (A12 + D20 + M4),
-5. running clicks per (date, province, city, ad) (S5), the top 3 ads per
-   (date, province) of the touched groups (S6) and clicks per minute (S7).
-
-State lives in append-only Parquet logs under the shared work folder,
-one partition per ``batch_id`` (and per ``date`` for the big ones). A
-batch overwrites only its own partitions and reads only earlier ones,
-so replaying a batch after a failure (same ``batch_id``, same input, as
-Structured Streaming guarantees with a checkpoint) gives the same
-result: the sinks are idempotent. Current tables are set-based folds of
-the logs: M1 (``merge_add``) for the counts, M4 as a distinct over the
-append-only blacklist log, M3 as "rows of the last batch that touched
-each (date, province)" for the top 3.
+Three checkpointed Structured Streaming queries, each with its state in
+Spark's state store and its progress in its checkpoint:
+
+``filter``  ad log -> clicks. A user's state (listed or not, clicks per
+            (date, ad)) decides what becomes of the user's clicks of a
+            batch: of a listed user they are dropped; else they are kept and
+            counted, and when a (date, ad) total reaches the threshold the
+            user is listed from the next batch on (A11, S2, S3, S4). Lines
+            are counted per task before the shuffle, so a user with a third
+            of all clicks is a few rows a task. The file sink writes kept
+            clicks, dropped counts, newly listed users and malformed lines
+            exactly once, by kind.
+``totals``  kept clicks -> running totals per (date, user, ad) and per
+            (date, province, city, ad): one streaming aggregation in update
+            mode (S3, S5; M1). Its rows are the new totals of the touched
+            keys; ``foreachBatch`` merges them into plain tables (M2) and
+            replaces the top 3 of the touched provinces (S6, M3).
+``trend``   kept clicks -> clicks per (minute window, ad) under a watermark:
+            windows that are older than the watermark are settled and leave
+            the state, clicks that come later than that are not counted (S7).
+
+The result tables are plain Parquet, partitioned by date. A batch reads and
+rewrites only the days that it touches (``rewrite_days``): the new days are
+written aside in full before the first old file goes, so a batch that failed
+anywhere and is replayed ends in the same tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from shoplens import schemas
 from shoplens.config import release
 from shoplens.operators import ads
-from shoplens.operators.merge import merge_add, replace_groups
+from shoplens.operators.merge import merge_overwrite, replace_groups
 
 # The reference job's batch interval and blacklist threshold.
 BATCH_INTERVAL = "5 seconds"
 BLACKLIST_THRESHOLD = 100
-
-# name -> (schema, sort columns inside each batch's files). Logs are
-# partitioned by ``batch_id`` only; sorting by date keeps Parquet min/max
-# statistics tight, so date filters skip whole files and row groups.
-LOGS = {
-    "counts": (schemas.AD_USER_CLICK_COUNT, ("date",)),
-    "blacklist": (schemas.AD_BLACKLIST, ()),
-    "ad_stat": (schemas.AD_STAT, ("date",)),
-    "province_top3": (schemas.AD_PROVINCE_TOP3, ("date",)),
-    "click_trend": (schemas.AD_CLICK_TREND, ("date",)),
-    "malformed": (StructType([StructField("value", StringType())]), ()),
-    "batches": (StructType([StructField("lines", LongType()), StructField("malformed", LongType()),
-                            StructField("valid", LongType()), StructField("kept", LongType())]), ()),
-}
-
-
-# Logs whose current table is a sum of deltas (M1); these get compacted.
-ADDITIVE = {"counts": ("date", "user_id", "ad_id"),
-            "ad_stat": ("date", "province", "city", "ad_id"),
-            "click_trend": ("date", "hour", "minute", "ad_id")}
-# Logs with snapshots: the additive ones and the blacklist (read every batch).
-SNAPSHOTTED = (*ADDITIVE, "blacklist", "province_top3")
-COMPACT_EVERY = 50
-# Published snapshots that stay; older ones are deleted after the next is out.
-KEEP_SNAPSHOTS = 2
+#: How long after the newest click an earlier minute still takes clicks.
+TREND_DELAY = "10 minutes"
+
+#: Rows of the ``filter`` query; ``n`` clicks (or lines) each.
+CLICKS = ("batch_id long, user_id long, date string, hour string, minute string, province string, city string, "
+          "ad_id long, event_time timestamp, value string, n long, kind string")
+#: Their pandas types: nullable, as a long that met a missing one would become a float.
+_PANDAS = {name: {"long": "Int64", "timestamp": "datetime64[ns]"}.get(kind, "object")
+           for name, kind in (c.split() for c in CLICKS.split(", "))}
+_KEYS = ["valid", "who", "seeded", "user_id", "date", "hour", "minute", "province", "city", "ad_id", "value"]
+_COUNTED = ("valid boolean, who long, seeded boolean, user_id long, date string, hour string, minute string, "
+            "province string, city string, ad_id long, value string, event_time timestamp, n long")
+_USER_STATE = "listed boolean, dates array<string>, ads array<bigint>, counts array<bigint>"
+#: Groups that malformed lines, which have no user, are spread over.
+_SPREAD = 1024
 
 
 def ad_log_stream(spark: SparkSession, source: str, fmt: str = "text", **options) -> DataFrame:
@@ -71,7 +74,8 @@ def ad_log_stream(spark: SparkSession, source: str, fmt: str = "text", **options
     ``fmt="kafka"`` reads a topic (``options`` are the Kafka source options,
     e.g. ``kafka.bootstrap.servers``, ``subscribe``, ``startingOffsets``;
     needs the Kafka connector jar); ``"text"`` reads new files under
-    ``source`` (recursively).
+    ``source`` (recursively). ``maxFilesPerTrigger`` (``maxOffsetsPerTrigger``)
+    bounds what one batch takes.
     """
     if fmt == "kafka":
         reader = spark.readStream.format("kafka")
@@ -84,283 +88,285 @@ def ad_log_stream(spark: SparkSession, source: str, fmt: str = "text", **options
     return reader.load(source)
 
 
+# ---------------------------------------------------------------- filter
+
+def counted_lines(lines: DataFrame, seeds: DataFrame | None) -> DataFrame:
+    """Parsed lines (S1), equal clicks of a task's batch counted together.
+
+    ``who`` is the user of a valid line, a spread number of a malformed one;
+    ``seeded`` marks users that were on the blacklist before the stream.
+    """
+    parsed = ads.parse_ad_log(lines)
+    shown = ads.ad_time_texts(parsed)
+    valid, named = F.col("is_valid"), {}
+    for c in ("user_id", "date", "hour", "minute", "province", "city", "ad_id"):
+        named[c] = F.when(valid, F.col(c)).alias(c)
+    who = F.when(valid, F.col("user_id")).otherwise(F.pmod(F.xxhash64("value"), F.lit(_SPREAD)))
+    rows = shown.select(valid.alias("valid"), who.alias("who"), *named.values(),
+                        F.when(~valid, F.coalesce("value", F.lit(""))).alias("value"),
+                        F.when(valid, F.timestamp_millis("time_ms")).alias("event_time"))
+    if seeds is not None:
+        known = seeds.select(F.col("user_id").cast("bigint").alias("user_id")).distinct().withColumn("seeded", F.lit(True))
+        rows = rows.join(known, "user_id", "left").withColumn("seeded", F.coalesce("seeded", F.lit(False)))
+    else:
+        rows = rows.withColumn("seeded", F.lit(False))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = pa.Table.from_batches([batch]).group_by(_KEYS).aggregate([("event_time", "max"), ([], "count_all")])
+                yield from found.select([*_KEYS, "event_time_max", "count_all"]).rename_columns(
+                    [*_KEYS, "event_time", "n"]).to_batches()
+
+    return rows.select(*_KEYS, "event_time").mapInArrow(count, _COUNTED)
+
+
+def _judge(threshold: int) -> Callable:
+    """The state function of one user: what becomes of the clicks of a batch."""
+
+    def rows(found: pd.DataFrame, batch_id: int, kind: str) -> pd.DataFrame:
+        return found.assign(batch_id=batch_id, kind=kind).reindex(columns=list(_PANDAS)).astype(_PANDAS)
+
+    def user_row(batch_id: int, kind: str, user: int, n: int) -> pd.DataFrame:
+        return rows(pd.DataFrame({"user_id": [user], "n": [n]}), batch_id, kind)
+
+    def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        valid, who = key
+        batch_id = int(TaskContext.get().getLocalProperty("streaming.sql.batchId"))
+        if not valid:
+            for f in frames:
+                yield rows(f[["value", "n"]], batch_id, "malformed")
+            return
+        listed, dates, numbers, counts = state.get if state.exists else (False, [], [], [])
+        total = dict(zip(zip(dates, numbers), counts))
+        dropped = 0
+        for f in frames:
+            listed = listed or bool(f["seeded"].iloc[0])
+            if listed:
+                dropped += int(f["n"].sum())
+                continue
+            yield rows(f.drop(columns="value"), batch_id, "kept")
+            for k, n in f.groupby(["date", "ad_id"])["n"].sum().items():
+                total[k] = total.get(k, 0) + int(n)
+        if dropped:
+            yield user_row(batch_id, "dropped", who, dropped)
+        if not listed and max(total.values(), default=0) >= threshold:
+            listed = True
+            yield user_row(batch_id, "listed", who, 0)
+        kept = {} if listed else total                  # a listed user needs no counts any more
+        state.update((listed, [d for d, _ in kept], [int(a) for _, a in kept], list(kept.values())))
+
+    return judge
+
+
+def judged_clicks(lines: DataFrame, threshold: int, seeds: DataFrame | None = None) -> DataFrame:
+    """S2-S4 on a stream of ad log lines: rows of ``CLICKS``."""
+    return counted_lines(lines, seeds).groupBy("valid", "who").applyInPandasWithState(
+        _judge(threshold), CLICKS, _USER_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+# ---------------------------------------------------------------- tables
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A result table partitioned by date; empty before its first batch."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def rewrite_days(spark: SparkSession, path: str, schema: StructType, days: Sequence[str], batch_id: int,
+                 merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Replace the given days of a table by ``merge`` (their rows); returns the new rows.
+
+    The result is first written aside in full, under the batch's name. Only
+    then the days are overwritten from there, so the batch can be repeated
+    after a failure at any point: what is there in full is not computed
+    again from days that may be half replaced.
+    """
+    aside = f"{path}_next/batch_id={batch_id}"
+    if not _exists(spark, f"{aside}/_SUCCESS"):
+        current = read_table(spark, path, schema).filter(F.col("date").isin(list(days)))
+        merge(current).select(*schema.names).hint("rebalance", "date").write.mode("overwrite").parquet(aside)
+    new = spark.read.schema(schema).parquet(aside)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    release(spark, [f"{path}_next/batch_id={batch_id - 1}"])
+    return new
+
+
+def _run_all(jobs: Sequence[Callable[[], object]]) -> list:
+    """Run independent Spark writes as concurrent jobs; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 @dataclass(frozen=True)
-class AdState:
-    """Locations of the state logs and readers of the current tables."""
+class AdStream:
+    """The three queries over one folder, and readers of their tables."""
 
     base: str
     threshold: int = BLACKLIST_THRESHOLD
-    compact_every: int = COMPACT_EVERY
+    delay: str = TREND_DELAY
+    seeds: DataFrame | None = field(default=None, compare=False)
 
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
-    def _schema(self, name: str) -> StructType:
-        return StructType(list(LOGS[name][0].fields) + [StructField("batch_id", LongType())])
-
-    def init(self, spark: SparkSession, blacklist: DataFrame | None = None) -> None:
-        """Create every log with a partition ``batch_id=-1`` (before any batch).
-
-        An empty DataFrame written with ``partitionBy`` creates no folder, so
-        each log gets one all-NULL marker row (dropped by ``log``); readers
-        then always find a consistently partitioned table. ``blacklist``
-        seeds users listed before the stream starts.
-        """
-        writes = []
-        for name in LOGS:
-            schema = LOGS[name][0]
-            marker = spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
-            if name == "blacklist" and blacklist is not None:
-                marker = marker.unionByName(blacklist.select(F.col("user_id").cast("bigint")))
-            writes.append(lambda m=marker, n=name: self.write(m, n, -1))
-            if name in SNAPSHOTTED:
-                empty = spark.createDataFrame([], schema)
-                writes.append(lambda m=empty, n=name: self._write_snapshot(m, n, -1))
-        _run_all(writes)
-        self._publish(spark, -1)
-
-    def write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        """Overwrite this batch's partitions of one log (idempotent on replay)."""
-        _, sort_cols = LOGS[name]
-        out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        if sort_cols:
-            out = out.sortWithinPartitions(*sort_cols)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.path(name)))
-
-    def log(self, spark: SparkSession, name: str, before: int | None = None,
-            upto: int | None = None, after: int | None = None) -> DataFrame:
-        """Rows of one log, optionally only batches ``< before`` / ``<= upto`` / ``> after``.
-
-        With ``after`` and an upper bound, only those batch folders (and the
-        ``-1`` seed folder) are listed, through a path glob that spans what
-        came since a snapshot: the per-batch reads never list the whole
-        history. Without compaction there is no such bound and all is listed.
-        """
-        schema = LOGS[name][0]
-        hi = (before - 1) if before is not None else upto
-        root = self.path(name)
-        if after is not None and hi is not None and self.compact_every:
-            ids = ",".join(str(i) for i in [-1, *range(after + 1, hi + 1)])
-            df = (spark.read.schema(self._schema(name)).option("basePath", root)
-                  .parquet(f"{root}/batch_id={{{ids}}}"))
-            if after >= -1:
-                df = df.filter((F.col("batch_id") > after) | (F.col("batch_id") == -1))
-        else:
-            df = spark.read.schema(self._schema(name)).parquet(root)
-            if after is not None:
-                df = df.filter((F.col("batch_id") > after) | (F.col("batch_id") == -1))
-        df = df.filter(~((F.col("batch_id") == -1) & F.col(schema.fields[0].name).isNull()))
-        if before is not None:
-            df = df.filter(F.col("batch_id") < before)
-        if upto is not None:
-            df = df.filter(F.col("batch_id") <= upto)
-        return df
-
-    # -- compaction: snapshot of an additive log up to a batch ---------------
-
-    def _snapshot_schema(self, name: str) -> StructType:
-        return StructType(list(LOGS[name][0].fields) + [StructField("upto", LongType())])
-
-    def _write_snapshot(self, df: DataFrame, name: str, upto: int) -> None:
-        # Partitioned by (upto, date): written once per compaction; per-batch
-        # lookups read only the days a batch touches. The all-NULL marker row
-        # (dropped by readers) makes the folder exist even for an empty fold.
-        schema = LOGS[name][0]
-        marker = df.sparkSession.createDataFrame([tuple(None for _ in schema.fields)], schema)
-        out = df.select(*schema.names).unionByName(marker).withColumn("upto", F.lit(upto).cast("bigint"))
-        parts = ("upto", "date") if "date" in df.columns else ("upto",)
-        if "date" in df.columns:
-            out = out.sortWithinPartitions("date")
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.path(name + "_snapshot")))
-
-    def _read_snapshot(self, spark: SparkSession, name: str, upto: int) -> DataFrame:
-        root = self.path(name + "_snapshot")
-        return (spark.read.schema(self._snapshot_schema(name)).option("basePath", root)
-                .parquet(f"{root}/upto={upto}").filter(F.col(LOGS[name][0].names[0]).isNotNull()))
-
-    def _publish(self, spark: SparkSession, upto: int) -> None:
-        """Make the snapshots at ``upto`` readable: one marker file, written after all of them."""
-        spark.createDataFrame([(upto,)], "upto long").coalesce(1).write.mode("overwrite").parquet(
-            self.path(f"published/v={upto}"))
-
-    def _published(self, spark: SparkSession) -> DataFrame:
-        root = self.path("published")
-        return spark.read.schema("upto long").option("basePath", root).parquet(f"{root}/v=*").select("upto")
-
-    def latest_snapshot(self, spark: SparkSession, upto: int | None = None) -> int:
-        """Batch id of the newest published snapshot at or before ``upto`` (-1: the empty one).
-
-        Only the markers are read, a few one-row files: a snapshot whose
-        compaction failed half-way has none and is never seen.
-        """
-        seen = self._published(spark)
-        if upto is not None:
-            seen = seen.filter(F.col("upto") <= max(upto, -1))
-        return int(seen.agg(F.max("upto")).first()[0])
-
-    def last_batch(self, spark: SparkSession) -> int:
-        """The newest finished batch (its ``batches`` row is written last); -1: none."""
-        got = self.log(spark, "batches").agg(F.max("batch_id")).first()[0]
-        return -1 if got is None else int(got)
-
-    def running(self, spark: SparkSession, name: str, upto: int | None = None,
-                snapshot: int | None = None, dates: list[str] | None = None) -> DataFrame:
-        """Rows whose per-key sum is the table after batch ``upto``: the newest
-        snapshot plus the deltas written after it (never the whole history).
-
-        ``snapshot`` skips the lookup when the caller already knows it (all
-        tables are published together); ``upto`` defaults to the last
-        finished batch. ``dates`` limits
-        the read to those days: a partition filter on the snapshot and a
-        pushed ``IN`` filter (row-group skipping) on the date-sorted deltas.
-        """
-        cols = LOGS[name][0].names
-        upto = self.last_batch(spark) if upto is None else upto
-        s = self.latest_snapshot(spark, upto) if snapshot is None else snapshot
-        snap = self._read_snapshot(spark, name, s)
-        deltas = self.log(spark, name, upto=upto, after=s)
-        if dates is not None:
-            snap = snap.filter(F.col("date").isin(list(dates)))
-            deltas = deltas.filter(F.col("date").isin(list(dates)))
-        return snap.select(*cols).unionByName(deltas.select(*cols))
-
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold every log through batch ``upto`` into a snapshot and publish it.
-
-        It starts from a snapshot before ``upto`` and is deterministic, so
-        re-running it after a failure rewrites the same folders; nothing
-        reads them until the marker, written last, is there.
-        """
-        prev = self.latest_snapshot(spark, upto - 1)
-        for name, keys in ADDITIVE.items():
-            rows = self.running(spark, name, upto, snapshot=prev)
-            self._write_snapshot(merge_add(rows.limit(0), rows, keys), name, upto)
-        self._write_snapshot(self.blacklist(spark, before=upto + 1, snapshot=prev), "blacklist", upto)
-        self._write_snapshot(self.province_top3(spark, upto, snapshot=prev), "province_top3", upto)
-        self._publish(spark, upto)
-        self._expire(spark)
-
-    def _expire(self, spark: SparkSession) -> None:
-        """Delete all but the newest snapshots, each one's marker first; the logs stay."""
-        ids = sorted(r[0] for r in self._published(spark).filter("upto >= 0").collect())   # KEEP_SNAPSHOTS + 1 rows
-        for old in ids[:-KEEP_SNAPSHOTS]:
-            release(spark, [self.path(f"published/v={old}")])
-            release(spark, [self.path(f"{name}_snapshot/upto={old}") for name in SNAPSHOTTED])
-
-    # -- current tables: folds of the logs with the merge operators ---------
-
-    def blacklist(self, spark: SparkSession, before: int | None = None,
-                  snapshot: int | None = None) -> DataFrame:
-        """A11 / M4 fold: every listed user once (newest snapshot + later log batches)."""
-        before = self.last_batch(spark) + 1 if before is None else before
-        s = snapshot if snapshot is not None else self.latest_snapshot(spark, before - 1)
-        snap = self._read_snapshot(spark, "blacklist", s)
-        later = self.log(spark, "blacklist", before, after=s)
-        return snap.select("user_id").unionByName(later.select("user_id")).distinct()
-
-    def user_click_counts(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """P8 / M1 fold: running clicks per (date, user, ad)."""
-        rows = self.running(spark, "counts", upto)
-        return merge_add(rows.limit(0), rows, ads.DAILY_KEYS).select(*schemas.AD_USER_CLICK_COUNT.names)
-
-    def ad_stat(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+    def _start(self, writer, name: str, trigger: dict | None) -> StreamingQuery:
+        return (writer.option("checkpointLocation", self.path(f"checkpoint_{name}"))
+                .trigger(**(trigger or {"processingTime": BATCH_INTERVAL})).start())
+
+    # -- the queries (S8: every one on the job's trigger) ---------------------
+
+    def start_filter(self, lines: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        """Judge the lines' clicks."""
+        judged = judged_clicks(lines, self.threshold, self.seeds)
+        return self._start(judged.writeStream.format("parquet").outputMode("append").partitionBy("kind")
+                           .option("path", self.path("clicks")), "filter", trigger)
+
+    def _kept_stream(self, spark: SparkSession) -> DataFrame:
+        return spark.readStream.schema(CLICKS).parquet(self.path("clicks")).filter("kind = 'kept'")
+
+    def start_totals(self, spark: SparkSession, trigger: dict | None = None) -> StreamingQuery:
+        """Running totals in update mode, merged into the tables by day."""
+        none = F.lit(None).cast("string")
+        tables = F.array(F.struct(F.lit("ad_stat").alias("table"), "province", "city", F.lit(None).cast("bigint").alias("user_id")),
+                         F.struct(F.lit("user_counts").alias("table"), none.alias("province"), none.alias("city"), "user_id"))
+        keys = ["table", "date", "province", "city", "user_id", "ad_id"]
+        totals = (self._kept_stream(spark).select("date", "ad_id", "n", F.inline(tables))
+                  .groupBy(*keys).agg(F.sum("n").alias("click_count")))
+        return self._start(totals.writeStream.outputMode("update").foreachBatch(self.merge_totals), "totals", trigger)
+
+    def start_trend(self, spark: SparkSession, trigger: dict | None = None) -> StreamingQuery:
+        """Clicks per (minute window, ad) under the watermark."""
+        counts = click_trend_stream(self._kept_stream(spark), self.delay, "n")
+        return self._start(counts.writeStream.outputMode("update").foreachBatch(self.merge_trend), "trend", trigger)
+
+    # -- one batch's totals into the tables -----------------------------------
+
+    def merge_totals(self, totals: DataFrame, batch_id: int) -> None:
+        """M2 of the new totals of the touched keys; S6 / M3 of the touched provinces."""
+        spark = totals.sparkSession
+        totals = totals.persist()
+        try:
+            days = [r[0] for r in totals.select("date").distinct().collect()]      # the batch's time span
+            stat = totals.filter(F.col("table") == "ad_stat").select(*schemas.AD_STAT.names)
+            users = totals.filter(F.col("table") == "user_counts").select(*schemas.AD_USER_CLICK_COUNT.names)
+
+            def merged(name: str, schema: StructType, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+                return rewrite_days(spark, self.path(name), schema, days, batch_id,
+                                    lambda current: merge_overwrite(current, rows, keys))
+
+            new, _ = _run_all([lambda: merged("ad_stat", schemas.AD_STAT, stat, ads.AD_STAT_KEYS),
+                               lambda: merged("user_counts", schemas.AD_USER_CLICK_COUNT, users, ads.DAILY_KEYS)])
+            touched = stat.select(*ads.PROVINCE_KEYS).distinct()
+            top = ads.province_top_ads(new.join(touched, list(ads.PROVINCE_KEYS), "left_semi"), 3).persist()
+            try:
+                _run_all([lambda: rewrite_days(spark, self.path("province_top3"), schemas.AD_PROVINCE_TOP3, days, batch_id,
+                                               lambda current: replace_groups(current, top, ads.PROVINCE_KEYS)),
+                          lambda: top.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+                          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path("top3_changes"))])
+            finally:
+                top.unpersist()
+        finally:
+            totals.unpersist()
+
+    def merge_trend(self, counts: DataFrame, batch_id: int) -> None:
+        """M2 of the touched windows."""
+        spark = counts.sparkSession
+        counts = counts.persist()
+        try:
+            days = [r[0] for r in counts.select("date").distinct().collect()]
+            rewrite_days(spark, self.path("click_trend"), schemas.AD_CLICK_TREND, days, batch_id,
+                         lambda current: merge_overwrite(current, counts, ads.TREND_KEYS))
+        finally:
+            counts.unpersist()
+
+    # -- readers ----------------------------------------------------------------
+
+    def clicks(self, spark: SparkSession, *kinds: str) -> DataFrame:
+        """Rows of the ``filter`` query: kept, dropped, listed, malformed."""
+        return spark.read.schema(CLICKS).parquet(self.path("clicks")).filter(F.col("kind").isin(*kinds))
+
+    def batches(self, spark: SparkSession) -> DataFrame:
+        """A7 / S2 tallies per batch: lines, malformed, valid and kept ones."""
+        n = lambda *kinds: F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col("n"))), F.lit(0))
+        return (self.clicks(spark, "kept", "dropped", "malformed").groupBy("batch_id")
+                .agg(F.sum("n").alias("lines"), n("malformed").alias("malformed"), n("kept", "dropped").alias("valid"),
+                     n("kept").alias("kept")))
+
+    def kept_counts(self, spark: SparkSession, keys: Sequence[str]) -> DataFrame:
+        """Kept clicks per batch and key."""
+        return self.clicks(spark, "kept").groupBy("batch_id", *keys).agg(F.sum("n").alias("click_count"))
+
+    def blacklist(self, spark: SparkSession) -> DataFrame:
+        """Every listed user once."""
+        listed = self.clicks(spark, "listed").select("user_id")
+        if self.seeds is None:
+            return listed
+        return listed.unionByName(self.seeds.select(F.col("user_id").cast("bigint").alias("user_id")).distinct())
+
+    def user_click_counts(self, spark: SparkSession) -> DataFrame:
+        """Running clicks per (date, user, ad)."""
+        return read_table(spark, self.path("user_counts"), schemas.AD_USER_CLICK_COUNT)
+
+    def ad_stat(self, spark: SparkSession) -> DataFrame:
         """Running clicks per (date, province, city, ad)."""
-        rows = self.running(spark, "ad_stat", upto)
-        return merge_add(rows.limit(0), rows, ads.AD_STAT_KEYS).select(*schemas.AD_STAT.names)
-
-    def click_trend(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """Clicks per (date, hour, minute, ad)."""
-        rows = self.running(spark, "click_trend", upto)
-        return merge_add(rows.limit(0), rows, ads.TREND_KEYS).select(*schemas.AD_CLICK_TREND.names)
-
-    def province_top3(self, spark: SparkSession, upto: int | None = None,
-                      snapshot: int | None = None) -> DataFrame:
-        """S6 / P9 / M3 fold: per (date, province) the rows of the last batch that touched it.
-
-        The snapshot's groups are replaced (``replace_groups``) by the
-        latest rows of every group touched in the batches after it.
-        """
-        cols = schemas.AD_PROVINCE_TOP3.names
-        upto = self.last_batch(spark) if upto is None else upto
-        s = snapshot if snapshot is not None else self.latest_snapshot(spark, upto)
-        snap = self._read_snapshot(spark, "province_top3", s).select(*cols)
-        later = self.log(spark, "province_top3", upto=upto, after=s)
-        last = F.max("batch_id").over(Window.partitionBy(*ads.PROVINCE_KEYS))
-        latest = (later.withColumn("_last", last).filter(F.col("batch_id") == F.col("_last")).select(*cols))
-        return replace_groups(snap, latest, ads.PROVINCE_KEYS)
-
-
-def _run_all(jobs) -> None:
-    """Run independent Spark writes as concurrent jobs; re-raise the first failure."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
-
-
-def process_batch(batch: DataFrame, batch_id: int, state: AdState) -> None:
-    """S2-S7 for one micro-batch (see the module docstring for the order)."""
-    spark = batch.sparkSession
-    seen, passed = Observation("lines"), Observation("kept")
-    parsed = ads.parse_ad_log(batch).persist()
-    tallied = parsed.observe(seen, F.count(F.lit(1)).alias("lines"),
-                             F.sum((~F.col("is_valid")).cast("long")).alias("malformed"),
-                             F.sum(F.col("is_valid").cast("long")).alias("valid"))
-    snap = state.latest_snapshot(spark, batch_id - 1)                       # a replay starts before its own batch
-    blacklist = state.blacklist(spark, before=batch_id, snapshot=snap)      # A11, fresh per batch
-    kept = ads.anti_blacklist(ads.ad_events(tallied), blacklist).persist()   # S2 / C6
-    # The batch's days ride along with the count (bounded by the batch's time span).
-    kept_tallied = kept.observe(passed, F.count(F.lit(1)).alias("kept"),
-                                F.collect_set("date").alias("dates"))
-
-    delta = ads.daily_user_ad_clicks(kept_tallied)                           # S3 / D19
-    state.write(delta, "counts", batch_id)                                   # M1 (log form)
-    days = sorted(passed.get.get("dates") or [])
-    stored = ads.lookup_click_count(delta, state.running(spark, "counts", batch_id, snap, days))  # A12
-    listed = ads.distinct_blacklist_users(stored, state.threshold)          # D20
-    new_users = listed.join(blacklist, "user_id", "left_anti")              # M4: only users not yet listed
-    stat_delta = ads.count_by(kept, ads.AD_STAT_KEYS)                        # S5
-    trend_delta = ads.count_by(kept, ads.TREND_KEYS)                         # S7
-    _run_all([lambda: state.write(new_users, "blacklist", batch_id),         # S4
-              lambda: state.write(stat_delta, "ad_stat", batch_id),
-              lambda: state.write(trend_delta, "click_trend", batch_id),
-              lambda: state.write(ads.malformed_lines(parsed).select("value"), "malformed", batch_id)])  # S1 side output
-
-    touched = stat_delta.select(*ads.PROVINCE_KEYS).distinct()
-    totals = (state.running(spark, "ad_stat", batch_id, snap, days)
-              .join(touched, list(ads.PROVINCE_KEYS), "left_semi"))
-    got, k = seen.get, passed.get                                            # A7 / S2 tallies
-    row = (got.get("lines", 0), got.get("malformed") or 0, got.get("valid") or 0, k.get("kept", 0))
-    tallies = spark.createDataFrame([row], LOGS["batches"][0])
-    state.write(ads.province_top_ads(totals, 3), "province_top3", batch_id)  # S6
-    state.write(tallies, "batches", batch_id)                                # last: the batch is finished
-    kept.unpersist()
-    parsed.unpersist()
-    if state.compact_every and batch_id > 0 and batch_id % state.compact_every == 0:
-        state.compact(spark, batch_id)
-
-
-def start_ad_stream(stream: DataFrame, state: AdState, checkpoint: str,
-                    trigger: dict | None = None):
-    """Run ``process_batch`` per micro-batch; checkpointed, restartable."""
-    writer = (stream.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, state))
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
-    return writer.start()
-
-
-def click_trend_stream(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+        return read_table(spark, self.path("ad_stat"), schemas.AD_STAT)
+
+    def click_trend(self, spark: SparkSession) -> DataFrame:
+        """Clicks per (date, hour, minute, ad), late ones left out."""
+        return read_table(spark, self.path("click_trend"), schemas.AD_CLICK_TREND)
+
+    def province_top3(self, spark: SparkSession) -> DataFrame:
+        """The top 3 ads per (date, province)."""
+        return read_table(spark, self.path("province_top3"), schemas.AD_PROVINCE_TOP3)
+
+
+def click_trend_stream(events: DataFrame, delay: str = TREND_DELAY, weight: str | None = None) -> DataFrame:
     """S7 as a stateful streaming aggregate: clicks per (minute window, ad).
 
-    ``events`` is a streaming DataFrame of parsed, filtered clicks
-    (``ads.ad_events``). The watermark bounds the state: windows older
-    than the latest event time minus ``watermark`` are finalised and
-    dropped. Use output mode ``update`` and a merge-overwrite sink (M2).
+    ``events`` is a streaming DataFrame of clicks with ``event_time`` and the
+    UTC texts date, hour and minute; a row counts ``weight`` clicks. The
+    watermark bounds the state: a window that ended ``delay`` before the
+    newest event time is settled and dropped, its late clicks are not
+    counted. Use output mode ``update`` and a merge-overwrite sink (M2).
+    """
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return (events.withWatermark("event_time", delay)
+            .groupBy(F.window("event_time", "1 minute"), "date", "hour", "minute", "ad_id")
+            .agg(n.alias("click_count")).select("date", "hour", "minute", "ad_id", "click_count"))
+
+
+class Backlog(StreamingQueryListener):
+    """Whether the queries keep up with their trigger, from Spark's progress events.
+
+    ``batches`` holds (query name or id, batch, rows, seconds) of every batch
+    with rows; ``late(interval)`` names those that took longer than the
+    trigger's interval, which is when ``maxFilesPerTrigger`` (or more cores)
+    is due.
     """
-    w = (events.withWatermark("event_time", watermark)
-         .groupBy(F.window("event_time", "1 minute"), "ad_id")
-         .agg(F.count(F.lit(1)).alias("click_count")))
-    start = w["window.start"]
-    return w.select(F.date_format(start, "yyyy-MM-dd").alias("date"), F.date_format(start, "HH").alias("hour"),
-                    F.date_format(start, "mm").alias("minute"), "ad_id", "click_count")
+
+    def __init__(self) -> None:
+        self.batches: list[tuple[str, int, int, float]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.numInputRows:
+            self.batches.append((p.name or str(p.id), p.batchId, p.numInputRows, p.batchDuration / 1000))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def late(self, interval: float) -> list[tuple[str, int, int, float]]:
+        return [b for b in self.batches if b[3] > interval]

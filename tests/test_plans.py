@@ -46,6 +46,6 @@ def test_global_top10_is_take_ordered(spark):
 
 
 def test_stream_queries_have_no_python_rows(spark):
-    state = stream_queries.run_ad_pipeline(spark, SF_SMALL)
-    p = plan(state.user_click_counts(spark))
+    stream = stream_queries.run_ad_pipeline(spark, SF_SMALL)
+    p = plan(stream.user_click_counts(spark))
     assert "BatchEvalPython" not in p and "CartesianProduct" not in p

@@ -1,11 +1,18 @@
 import os
+import shutil
 import tempfile
 import time
 
+import pytest
+
+from shoplens import schemas
+from shoplens.operators import ads
 from shoplens.streaming import ad_stream as st
 
 DAY = 1704067200000          # 2024-01-01 00:00:00 UTC in ms
 MIN = 60_000
+NOW = {"availableNow": True}
+BIG = 2**60 + 1              # an id that a float cannot hold
 
 
 def line(t, user, ad, prov=1, city=2):
@@ -20,114 +27,180 @@ SLICES = [
 ]
 
 
-def run(spark, base, slices, compact_every=st.COMPACT_EVERY):
-    state = st.AdState(f"{base}/state", threshold=2, compact_every=compact_every)
-    state.init(spark, blacklist=spark.createDataFrame([(9,)], "user_id long"))
-    for i, lines in enumerate(slices):
-        d = f"{base}/source/slice{i}"
-        os.makedirs(d)
-        with open(f"{d}/part-0.txt", "w") as f:
-            f.write("\n".join(lines) + "\n")
-        q = st.start_ad_stream(st.ad_log_stream(spark, f"{base}/source"), state, f"{base}/ckpt",
-                               {"availableNow": True})
-        q.awaitTermination()
-        time.sleep(0.05)
-    return state
+def put(base, i, lines):
+    d = f"{base}/source/slice{i}"
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/part-0.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    time.sleep(0.05)
 
 
-import pytest  # noqa: E402
+def advance(spark, stream):
+    """One run of each query over what has come: every run is a restart."""
+    stream.start_filter(st.ad_log_stream(spark, f"{stream.base}/source"), NOW).awaitTermination()
+    stream.start_totals(spark, NOW).awaitTermination()
+    stream.start_trend(spark, NOW).awaitTermination()
 
 
-@pytest.mark.parametrize("compact_every", [st.COMPACT_EVERY, 1, 0])
-def test_blacklist_stream_closed_form(spark, compact_every):
+def opened(spark, threshold=2, seeds=(9,), **more):
     base = tempfile.mkdtemp(prefix="shoplens-stream-")
-    state = run(spark, base, SLICES, compact_every)
-    if compact_every == 1:
-        assert state.latest_snapshot(spark) == 2
-    bl = sorted(r[0] for r in state.blacklist(spark).collect())
+    return st.AdStream(base, threshold, seeds=spark.createDataFrame([(s,) for s in seeds], "user_id long"), **more)
+
+
+def run(spark, slices, **more):
+    stream = opened(spark, **more)
+    for i, lines in enumerate(slices):
+        put(stream.base, i, lines)
+        advance(spark, stream)
+    return stream
+
+
+def tables(stream, spark):
+    readers = (stream.blacklist, stream.user_click_counts, stream.ad_stat, stream.click_trend, stream.province_top3)
+    return [sorted(tuple(r) for r in f(spark).collect()) for f in readers]
+
+
+@pytest.fixture(scope="module")
+def done(spark):
+    return run(spark, SLICES)
+
+
+def test_blacklist_stream_closed_form(spark, done):
     # 9 pre-listed; 1 listed in batch 0; 2 reaches exactly 2 in batch 1; 3 and 4 reach 2 in batch 2
-    assert bl == [1, 2, 3, 4, 9]
-    upd = sorted(tuple(r) for r in state.log(spark, "blacklist").select("batch_id", "user_id").collect())
-    assert upd == [(-1, 9), (0, 1), (1, 2), (2, 3), (2, 4)]
-    counts = {(r["user_id"], r["ad_id"]): r["click_count"] for r in state.user_click_counts(spark).collect()}
+    assert sorted(r[0] for r in done.blacklist(spark).collect()) == [1, 2, 3, 4, 9]
+    upd = sorted(tuple(r) for r in done.clicks(spark, "listed").select("batch_id", "user_id").collect())
+    assert upd == [(0, 1), (1, 2), (2, 3), (2, 4)]
+    counts = {(r["user_id"], r["ad_id"]): r["click_count"] for r in done.user_click_counts(spark).collect()}
     # user 1's batch-1 click and user 2's batch-2 click are dropped; user 9 never counts
     assert counts == {(1, 5): 2, (2, 5): 2, (3, 6): 2, (3, 7): 1, (4, 8): 2}
-    batches = sorted(tuple(r) for r in state.log(spark, "batches")
-                     .select("batch_id", "lines", "malformed", "kept").collect())
-    assert batches == [(-1, None, None, None)] * 0 + [(0, 6, 1, 4), (1, 4, 0, 3), (2, 4, 0, 2)]
-    top = sorted(tuple(r) for r in state.province_top3(spark).collect())
+    batches = sorted(tuple(r) for r in done.batches(spark).select("batch_id", "lines", "malformed", "kept").collect())
+    assert batches == [(0, 6, 1, 4), (1, 4, 0, 3), (2, 4, 0, 2)]
+    top = sorted(tuple(r) for r in done.province_top3(spark).collect())
     assert top == [("2024-01-01", "1", 5, 4), ("2024-01-01", "1", 6, 2), ("2024-01-01", "1", 7, 1),
                    ("2024-01-01", "3", 8, 2)]
-    assert [r["value"] for r in state.log(spark, "malformed").collect()] == ["garbage line"]
-    trend = state.click_trend(spark).filter("minute = '03'").collect()
+    assert [r["value"] for r in done.clicks(spark, "malformed").collect()] == ["garbage line"]
+    trend = done.click_trend(spark).filter("minute = '03'").collect()
     assert [(r["ad_id"], r["click_count"]) for r in trend] == [(6, 1)]
 
 
-@pytest.mark.parametrize("compact_every", [st.COMPACT_EVERY, 1])
-def test_replaying_a_batch_is_idempotent(spark, compact_every):
-    base = tempfile.mkdtemp(prefix="shoplens-replay-")
-    state = run(spark, base, SLICES, compact_every)
-    before = sorted(tuple(r) for r in state.user_click_counts(spark).collect())
-    batch = spark.createDataFrame([(x,) for x in SLICES[1]], "value string")
-    st.process_batch(batch, 1, state)           # the same batch again, as after a failure
-    assert sorted(tuple(r) for r in state.user_click_counts(spark).collect()) == before
-    assert sorted(r[0] for r in state.blacklist(spark).collect()) == [1, 2, 3, 4, 9]
-
-
-def tables(state, spark):
-    return [sorted(tuple(r) for r in f(spark).collect())
-            for f in (state.blacklist, state.user_click_counts, state.ad_stat, state.click_trend, state.province_top3)]
-
-
-@pytest.mark.parametrize("fails_at", range(6))
-def test_failure_during_compaction(spark, fails_at, monkeypatch):
-    """The compaction of batch 2 stops before its n-th write; readers and the replay see no trace of it."""
-    base = tempfile.mkdtemp(prefix="shoplens-compact-")
-    state = run(spark, base, SLICES[:2], 1)
-    batch = spark.createDataFrame([(x,) for x in SLICES[2]], "value string")
-    calls, (snap, pub) = [], (st.AdState._write_snapshot, st.AdState._publish)
-
-    def failing(f):
-        def g(*args):
-            if len(calls) == fails_at:
+def test_replaying_a_batch_is_idempotent(spark, done):
+    """The last batch's commit is lost, as when the driver goes after the sink's work: the batch runs again."""
+    before = tables(done, spark), sorted(map(str, done.clicks(spark, "kept", "dropped", "malformed").collect()))
+    for query, start in (("filter", lambda: done.start_filter(st.ad_log_stream(spark, f"{done.base}/source"), NOW)),
+                         ("totals", lambda: done.start_totals(spark, NOW)), ("trend", lambda: done.start_trend(spark, NOW))):
+        commits = f"{done.base}/checkpoint_{query}/commits"
+        newest = max(int(f) for f in os.listdir(commits) if f.isdigit())
+        for f in (f"{commits}/{newest}", f"{commits}/.{newest}.crc"):
+            if os.path.exists(f):
+                os.remove(f)
+        start().awaitTermination()
+        assert os.path.exists(f"{commits}/{newest}"), query
+        after = tables(done, spark), sorted(map(str, done.clicks(spark, "kept", "dropped", "malformed").collect()))
+        assert after == before, query
+
+
+def test_failure_while_days_are_rewritten(spark, done, monkeypatch):
+    """A batch stops at each of its tables in turn, the days gone but not yet back; the replays put them right."""
+    stream = run(spark, SLICES[:2])
+    put(stream.base, 2, SLICES[2])
+    stream.start_filter(st.ad_log_stream(spark, f"{stream.base}/source"), NOW).awaitTermination()
+    real = st.release
+    for name in ("ad_stat", "user_counts", "province_top3"):
+        def failing(session, paths):
+            table = paths[0].split("_next")[0]
+            if os.path.basename(table) == name:
+                for d in os.listdir(table):                 # the overwrite had deleted the old days
+                    if d.startswith("date="):
+                        shutil.rmtree(f"{table}/{d}")
                 raise RuntimeError("lost driver")
-            calls.append(1)
-            return f(*args)
-        return g
-
-    with monkeypatch.context() as m:
-        m.setattr(st.AdState, "_write_snapshot", failing(snap))
-        m.setattr(st.AdState, "_publish", failing(pub))
-        with pytest.raises(RuntimeError):
-            st.process_batch(batch, 2, state)
-    before = tables(state, spark)
-    assert state.latest_snapshot(spark) == 1
-    st.process_batch(batch, 2, state)
-    assert tables(state, spark) == before
-    assert before[0] == [(1,), (2,), (3,), (4,), (9,)]
-    assert before[4] == [("2024-01-01", "1", 5, 4), ("2024-01-01", "1", 6, 2), ("2024-01-01", "1", 7, 1),
-                         ("2024-01-01", "3", 8, 2)]
+            real(session, paths)
+
+        with monkeypatch.context() as m:
+            m.setattr(st, "release", failing)
+            with pytest.raises(Exception, match="lost driver"):
+                stream.start_totals(spark, NOW).awaitTermination()
+    advance(spark, stream)
+    assert tables(stream, spark) == tables(done, spark)
+
+
+def test_days_not_touched_are_not_rewritten(spark):
+    stream = run(spark, [[line(0, 1, 5)], [line(86_400_000, 2, 5)]])
+    first = f"{stream.base}/ad_stat/date=2024-01-01"
+    files = {f: os.stat(f"{first}/{f}").st_mtime_ns for f in os.listdir(first)}
+    put(stream.base, 2, [line(86_400_000 + MIN, 3, 6)] * 3)
+    advance(spark, stream)
+    assert {f: os.stat(f"{first}/{f}").st_mtime_ns for f in os.listdir(first)} == files
+    assert sorted(r.click_count for r in stream.ad_stat(spark).collect()) == [1, 1, 3]
+    assert not [d for d in os.listdir(f"{stream.base}/ad_stat_next") if d not in ("batch_id=2",)]
+
+
+def test_listed_users_leave_no_counts_and_ids_stay_exact(spark):
+    lines = [line(0, BIG, BIG + 2)] * 3 + ["bad", "", "1 2"] + [line(0, BIG + 1, 1)]
+    stream = run(spark, [lines, [line(MIN, BIG, 4)] * 2], threshold=3, seeds=())
+    assert stream.blacklist(spark).collect() == [(BIG,)]
+    assert sorted(map(tuple, stream.user_click_counts(spark).collect())) == [
+        ("2024-01-01", BIG, BIG + 2, 3), ("2024-01-01", BIG + 1, 1, 1)]
+    assert sorted(map(tuple, stream.batches(spark).collect())) == [(0, 7, 3, 4, 4), (1, 2, 0, 2, 0)]
+
+
+def test_settled_windows_do_not_change(spark):
+    """Late clicks of a window still open count; those of one behind the watermark do not."""
+    stream = opened(spark, threshold=100, seeds=(), delay="5 minutes")
+    for i, lines in enumerate([[line(0, 1, 5), line(10 * MIN, 1, 5)], [line(0, 2, 5), line(7 * MIN, 2, 5)],
+                               [line(7 * MIN, 3, 5), line(30 * MIN, 3, 5)], [line(10 * MIN, 4, 5), line(29 * MIN, 4, 5)]]):
+        put(stream.base, i, lines)
+        advance(spark, stream)
+    got = {(r.hour, r.minute): r.click_count for r in stream.click_trend(spark).collect()}
+    assert got == {("00", "00"): 1, ("00", "07"): 2, ("00", "10"): 1, ("00", "29"): 1, ("00", "30"): 1}
+    assert sum(r.click_count for r in stream.ad_stat(spark).collect()) == 8      # the other tables have them all
+
+
+def test_readers_before_the_first_batch(spark):
+    stream = opened(spark)
+    assert stream.ad_stat(spark).count() == 0 and stream.province_top3(spark).schema == schemas.AD_PROVINCE_TOP3
+
+
+def test_trigger_that_keeps_up(spark):
+    """Files come faster than a batch takes them: none is lost, and the listener sees the batches."""
+    stream, backlog = opened(spark, threshold=10**6, seeds=()), st.Backlog()
+    spark.streams.addListener(backlog)
+    try:
+        put(stream.base, 0, [line(0, 1, 5)])
+        source = st.ad_log_stream(spark, f"{stream.base}/source", maxFilesPerTrigger=2)
+        query = stream.start_filter(source, {"processingTime": "1 second"})
+        for i in range(1, 9):
+            put(stream.base, i, [line(i * MIN, i, 5)] * i)
+        deadline = time.time() + 90
+        while time.time() < deadline and sum(b[2] for b in backlog.batches) < 37:
+            time.sleep(0.5)
+        query.stop()
+    finally:
+        spark.streams.removeListener(backlog)
+    assert sum(b[2] for b in backlog.batches) == 37 and len(backlog.batches) >= 4
+    assert sum(r.n for r in stream.clicks(spark, "kept").collect()) == 37
+    assert backlog.late(0) == backlog.batches and not backlog.late(10**6)
+
+
+def test_default_trigger_is_the_batch_interval(spark):
+    stream = opened(spark, seeds=())
+    put(stream.base, 0, SLICES[0])
+    query = stream.start_filter(st.ad_log_stream(spark, f"{stream.base}/source"))
+    deadline = time.time() + 60
+    while time.time() < deadline and not any(p.numInputRows for p in query.recentProgress):
+        time.sleep(0.5)
+    put(stream.base, 1, SLICES[1])
+    while time.time() < deadline and sum(bool(p.numInputRows) for p in query.recentProgress) < 2:
+        time.sleep(0.5)
+    starts = [p.timestamp for p in query.recentProgress if p.numInputRows]
+    query.stop()
+    assert len(starts) == 2
+    assert int(starts[1][17:19]) % 5 == 0                       # batches begin on the interval's marks
 
 
 def test_parse_keeps_text_places_and_rejects_bad_times(spark):
-    from shoplens.operators import ads
     lines = ["1704067200000 Hubei Wuhan 7 3", "1704067200000 1 2 7 3 more", "9223372036854775807 1 2 3 4",
              "999999999999999 1 2 3 4", "1704067200000 1 2 x 4", "1704067200000 1 2 3", "", None]
     parsed = ads.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert [r["is_valid"] for r in parsed.collect()] == [True, True, False, False, False, False, False, False]
     assert [(r["province"], r["city"], r["date"]) for r in ads.ad_events(parsed).collect()] == [
         ("Hubei", "Wuhan", "2024-01-01"), ("1", "2", "2024-01-01")]
-
-
-def test_click_trend_stream_with_watermark(spark):
-    from shoplens.operators import ads
-    base = tempfile.mkdtemp(prefix="shoplens-trend-")
-    os.makedirs(f"{base}/src")
-    with open(f"{base}/src/a.txt", "w") as f:
-        f.write("\n".join([line(0, 1, 5), line(1000, 2, 5), line(MIN, 1, 5), line(MIN + 5, 3, 6), "bad"]) + "\n")
-    events = ads.ad_events(ads.parse_ad_log(st.ad_log_stream(spark, f"{base}/src")))
-    q = (st.click_trend_stream(events).writeStream.outputMode("update").format("memory")
-         .queryName("trend_test").trigger(availableNow=True).option("checkpointLocation", f"{base}/ck").start())
-    q.awaitTermination()
-    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM trend_test").collect())
-    assert got == [("2024-01-01", "00", "00", 5, 2), ("2024-01-01", "00", "01", 5, 1), ("2024-01-01", "00", "01", 6, 1)]
