@@ -1,24 +1,37 @@
-"""Page single-hop conversion.
-
-Consecutive pages come from ``lead`` over each session in (time, id)
-order. With ``bucket_seconds`` set, a session is split into time buckets
-so no task has to sort one whole (possibly huge) session: pairs inside a
-bucket come from a window over (session, bucket), and each bucket's last
-page is paired with the next non-empty bucket's first page through a
-window over the one-row-per-bucket table. The result is exactly the
-unsplit ``lead``.
+"""Page single-hop conversion (W3-W5, D16, D17) by mergeable chunks.
+
+Actions are dealt into chunks that are contiguous in (session, time, id)
+order: Spark samples the order's bounds and range-partitions by them, so a
+session, a session-minute or a single instant that holds a third of all
+rows is cut across tasks like any other rows. A chunk is summed up in one
+pass over its sorted rows:
+
+    (first row, last row, counts of the flow's pairs and start views)
+
+Such summaries merge in chunk order: counts add up, and where the last row
+of a chunk and the first row of the next belong to one session, they make
+one more pair. The fold reads one row per chunk. Nothing else is shuffled
+after the range partitioning, whose partitions are the chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.config import store
-from shoplens.functions.scalar import ntz_to_epoch_millis, pair_label
+from shoplens.functions.scalar import pair_label
 from shoplens.operators.joins import bounded_broadcast
 
-DEFAULT_BUCKET_SECONDS = 60
+_ORDER = ("session_id", "action_time", "action_id")
+#: A chunk's first and last row.
+_EDGES = "chunk int, first_session string, first_page long, last_session string, last_page long"
 
 
 def flow_pairs(flow: str) -> list[tuple[int, int, int]]:
@@ -32,85 +45,123 @@ def flow_table(spark: SparkSession, flow: str) -> DataFrame:
     return spark.createDataFrame(flow_pairs(flow) or [], "pos int, from_page bigint, to_page bigint")
 
 
-def _windowed(actions: DataFrame, bucket_seconds: int | None,
-              range_chunks: int | None = None) -> DataFrame:
-    """One row per action with its successor inside its (session, chunk).
+def ordered_chunks(actions: DataFrame, chunks: int | None = None) -> DataFrame:
+    """(session_id, page_id) in (session, time, id) order, partition by partition.
+
+    ``chunks`` fixes the number of partitions; by default it is the session's
+    number of shuffle partitions, small neighbours merged by AQE.
+    """
+    a = actions.select(F.col("session_id").cast("string").alias("session_id"), F.col("page_id").cast("bigint").alias("page_id"),
+                       "action_time", "action_id")
+    dealt = a.repartitionByRange(chunks, *_ORDER) if chunks else a.repartitionByRange(*_ORDER)
+    return dealt.sortWithinPartitions(*_ORDER).select("session_id", "page_id")
+
+
+class _Chunk:
+    """First and last row of the chunk being read; hands out each batch's consecutive rows."""
 
-    Chunks are contiguous in (session, time, id) order: a time bucket of
-    ``bucket_seconds``, or, with ``range_chunks``, a range partition of
-    (session, time, id) whose bounds Spark samples from the data, so even
-    one hot session-minute is cut across tasks. Sampled bounds may differ
-    from one run to the next, so the cut is written once and all readers
-    of it see the same chunks (one extra shuffle and write).
+    def __init__(self) -> None:
+        self.first = self.last = None
+
+    def pairs(self, batch: pa.RecordBatch) -> pa.Table:
+        """(session_id, page_id, next_page_id) of rows and their successors within a session."""
+        rows = pa.Table.from_batches([batch])
+        if self.last is not None:
+            rows = pa.concat_tables([self.last, rows]).combine_chunks()
+        self.first = rows.slice(0, 1) if self.first is None else self.first
+        self.last = rows.slice(len(rows) - 1)
+        before, after = rows.slice(0, len(rows) - 1), rows.slice(1)
+        a, b = before["session_id"], after["session_id"]
+        same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        return pa.table({"session_id": a, "page_id": before["page_id"], "next_page_id": after["page_id"]}).filter(same)
+
+    def edges(self) -> list:
+        """Values of ``_EDGES``; none for an empty chunk."""
+        ends = [t[c][0].as_py() for t in (self.first, self.last) for c in ("session_id", "page_id")]
+        return [TaskContext.get().partitionId(), *ends]
+
+
+def _next_chunk() -> tuple[Column, Column]:
+    """Whether the next chunk begins in the session that this one ends in, and its first page.
+
+    The window is over one row per chunk.
     """
-    order = [F.col("action_time"), F.col("action_id")]
-    a = actions.select("session_id", "page_id", "action_time", "action_id")
-    if range_chunks:
-        a = store(a.repartitionByRange(range_chunks, "session_id", "action_time", "action_id")
-                  .withColumn("bucket", F.spark_partition_id().cast("bigint")), "page_chunks")
-    elif bucket_seconds:
-        a = a.withColumn("bucket", F.floor(ntz_to_epoch_millis("action_time") / (1000 * bucket_seconds)))
-    else:
-        a = a.withColumn("bucket", F.lit(0).cast("bigint"))
-    w = Window.partitionBy("session_id", "bucket").orderBy(*order)
-    return a.select("session_id", "bucket", "page_id",
-                    F.lead("page_id").over(w).alias("next_page_id"),
-                    F.lead("action_id").over(w).alias("_next_id"),
-                    F.row_number().over(w).alias("_rn"))
-
-
-def _bucket_links(x: DataFrame) -> DataFrame:
-    """Pairs across bucket borders: each bucket's last page -> next bucket's first page.
-
-    Built from the windowed rows themselves (first row: ``_rn = 1``; last
-    row: no successor), so it shares their shuffle; the stitching window
-    runs on one row per (session, bucket).
+    w = Window.partitionBy().orderBy("chunk")
+    same = F.lead("first_session").over(w).eqNullSafe(F.col("last_session")) & F.lead("chunk").over(w).isNotNull()
+    return same.alias("same"), F.lead("first_page").over(w).alias("next_first_page")
+
+
+def page_pairs(actions: DataFrame, chunks: int | None = None) -> DataFrame:
+    """(session_id, page_id, next_page_id) for consecutive actions.
+
+    Pairs inside chunks and the chunks' edges come out of one pass, written
+    once (the sampled bounds may differ from run to run): the pairs, and one
+    row per chunk from which the pairs across chunks are made.
     """
-    ends = (x.filter((F.col("_rn") == 1) | F.col("_next_id").isNull())
-            .groupBy("session_id", "bucket")
-            .agg(F.max(F.when(F.col("_rn") == 1, F.col("page_id"))).alias("first_page"),
-                 F.max(F.when(F.col("_next_id").isNull(), F.col("page_id"))).alias("last_page")))
-    w_b = Window.partitionBy("session_id").orderBy("bucket")
-    return (ends.select("session_id", F.col("last_page").alias("page_id"),
-                        F.lead("first_page").over(w_b).alias("next_page_id"),
-                        F.lead("bucket").over(w_b).alias("_nb"))
-            .filter(F.col("_nb").isNotNull()).drop("_nb"))
-
-
-def page_pairs(actions: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-               range_chunks: int | None = None) -> DataFrame:
-    """(session_id, page_id, next_page_id) for consecutive actions."""
-    x = _windowed(actions, bucket_seconds, range_chunks)
-    inner = x.filter(F.col("_next_id").isNotNull()).select("session_id", "page_id", "next_page_id")
-    if not bucket_seconds and not range_chunks:
-        return inner
-    return inner.unionByName(_bucket_links(x))
-
-
-def flow_counts(actions: DataFrame, flow: str,
-                bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                range_chunks: int | None = None) -> DataFrame:
+    schema = "session_id string, page_id long, next_page_id long, " + _EDGES
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunk()
+        for batch in batches:
+            if batch.num_rows:
+                found = chunk.pairs(batch).combine_chunks()
+                blank = [pa.nulls(len(found), k) for k in kinds[3:]]
+                yield from pa.table([*found.columns, *blank], names=names).to_batches()
+        if chunk.first is not None:
+            row = [None, None, None, *chunk.edges()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+
+    rows = store(ordered_chunks(actions, chunks).mapInArrow(run, schema), "page_pairs")
+    inner = rows.filter(F.col("chunk").isNull()).select("session_id", "page_id", "next_page_id")
+    across = (rows.filter(F.col("chunk").isNotNull()).select("last_session", "last_page", *_next_chunk()).filter("same")
+              .select(F.col("last_session").alias("session_id"), F.col("last_page").alias("page_id"),
+                      F.col("next_first_page").alias("next_page_id")))
+    return inner.unionByName(across)
+
+
+def chunk_summaries(actions: DataFrame, flow: str, chunks: int | None = None) -> DataFrame:
+    """One row per chunk: its edges, ``starts`` views of the flow's first page, ``counts`` of the flow's pairs."""
+    steps, start = flow_pairs(flow), int(flow.split(",")[0])
+    schema = _EDGES + ", starts long, counts array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, starts, counts = _Chunk(), 0, np.zeros(len(steps), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts += pc.sum(pc.equal(batch["page_id"], start)).as_py() or 0
+            found = chunk.pairs(batch)
+            for k, (_, a, b) in enumerate(steps):
+                hit = pc.and_(pc.equal(found["page_id"], a), pc.equal(found["next_page_id"], b))
+                counts[k] += pc.sum(hit).as_py() or 0
+        if chunk.first is not None:
+            row = [*chunk.edges(), starts, counts.tolist()]
+            kinds = [pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
+                                             [c.split()[0] for c in schema.split(", ")])
+
+    return ordered_chunks(actions, chunks).mapInArrow(run, schema)
+
+
+def flow_counts(actions: DataFrame, flow: str, chunks: int | None = None) -> DataFrame:
     """D16 + D17 in one pass: (pos, page_pair, pair_count), position 0 = start-page views.
 
-    One global aggregate of conditional sums over every action row and the
-    bucket-border pairs (partial per task, one small final merge); the flow
-    parameter becomes literals, so no join is needed.
+    The chunks' summaries are folded in order, the pairs across chunks added;
+    the flow parameter becomes literals, so no join is needed.
     """
     steps = flow_pairs(flow)
-    first = int(flow.split(",")[0])
-    x = _windowed(actions, bucket_seconds, range_chunks)
-    rows = x.select("page_id", "next_page_id", F.lit(True).alias("is_action"))
-    if bucket_seconds or range_chunks:
-        rows = rows.unionByName(_bucket_links(x).select("page_id", "next_page_id",
-                                                        F.lit(False).alias("is_action")))
-    sums = [F.sum(F.when(F.col("is_action") & (F.col("page_id") == first), 1).otherwise(0)).alias("c0")]
-    sums += [F.sum(F.when((F.col("page_id") == a) & (F.col("next_page_id") == b), 1).otherwise(0)).alias(f"c{p}")
-             for p, a, b in steps]
+    x = chunk_summaries(actions, flow, chunks).select("starts", "counts", "last_page", *_next_chunk())
+    sums = [F.coalesce(F.sum("starts"), F.lit(0)).alias("c0")]
+    for p, a, b in steps:
+        across = F.when(F.col("same") & (F.col("last_page") == a) & (F.col("next_first_page") == b), 1).otherwise(0)
+        sums.append(F.coalesce(F.sum(F.get("counts", F.lit(p - 1)) + across), F.lit(0)).alias(f"c{p}"))
     items = [F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("page_pair"),
                       F.col("c0").cast("bigint").alias("pair_count"))]
     items += [F.struct(F.lit(p).alias("pos"), F.lit(f"{a}_{b}").alias("page_pair"),
                        F.col(f"c{p}").cast("bigint").alias("pair_count")) for p, a, b in steps]
-    return rows.agg(*sums).select(F.explode(F.array(*items)).alias("r")).select("r.*")
+    return x.agg(*sums).select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
 def page_pair_count(pairs: DataFrame, flow: DataFrame) -> DataFrame:

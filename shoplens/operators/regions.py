@@ -56,8 +56,11 @@ def top_n_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
 def area_top3(full: DataFrame, n: int = 3,
               levels: Mapping[str, Iterable[str]] = AREA_LEVELS_REGIONS) -> DataFrame:
     """W1 + B5: top ``n`` products per area by clicks (ties by product id), graded."""
-    top = top_n_per_group(full, ["area_name"],
-                          [F.col("click_count").desc(), F.col("product_id").asc()], n)
+    return graded(top_n_per_group(full, ["area_name"], [F.col("click_count").desc(), F.col("product_id").asc()], n), levels)
+
+
+def graded(top: DataFrame, levels: Mapping[str, Iterable[str]] = AREA_LEVELS_REGIONS) -> DataFrame:
+    """The report's columns, areas graded."""
     return top.select(
         F.col("area_name").alias("area"),
         area_level("area_name", levels).alias("area_level"),

@@ -5,12 +5,12 @@ arithmetic. R2 draws exactly ``quota`` sessions per (date, hour), ordered
 by a seeded hash of the session id (no ``rand()``, so reruns and task
 retries pick the same sessions).
 
-Skew: an hour may hold a large share of all sessions. The draw is a
-top-``quota`` by hash, done in two rounds: first inside
-(date, hour, salt) groups, where ``salt`` splits every hour into
-``salt_buckets`` parts, then over the survivors of the hour (at most
-``salt_buckets * quota`` rows). The global top-q is always inside the
-union of the per-part top-q, so the result is exact.
+Skew: an hour may hold a large share of all sessions, so no hour is ever
+sorted. A histogram of the hashes' first digits, per hour, says in which of
+its ``16 ** PREFIX`` cells the quota is reached; a filter keeps the sessions
+up to that cell, and only those, at most the quota and one cell, are ranked.
+The draw needs ids and start times alone; whatever else a report shows is
+attached to the drawn sessions afterwards.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens.functions.scalar import format_date
 from shoplens.operators.joins import bounded_broadcast
-from shoplens.operators.sessions import sessions_per_day, sessions_per_hour
+from shoplens.operators.sessions import sessions_per_day
 
-DEFAULT_SALT_BUCKETS = 64
+#: Hexadecimal digits of the histogram's cells (4,096 an hour).
+PREFIX = 3
 
 
 def extract_quota(hourly: DataFrame, total: int = 100) -> DataFrame:
@@ -40,28 +42,42 @@ def sample_order(seed: str) -> F.Column:
     return F.md5(F.concat(F.lit(seed), F.col("session_id")))
 
 
+def hash_histogram(sessions: DataFrame, seed: str) -> DataFrame:
+    """Sessions per (date, hour, first digits of the draw order)."""
+    return (sessions.select(format_date("start_time").alias("date"), F.date_format("start_time", "HH").alias("hour"),
+                            F.left(sample_order(seed), F.lit(PREFIX)).alias("prefix"))
+            .groupBy("date", "hour", "prefix").agg(F.count(F.lit(1)).alias("held")))
+
+
+def cut_offs(histogram: DataFrame, quotas: DataFrame) -> DataFrame:
+    """(date, hour, quota, cut): the cell in which an hour reaches its quota."""
+    so_far = F.sum("held").over(Window.partitionBy("date", "hour").orderBy("prefix"))
+    wanted = quotas.select("date", "hour", "quota").filter(F.col("quota") > 0)
+    cells = histogram.withColumn("so_far", so_far).join(wanted, ["date", "hour"])
+    return (cells.filter(F.col("so_far") >= F.col("quota")).groupBy("date", "hour")
+            .agg(F.max("quota").alias("quota"), F.min("prefix").alias("cut")))
+
+
 def random_extract(sessions: DataFrame, quotas: DataFrame, seed: str = "shoplens",
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """R2: ``quota`` sessions per (date, hour) of their start, drawn by seeded hash."""
-    s = sessions.withColumn("date", F.date_format("start_time", "yyyy-MM-dd")) \
-                .withColumn("hour", F.date_format("start_time", "HH")) \
-                .withColumn("_h", sample_order(seed))
-    # Bounded by construction: at most 24 rows per day (a century of days is ~0.9M
-    # tiny rows), so it is broadcast and the sessions never shuffle by hour.
-    q = bounded_broadcast(quotas.select("date", "hour", "quota").filter(F.col("quota") > 0))
-    s = s.join(q, ["date", "hour"], "inner")
-    order = [F.col("_h"), F.col("session_id")]
-    salt = F.pmod(F.xxhash64("session_id"), F.lit(salt_buckets))
-    w1 = Window.partitionBy("date", "hour", "_salt").orderBy(*order)
-    w2 = Window.partitionBy("date", "hour").orderBy(*order)
-    first = (s.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(w1))
-             .filter(F.col("_rn") <= F.col("quota")).drop("_rn", "_salt"))
-    return (first.withColumn("_rn", F.row_number().over(w2))
-            .filter(F.col("_rn") <= F.col("quota")).drop("_rn", "_h", "quota"))
-
-
-def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "shoplens",
-                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """D13 -> R1 -> R2."""
-    quotas = extract_quota(sessions_per_hour(sessions), total)
-    return random_extract(sessions, quotas, seed, salt_buckets)
+                   histogram: DataFrame | None = None) -> DataFrame:
+    """R2: ``quota`` sessions per (date, hour) of their start, drawn by seeded hash.
+
+    An hour with fewer sessions than its quota gives none (R1 never asks for more).
+    """
+    histogram = hash_histogram(sessions, seed) if histogram is None else histogram
+    # One row per (date, hour): at most 24 a day, so it is broadcast and the
+    # sessions are filtered where they are.
+    cuts = bounded_broadcast(cut_offs(histogram, quotas))
+    s = (sessions.withColumn("date", format_date("start_time")).withColumn("hour", F.date_format("start_time", "HH"))
+         .withColumn("_h", sample_order(seed)).join(cuts, ["date", "hour"])
+         .filter(F.left("_h", F.lit(PREFIX)) <= F.col("cut")))
+    order = Window.partitionBy("date", "hour").orderBy("_h", "session_id")
+    return (s.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= F.col("quota"))
+            .drop("_rn", "_h", "quota", "cut"))
+
+
+def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "shoplens") -> DataFrame:
+    """D13 -> R1 -> R2; the hourly counts are sums of the histogram."""
+    histogram = hash_histogram(sessions, seed)
+    hourly = histogram.groupBy("date", "hour").agg(F.sum("held").alias("hour_count"))
+    return random_extract(sessions, extract_quota(hourly, total), seed, histogram)

@@ -265,3 +265,10 @@ def _conversion_ctes(src_table: str, flow: str):
           _RANGE_CTES + _conversion_ctes("ra", TARGET_FLOW)))
 def q_report_page_conversion(spark, sf):
     return rp.report_page_conversion(spark, sf, START, END, TARGET_FLOW)
+
+
+@register("page_conversion_text", ov.sql(["actions"], """
+SELECT string_agg(concat_ws('=', page_pair, CAST(ratio AS VARCHAR)), '|' ORDER BY pos) AS convert_ratio FROM ratios WHERE pos > 0""",
+          _RANGE_CTES + _conversion_ctes("ra", TARGET_FLOW)))
+def q_page_conversion_text(spark, sf):
+    return rp.report_page_conversion_text(spark, sf, START, END, TARGET_FLOW)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.config import materialize
 from shoplens.functions.filters import SessionFilter
-from pyspark.sql import functions as F
 from shoplens.operators import categories as cat
 from shoplens.operators import pageflow as pf
 from shoplens.operators import regions, sampling
@@ -34,55 +35,67 @@ def report_session_ratio(spark: SparkSession, sf_dir: str, start: str, end: str,
 
 def report_random_extract(spark: SparkSession, sf_dir: str, start: str, end: str,
                           params: SessionFilter, total: int = 100, seed: str = "shoplens") -> DataFrame:
-    """... B4 -> D13 -> R1 -> R2."""
-    _, s = filtered_sessions(spark, sf_dir, start, end, params)
-    s = materialize(s)          # read twice: hourly quotas and the draw
-    return ses.session_output(sampling.sample_sessions(s, total, seed))
+    """... B4 -> D13 -> R1 -> R2.
+
+    The draw sees ids and start times; keywords and categories are gathered
+    for the drawn sessions, at most ``total``, from their own actions.
+    """
+    actions, s = filtered_sessions(spark, sf_dir, start, end, params)
+    drawn = bounded_broadcast(sampling.sample_sessions(s.select("session_id", "start_time"), total, seed)
+                              .select("session_id"))
+    return ses.session_output(ses.session_rollup(actions.join(drawn, "session_id", "left_semi")))
+
 
+def category_sessions(spark: SparkSession, sf_dir: str, start: str, end: str, params: SessionFilter) -> DataFrame:
+    """Funnel counts per (category, session) of the kept sessions.
 
-def top10_categories(spark: SparkSession, sf_dir: str, start: str, end: str,
-                     params: SessionFilter, n: int = 10) -> tuple[DataFrame, DataFrame]:
+    The actions are summed up per (category, session) first (partly before
+    the shuffle), so the semi join (C2) meets those few rows, not the actions.
+    """
     actions, s = filtered_sessions(spark, sf_dir, start, end, params)
-    kept = ses.semi_actions_in_sessions(actions, s)
-    return kept, cat.top_categories(cat.category_funnel_counts(kept), n)
+    return ses.semi_actions_in_sessions(cat.category_session_funnel(actions), s)
 
 
 def report_top10_category(spark: SparkSession, sf_dir: str, start: str, end: str,
                           params: SessionFilter, n: int = 10) -> DataFrame:
     """... B4 -> C2 -> D11 -> W6."""
-    return top10_categories(spark, sf_dir, start, end, params, n)[1]
+    return cat.top_categories(cat.funnel_from_sessions(category_sessions(spark, sf_dir, start, end, params)), n)
 
 
 def report_top10_active_session(spark: SparkSession, sf_dir: str, start: str, end: str,
                                 params: SessionFilter, n: int = 10, per_category: int = 10) -> DataFrame:
     """P3 -> C7 -> D15 -> W2.
 
-    The kept actions are aggregated once to (category, session) funnel
-    counts and materialized; the top-10 list (D11 -> W6) and the session
-    clicks (D15) both come from that table, so the fact table is scanned
-    and shuffled once.
+    The top-10 list (D11 -> W6) and the session clicks (D15) come from the
+    same (category, session) counts, whose shuffle both read.
     """
-    actions, s = filtered_sessions(spark, sf_dir, start, end, params)
-    per_session = materialize(cat.category_session_funnel(ses.semi_actions_in_sessions(actions, s)))
+    per_session = category_sessions(spark, sf_dir, start, end, params)
     top = cat.top_categories(cat.funnel_from_sessions(per_session), n)
+    return cat.top_sessions_per_category(top_category_clicks(per_session, top), per_category)
+
+
+def top_category_clicks(per_session: DataFrame, top: DataFrame) -> DataFrame:
+    """C7 on counts: clicks per (category, session) of the top categories (``top`` is a top-n)."""
     clicks = (per_session.filter(F.col("click_count") > 0)
               .select("category_id", "session_id", F.col("click_count").cast("bigint").alias("click_count")))
-    top_ids = top.select("category_id")
-    return cat.top_sessions_per_category(clicks.join(bounded_broadcast(top_ids), "category_id", "left_semi"),
-                                         per_category)
+    return clicks.join(bounded_broadcast(top.select("category_id")), "category_id", "left_semi")
 
 
-def page_conversion(actions: DataFrame, flow: str,
-                    bucket_seconds: int | None = pf.DEFAULT_BUCKET_SECONDS,
-                    range_chunks: int | None = None) -> DataFrame:
-    """W3 -> D16 + D17 -> W4 on an action table (``range_chunks``: see ``pageflow``)."""
-    return pf.ratios_from_counts(pf.flow_counts(actions, flow, bucket_seconds, range_chunks))
+def page_conversion(actions: DataFrame, flow: str, chunks: int | None = None) -> DataFrame:
+    """W3 -> D16 + D17 -> W4 on an action table (``chunks``: see ``pageflow``)."""
+    return pf.ratios_from_counts(pf.flow_counts(actions, flow, chunks))
 
 
 def report_page_conversion(spark: SparkSession, sf_dir: str, start: str, end: str,
-                           flow: str = "1,2,3,4,5,6,7", range_chunks: int | None = None) -> DataFrame:
+                           flow: str = "1,2,3,4,5,6,7") -> DataFrame:
     """P5: A1 -> W3 -> D16 + D17 -> W4 (long form: pos, pair, count, ratio)."""
-    return page_conversion(src.actions(spark, sf_dir, 1, start, end), flow, range_chunks=range_chunks)
+    return page_conversion(src.actions(spark, sf_dir, 1, start, end), flow)
+
+
+def report_page_conversion_text(spark: SparkSession, sf_dir: str, start: str, end: str,
+                                flow: str = "1,2,3,4,5,6,7") -> DataFrame:
+    """P5 in the stored form: one string ``1_2=r|2_3=r``."""
+    return pf.render_ratios(report_page_conversion(spark, sf_dir, start, end, flow))
 
 
 def report_area_top3(spark: SparkSession, sf_dir: str, start: str, end: str, n: int = 3) -> DataFrame:
@@ -95,34 +108,20 @@ def report_area_top3(spark: SparkSession, sf_dir: str, start: str, end: str, n:
 
 
 def report_area_top3_sql(spark: SparkSession, sf_dir: str, start: str, end: str, n: int = 3) -> DataFrame:
-    """P6 on the SQL path (A10): stages chained through temp views.
+    """P6 on the SQL path (A10): the joined counts as a temp view, ranked in SQL.
 
-    Catalyst sees the same logical plan as the DataFrame version; the
-    parameters are bound as literals by the caller, never user text.
+    The view lives as long as the query is being analysed; ``n`` is a bound
+    parameter, never text.
     """
-    suffix = abs(hash((sf_dir, start, end))) % 10**8
-    v = {k: f"{k}_{suffix}" for k in ("clicks", "cities", "products", "click_city", "area_counts", "full_info")}
-    src.click_actions(spark, sf_dir, start, end).createOrReplaceTempView(v["clicks"])
-    src.cities(spark, sf_dir).createOrReplaceTempView(v["cities"])
-    src.products(spark, sf_dir).createOrReplaceTempView(v["products"])
-    spark.sql(f"""
-        SELECT c.city_id, c.click_product_id AS product_id, ci.city_name, ci.area_name
-        FROM {v['clicks']} c JOIN {v['cities']} ci ON c.city_id = ci.city_id""").createOrReplaceTempView(v["click_city"])
-    spark.sql(f"""
-        SELECT area_name, product_id, count(*) AS click_count,
-               nullif(array_join(array_sort(collect_set(concat_ws(':', CAST(city_id AS STRING), city_name))), ','), '')
-                 AS city_infos
-        FROM {v['click_city']} GROUP BY area_name, product_id""").createOrReplaceTempView(v["area_counts"])
-    spark.sql(f"""
-        SELECT a.*, p.product_name,
-               IF(get_json_object(p.extend_info, '$.product_status') = '0', 'Self', 'Third Party') AS product_status
-        FROM {v['area_counts']} a JOIN {v['products']} p ON a.product_id = p.product_id""") \
-        .createOrReplaceTempView(v["full_info"])
-    return spark.sql(f"""
-        SELECT area_name AS area,
-               CASE WHEN area_name IN ('AMERICA', 'EUROPE') THEN 'A' WHEN area_name = 'ASIA' THEN 'B'
-                    WHEN area_name = 'AFRICA' THEN 'C' ELSE 'D' END AS area_level,
-               product_id, product_name, click_count, city_infos, product_status
-        FROM (SELECT *, row_number() OVER (PARTITION BY area_name ORDER BY click_count DESC, product_id) AS rank
-              FROM {v['full_info']}) t
-        WHERE rank <= {int(n)}""")
+    clicks = regions.join_click_city(src.click_actions(spark, sf_dir, start, end), src.cities(spark, sf_dir))
+    counts = regions.join_area_product(regions.area_product_clicks(clicks), src.products(spark, sf_dir))
+    view = f"area_counts_{uuid.uuid4().hex}"
+    counts.createOrReplaceTempView(view)
+    try:
+        ranked = spark.sql(f"""
+            WITH placed AS (SELECT *, row_number() OVER (PARTITION BY area_name ORDER BY click_count DESC, product_id) AS place
+                            FROM {view})
+            SELECT * FROM placed WHERE place <= :n""", args={"n": n})
+    finally:
+        spark.catalog.dropTempView(view)
+    return regions.graded(ranked)

@@ -2,6 +2,8 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from shoplens.operators import pageflow as pf
 from shoplens.plans.reports import page_conversion
@@ -38,27 +40,47 @@ def test_zero_start_views_gives_null(spark):
     assert out[0]["pair_count"] == 0 and out[0]["ratio"] is None
 
 
+def _plain(df):
+    """Pairs by a window over whole sessions."""
+    w = Window.partitionBy("session_id").orderBy("action_time", "action_id")
+    x = df.select("session_id", "page_id", F.lead("page_id").over(w).alias("next"), F.lead("action_id").over(w).alias("id"))
+    return sorted((tuple(r)[:3] for r in x.filter("id IS NOT NULL").collect()), key=str)
+
+
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 4), st.integers(0, 400)), min_size=1, max_size=40))
-def test_bucketed_pairs_equal_plain_lead(spark, items):
-    rows = [(i, f"s{s}", p, T0 + dt.timedelta(seconds=t)) for i, (s, p, t) in enumerate(items)]
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from([0, 1, 2, 3, None]), st.integers(0, 400)),
+                min_size=1, max_size=40))
+def test_chunked_pairs_equal_plain_lead(spark, items):
+    rows = [(i, s, p, T0 + dt.timedelta(seconds=t)) for i, (s, p, t) in enumerate(items)]
     df = _actions(spark, rows)
-    plain = sorted(tuple(r) for r in pf.page_pairs(df, None).collect())
-    for b in (1, 7, 60):
-        assert sorted(tuple(r) for r in pf.page_pairs(df, b).collect()) == plain
-    for n in (1, 3):
-        assert sorted(tuple(r) for r in pf.page_pairs(df, None, range_chunks=n).collect()) == plain
+    plain = _plain(df)
+    for n in (None, 1, 3, 7):
+        assert sorted(map(tuple, pf.page_pairs(df, n).collect()), key=str) == plain
 
 
-def test_range_split_cuts_one_hot_session_minute(spark):
-    rows = [(i, "hot", i % 5, T0 + dt.timedelta(milliseconds=i)) for i in range(400)]
-    df = _actions(spark, rows)
-    plain = sorted(tuple(r) for r in pf.page_pairs(df, None).collect())
-    assert sorted(tuple(r) for r in pf.page_pairs(df, 60, range_chunks=8).collect()) == plain
-    x = pf._windowed(df, None, range_chunks=8)
-    assert x.select("bucket").distinct().count() > 1      # the single session-minute is split
-    one = {r["pos"]: r["pair_count"] for r in pf.flow_counts(df, "0,1,2", None, range_chunks=8).collect()}
-    assert one == {0: 80, 1: 80, 2: 80}
+def test_one_hot_session_instant_is_cut(spark):
+    """A third of all rows in one session and one second: no chunk holds more than its share of rows."""
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 50}", i % 5, T0 + dt.timedelta(seconds=0 if i % 3 == 0 else i)) for i in range(6000)]
+    df = _actions(spark, rows).repartition(6)
+    sizes = [r["count"] for r in pf.ordered_chunks(df, 12).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1000                # the hot session has 2,000 rows
+    assert sorted(map(tuple, pf.page_pairs(df, 12).collect()), key=str) == _plain(df)
+    one = {r["pos"]: r["pair_count"] for r in pf.flow_counts(df, "0,3,1,4", 12).collect()}
+    pairs = _plain(df)
+    assert one == {0: 1200, **{p: sum(x[1:] == (a, b) for x in pairs) for p, a, b in pf.flow_pairs("0,3,1,4")}}
+
+
+def test_empty_and_single_row(spark):
+    none = _actions(spark, [])
+    assert pf.page_pairs(none).count() == 0
+    assert [r["pair_count"] for r in pf.flow_counts(none, "1,2").collect()] == [0, 0]
+    one = _actions(spark, [(1, "a", 1, T0)])
+    assert pf.page_pairs(one).count() == 0 and [r["pair_count"] for r in pf.flow_counts(one, "1,2").collect()] == [1, 0]
+
+
+def test_text_form(spark):
+    rows = [(1, "a", 1, T0), (2, "a", 2, T0 + dt.timedelta(seconds=1)), (3, "b", 1, T0)]
+    assert pf.render_ratios(page_conversion(_actions(spark, rows), "1,2,3,4")).first()[0] == "1_2=0.5|2_3=0.0|3_4"
 
 
 @settings(max_examples=6, deadline=None)
@@ -67,8 +89,8 @@ def test_range_split_cuts_one_hot_session_minute(spark):
 def test_flow_counts_equal_pair_and_start_counts(spark, items, flow):
     rows = [(i, f"s{s}", p, T0 + dt.timedelta(seconds=t)) for i, (s, p, t) in enumerate(items)]
     df = _actions(spark, rows)
-    one_pass = {r["pos"]: r["pair_count"] for r in pf.flow_counts(df, flow, 60).collect()}
-    pairs = {r["pos"]: r["pair_count"] for r in pf.page_pair_count(pf.page_pairs(df, None),
+    one_pass = {r["pos"]: r["pair_count"] for r in pf.flow_counts(df, flow, 3).collect()}
+    pairs = {r["pos"]: r["pair_count"] for r in pf.page_pair_count(pf.page_pairs(df),
                                                                      pf.flow_table(spark, flow)).collect()}
     start = pf.start_page_count(df, int(flow.split(",")[0])).first()[0]
     assert one_pass == {0: start, **pairs}
