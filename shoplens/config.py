@@ -86,14 +86,14 @@ def release(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def store(df, name: str):
+def store(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, but columnar and compressed: readers
     prune columns, and a lost executor re-reads files.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

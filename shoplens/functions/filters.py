@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from shoplens.functions.scalar import _c, csv_tokens, json_field
 
 
-def _values(values) -> list[str]:
+def filter_values(values) -> list[str]:
+    """A parameter's values as texts: a list, or a comma list; none when absent."""
     if values is None:
         return []
     if isinstance(values, str):
@@ -34,7 +35,7 @@ def any_in(col, values) -> Column:
 
     Empty or absent ``values`` keeps every row; NULL, '' and '-1' data never pass.
     """
-    vals = _values(values)
+    vals = filter_values(values)
     if not vals:
         return F.lit(True)
     c = _c(col).cast("string")

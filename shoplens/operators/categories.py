@@ -27,7 +27,13 @@ def _click_id() -> Column:
     return F.nullif(F.col("click_category_id"), F.lit(-1))
 
 
-def _ids(col: str) -> Column:
+def clicked_ids() -> Column:
+    """The clicked category of an action as an array of one or none."""
+    return F.when(_click_id().isNotNull(), F.array(_click_id())).otherwise(_empty())
+
+
+def listed_ids(col: str) -> Column:
+    """The ids of a comma list; none when absent."""
     return F.coalesce(csv_to_ids(col), _empty())
 
 
@@ -38,7 +44,7 @@ def category_click_count(actions: DataFrame) -> DataFrame:
 
 
 def _exploded_count(actions: DataFrame, col: str, out: str) -> DataFrame:
-    return (actions.select(F.explode(_ids(col)).alias("category_id"))
+    return (actions.select(F.explode(listed_ids(col)).alias("category_id"))
             .filter(F.col("category_id").isNotNull())
             .groupBy("category_id").agg(F.count(F.lit(1)).alias(out)))
 
@@ -53,7 +59,7 @@ def category_pay_count(actions: DataFrame) -> DataFrame:
     return _exploded_count(actions, "pay_category_ids", "pay_count")
 
 
-def _universe_kind() -> Column:
+def universe_kind() -> Column:
     # The action's first kind in priority order: click, else order, else pay.
     return (F.when(_click_id().isNotNull(), CLICK)
             .when(F.col("order_category_ids").isNotNull(), ORDER)
@@ -62,10 +68,10 @@ def _universe_kind() -> Column:
 
 def category_universe(actions: DataFrame) -> DataFrame:
     """Distinct categories an action names under the priority rule."""
-    kind = _universe_kind()
+    kind = universe_kind()
     ids = (F.when(kind == CLICK, F.array(_click_id()))
-           .when(kind == ORDER, _ids("order_category_ids"))
-           .when(kind == PAY, _ids("pay_category_ids")))
+           .when(kind == ORDER, listed_ids("order_category_ids"))
+           .when(kind == PAY, listed_ids("pay_category_ids")))
     return (actions.select(F.explode(ids).alias("category_id"))
             .filter(F.col("category_id").isNotNull()).distinct())
 
@@ -82,11 +88,10 @@ def left_join_category_counts(actions: DataFrame) -> DataFrame:
 
 def category_funnel_counts(actions: DataFrame) -> DataFrame:
     """Universe and the three counts in one pass (same result as C3)."""
-    kind = _universe_kind()
+    kind = universe_kind()
     tag = lambda arr, k: F.transform(arr, lambda x: F.struct(F.lit(k).alias("kind"), x.alias("cid")))
-    clicks = F.when(_click_id().isNotNull(), F.array(_click_id())).otherwise(_empty())
-    pairs = F.concat(tag(clicks, CLICK), tag(_ids("order_category_ids"), ORDER),
-                     tag(_ids("pay_category_ids"), PAY))
+    pairs = F.concat(tag(clicked_ids(), CLICK), tag(listed_ids("order_category_ids"), ORDER),
+                     tag(listed_ids("pay_category_ids"), PAY))
     e = (actions.select(kind.alias("ukind"), F.explode(pairs).alias("p"))
          .select(F.col("p.cid").alias("category_id"), F.col("p.kind").alias("kind"),
                  (F.col("p.kind") == F.col("ukind")).alias("in_universe"))
@@ -104,11 +109,10 @@ def category_session_funnel(actions: DataFrame) -> DataFrame:
 
     ``in_universe`` marks pairs named by the priority kind of some action.
     """
-    kind = _universe_kind()
+    kind = universe_kind()
     tag = lambda arr, k: F.transform(arr, lambda x: F.struct(F.lit(k).alias("kind"), x.alias("cid")))
-    clicks = F.when(_click_id().isNotNull(), F.array(_click_id())).otherwise(_empty())
-    pairs = F.concat(tag(clicks, CLICK), tag(_ids("order_category_ids"), ORDER),
-                     tag(_ids("pay_category_ids"), PAY))
+    pairs = F.concat(tag(clicked_ids(), CLICK), tag(listed_ids("order_category_ids"), ORDER),
+                     tag(listed_ids("pay_category_ids"), PAY))
     e = (actions.select("session_id", kind.alias("ukind"), F.explode(pairs).alias("p"))
          .select("session_id", F.col("p.cid").alias("category_id"), F.col("p.kind").alias("kind"),
                  (F.col("p.kind") == F.col("ukind")).alias("in_universe"))

@@ -9,6 +9,8 @@ from shoplens.operators import sessions as ses
 from shoplens.plans import oracle_views as ov
 from shoplens.plans import reports as rp
 from shoplens.plans.registry import register
+from shoplens.plans.session_job import run_session_job
+from shoplens.sources import tables as src
 
 # Task parameters used by the registered queries.
 START, END = "2024-01-01", "2024-01-31"          # whole month: every report
@@ -272,3 +274,45 @@ SELECT string_agg(concat_ws('=', page_pair, CAST(ratio AS VARCHAR)), '|' ORDER B
           _RANGE_CTES + _conversion_ctes("ra", TARGET_FLOW)))
 def q_page_conversion_text(spark, sf):
     return rp.report_page_conversion_text(spark, sf, START, END, TARGET_FLOW)
+
+
+# --------------------------------------------------------------------------
+# P1-P4 as one job (A6, A13): one run per session and input
+
+TASK_ID = "run-1"
+_JOBS: dict = {}
+
+
+def _session_job(spark, sf: str, name: str):
+    key = (spark.sparkContext.applicationId, sf, src.version(spark, sf, "events"))
+    if key not in _JOBS:
+        _JOBS[key] = run_session_job(src.actions(spark, sf, D40, START, END), src.users(spark, sf), REPORT_FILTER,
+                                     SAMPLE_TOTAL, SAMPLE_SEED, TASK_ID)
+    return _JOBS[key][name]
+
+
+def _job_sql(body: str, ctes) -> str:
+    return ov.sql(["actions", "users"], f"SELECT '{TASK_ID}' AS task_id, r.* FROM ({body}) r", ctes, d=D40)
+
+
+_JOB_CTES = _RANGE_CTES + [("sessions", _SESS_OVER_RANGE), ("fs", _filtered_sql(REPORT_FILTER))]
+
+
+@register("job_session_ratio", _job_sql(_session_ratio_sql("fs"), _JOB_CTES))
+def q_job_session_ratio(spark, sf):
+    return _session_job(spark, sf, "session_ratio")
+
+
+@register("job_random_extract", _job_sql(_extract_sql("fs"), _JOB_CTES + _quota_ctes("fs", SAMPLE_TOTAL)))
+def q_job_random_extract(spark, sf):
+    return _session_job(spark, sf, "random_extract")
+
+
+@register("job_top10_category", _job_sql("SELECT * FROM top10", _P3_CTES))
+def q_job_top10_category(spark, sf):
+    return _session_job(spark, sf, "top10_category")
+
+
+@register("job_top10_session", _job_sql(_top_sessions_sql("kept", "top10"), _P3_CTES))
+def q_job_top10_session(spark, sf):
+    return _session_job(spark, sf, "top10_session")

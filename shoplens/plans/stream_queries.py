@@ -38,16 +38,10 @@ def sliced_ad_lines(spark: SparkSession, sf: str, slices: int = SLICES, late: bo
     return src.ad_log_lines(spark, sf).withColumn("b", b.cast("bigint"))
 
 
-def _version(spark: SparkSession, sf: str) -> tuple:
-    """Size and age of the files that the replay reads."""
-    files = src.table(spark, sf, "events").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("file_size"), F.max("file_modification_time")).first())
-
-
 def run_ad_pipeline(spark: SparkSession, sf: str, threshold: int = THRESHOLD, slices: int = SLICES,
                     late: bool = False) -> st.AdStream:
     """Replay the ad log through the stream once per session and inputs."""
-    key = (spark.sparkContext.applicationId, sf, _version(spark, sf), threshold, slices, late)
+    key = (spark.sparkContext.applicationId, sf, src.version(spark, sf, "events"), threshold, slices, late)
     if key in _RUNS:
         return _RUNS[key]
     base = scratch_path(spark, "adstream")

@@ -51,6 +51,21 @@ SESSION_AGGR_STAT = _s(
       ("1_3", "4_6", "7_9", "10_30", "30_60", "60")])
 
 
+_TASK = StructField("task_id", StringType(), True)
+
+
+def of_task(schema: StructType) -> StructType:
+    """A report table's schema: the run's id, then the report's columns."""
+    return StructType([_TASK, *schema.fields])
+
+
+SESSION_RANDOM_EXTRACT = _s(("session_id", StringType()), ("start_time", StringType()),
+                            ("search_keywords", StringType()), ("click_category_ids", StringType()))
+TOP10_CATEGORY = _s(("category_id", LongType()), ("click_count", LongType()), ("order_count", LongType()),
+                    ("pay_count", LongType()))
+TOP10_SESSION = _s(("category_id", LongType()), ("session_id", StringType()), ("click_count", LongType()))
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Bind columns by name to ``schema``; a missing column is an error.
 

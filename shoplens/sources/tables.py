@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def version(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Number, size and newest age of a table's files: what a kept result of it depends on."""
+    files = table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("file_size"), F.max("file_modification_time")).first())
+
+
 def _day_after(day: str) -> str:
     return (_dt.date.fromisoformat(day) + _dt.timedelta(days=1)).isoformat()
 
