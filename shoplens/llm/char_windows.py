@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 
-from shoplens.llm.shingles import _PLACE, mix
+from shoplens.llm.shingles import mix
 
+#: Fixed odd multipliers, one per place in a window.
+_PLACE = np.random.default_rng(411).integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Stands in front of a text so that every character ends one window.
 PAD = "\x02"
 

@@ -4,9 +4,16 @@ The model predicts characters from the four before. Counts come from all
 trusted texts; every distinct window of the corpus (map-side distinct) is
 scored once, by joins of the windows with the count tables of each order;
 both sides of these joins are distinct windows, far fewer than characters.
-The scored windows are cut into shards of bounded size; each shard goes to
-the tasks in turn and adds its windows' share to every text's sum. So
-texts are never shuffled, and what a task holds is bounded by the shard.
+The scored windows are written in shards of bounded size to the shared
+folder. Stage by stage, tasks read one shard, once per Python worker, and add
+its windows' share to every text's sum; the sums so far are stored between
+shards. So texts are never shuffled, what a task holds is bounded by the
+shard, and nothing of the model passes through the driver.
+
+Characters, not words: the distinct word n-grams of a corpus are nearly as
+many as its words, so that scoring them by joins moves several times the
+corpus. The price is that words in a wrong order look as good as text; what
+stands out is text whose words are not the trusted ones'.
 
 A text's perplexity is compared with a quantile of its language's trusted
 texts that were held out of the counts (one in ``HELD_OUT``, by a hash of
@@ -28,13 +35,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
+from pyarrow.dataset import dataset
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.config import store
+from shoplens.config import scratch_path, store
 from shoplens.llm.char_windows import ScoreTable, Windows
 from shoplens.llm.common import row_slices, texts_of
 
@@ -109,30 +119,41 @@ def kneser_ney(windows: DataFrame, order: int) -> DataFrame:
 
 def add_scores(docs: DataFrame, scored: DataFrame, order: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``docs`` (doc_id, text, lang, trusted) with ``n`` windows and the sum of their ``lp``."""
-    spark = docs.sparkSession
     shards = max(1, math.ceil(scored.count() / shard_rows))
+    path = scratch_path(docs.sparkSession, "score_shards")
+    scored.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards))).write.partitionBy("shard").parquet(path)
     out = docs.select("doc_id", "text", "lang", "trusted", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("lp"))
     schema = out.schema
     for k in range(shards):
-        part = scored.filter(F.pmod(F.xxhash64("gram"), F.lit(shards)) == k).toArrow()     # about shard_rows rows
-        grams = part["gram"].to_pylist()
-        keys = np.empty(len(grams), np.uint64)
-        for lo in range(0, len(grams), 100_000):
-            keys[lo:lo + 100_000] = _keys_of(grams[lo:lo + 100_000], order)
-        held = spark.sparkContext.broadcast((keys, part["lp"].to_numpy().astype(np.float32)))
-        out = out.mapInArrow(_adder(held, order), schema)
+        out = out.mapInArrow(_adder(f"{path}/shard={k}", order), schema)
+        if k < shards - 1:
+            out = store(out, "partial_scores")         # the next stage's tasks hold the next shard only
     return out
 
 
+@lru_cache(maxsize=1)
+def shard_table(path: str, order: int) -> ScoreTable:
+    """A shard's scores, read once per Python worker; an empty shard has no folder."""
+    files, root = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+    if files.get_file_info(root).type == fs.FileType.NotFound:
+        return ScoreTable(np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    part = dataset(root, filesystem=files, format="parquet").to_table(columns=["gram", "lp"])
+    grams = part["gram"].to_pylist()
+    keys = np.empty(len(grams), np.uint64)
+    for lo in range(0, len(grams), 100_000):
+        keys[lo:lo + 100_000] = _keys_of(grams[lo:lo + 100_000], order)
+    return ScoreTable(keys, part["lp"].to_numpy().astype(np.float32))
+
+
 def _keys_of(grams: list[str], order: int) -> np.ndarray:
     """Hashes of whole windows: each gram's last window, padding aside."""
     w = Windows(grams, order)
     return w.keys[order - 1::order]
 
 
-def _adder(held, order: int):
+def _adder(path: str, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ScoreTable(*held.value)
+        table = shard_table(path, order)
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in row_slices([4 * len(t) for t in texts]):
