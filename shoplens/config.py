@@ -9,6 +9,7 @@ folder is ever used.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -59,23 +60,30 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared work folder."""
     path = f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _scopes():
+        _scopes()[-1].append(path)
     return path
 
 
-_SCOPES: list[list[str]] = []
+_HELD = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    """The open scopes of this thread: scratch of another thread is never taken for one's own."""
+    if not hasattr(_HELD, "scopes"):
+        _HELD.scopes = []
+    return _HELD.scopes
 
 
 @contextmanager
 def tracked_scratch():
     """Gathers the scratch folders made inside the block, for ``release``."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    _scopes().append(paths)
     try:
         yield paths
     finally:
-        _SCOPES.remove(paths)
+        _scopes().pop()
 
 
 def release(spark: SparkSession, paths: list[str]) -> None:
