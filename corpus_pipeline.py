@@ -3,8 +3,11 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes it as Parquet under the shared folder and rereads it as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
-When a stage begins, the one before has been written, so the tables that
-one kept on the way are deleted.
+``run`` also writes what the last stage returns: its result reads that table
+alone, which is the caller's to keep, and all that the stages stored on the
+way is deleted. Stages called one by one, as ``STAGES`` has them, are to be
+written by the caller before the next is called, which deletes what the one
+before stored.
 """
 
 from __future__ import annotations
@@ -49,7 +52,9 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                          "offset")
 
 
-#: Scratch folders of the stage that ran last.
+_STEPS = (quality_rules, exact_dedup, jaccard_join, personal_data, pack_windows)
+
+#: Scratch folders of the stage of ``STAGES`` that was called last.
 _LAST: list[str] = []
 
 
@@ -65,7 +70,7 @@ def _tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callabl
     return run_stage
 
 
-STAGES = [(f.__name__, _tidy(f)) for f in (quality_rules, exact_dedup, jaccard_join, personal_data, pack_windows)]
+STAGES = [(f.__name__, _tidy(f)) for f in _STEPS]
 
 #: SQL can express neither the shingle components, the span classifier nor the packing;
 #: tests hold the stages against brute-force versions.
@@ -73,12 +78,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``."""
+    """The stages in order over ``documents``; runs know nothing of each other."""
     docs, before = table(spark, sf_dir, "documents"), []
-    for name, stage in STAGES[:-1]:
-        out = stage(spark, docs, sf_dir)
-        with tracked_scratch() as paths:
-            docs = store(out, f"stage_{name}")
-        release(spark, before)                         # the input of the stage just written
-        before = paths
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for stage in _STEPS:
+        with tracked_scratch() as own:
+            out = stage(spark, docs, sf_dir)
+        with tracked_scratch() as kept:
+            docs = store(out, f"stage_{stage.__name__}")
+        release(spark, own + before)                   # all that the table just written was made from
+        before = kept
+    return docs
