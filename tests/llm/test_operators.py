@@ -14,6 +14,7 @@ from shoplens.llm.list_compare import near_pairs, parity_bits, parity_distance
 from shoplens.llm.piece_bpe import PieceEncoder
 from shoplens.llm.shingles import shingle_set
 from shoplens.llm.window_plan import closest_fill, plan_windows
+from tests.conftest import SF_SMALL
 
 WORDS = "the of and in to river stone light over under green paper small ocean never again winter".split()
 SPACE = "[^\x20\x09-\x0d]+"
@@ -268,3 +269,10 @@ def test_pipeline_stages(spark, docs):
         out = store(stage(spark, out, ""), "test_stage")
         assert name == "pack_windows" or out.columns == docs.columns
     assert out.groupBy("doc_id").count().count() > 20
+
+
+def test_runs_do_not_touch_each_other(spark):
+    first = corpus_pipeline.run(spark, SF_SMALL)
+    rows = sorted(map(tuple, first.collect()))
+    second = corpus_pipeline.run(spark, SF_SMALL)
+    assert sorted(map(tuple, first.collect())) == rows == sorted(map(tuple, second.collect()))
