@@ -42,8 +42,9 @@ def time_after(a, b) -> Column:
 
 
 def seconds_between(start, end) -> Column:
-    """Whole seconds from ``start`` to ``end`` (timestamps)."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end))
+    """Seconds from ``start`` to ``end`` (timestamps), both cut to whole seconds first."""
+    second = F.timestamp_diff("SECOND", F.lit("0001-01-01").cast("timestamp_ntz"), _c(end).cast("timestamp_ntz"))
+    return second - F.timestamp_diff("SECOND", F.lit("0001-01-01").cast("timestamp_ntz"), _c(start).cast("timestamp_ntz"))
 
 
 def time_minus(a, b) -> Column:

@@ -4,8 +4,6 @@ building blocks the operator-level oracles reuse."""
 from __future__ import annotations
 
 from shoplens.functions.filters import SessionFilter
-from shoplens.operators import pageflow as pf
-from shoplens.operators import sessions as ses
 from shoplens.plans import oracle_views as ov
 from shoplens.plans import reports as rp
 from shoplens.plans.registry import register
@@ -102,16 +100,17 @@ def _filtered_sql(p: SessionFilter) -> str:
   WHERE {where}"""
 
 
-def _bucket_sql(col: str, buckets) -> str:
-    parts = []
-    for name, lo, hi in buckets:
-        cond = f"{col} > {lo}" if hi is None else f"{col} > {lo} AND {col} <= {hi}"
-        parts.append(f"WHEN {cond} THEN '{name}'")
-    return "CASE " + " ".join(parts) + " END"
-
-
-VISIT_BUCKET_SQL = _bucket_sql("visit_length", ses.VISIT_LENGTH_BUCKETS)
-STEP_BUCKET_SQL = _bucket_sql("step_length", ses.STEP_LENGTH_BUCKETS)
+# Written by hand from the survey's table, not from the library's constants.
+VISIT_BUCKET_SQL = """CASE WHEN visit_length BETWEEN 1 AND 3 THEN '1s_3s'
+  WHEN visit_length BETWEEN 4 AND 6 THEN '4s_6s' WHEN visit_length BETWEEN 7 AND 9 THEN '7s_9s'
+  WHEN visit_length BETWEEN 10 AND 30 THEN '10s_30s' WHEN visit_length BETWEEN 31 AND 60 THEN '30s_60s'
+  WHEN visit_length BETWEEN 61 AND 180 THEN '1m_3m' WHEN visit_length BETWEEN 181 AND 600 THEN '3m_10m'
+  WHEN visit_length BETWEEN 601 AND 1800 THEN '10m_30m' WHEN visit_length >= 1801 THEN '30m' END"""
+STEP_BUCKET_SQL = """CASE WHEN step_length BETWEEN 1 AND 3 THEN '1_3' WHEN step_length BETWEEN 4 AND 6 THEN '4_6'
+  WHEN step_length BETWEEN 7 AND 9 THEN '7_9' WHEN step_length BETWEEN 10 AND 30 THEN '10_30'
+  WHEN step_length BETWEEN 31 AND 60 THEN '30_60' WHEN step_length >= 61 THEN '60' END"""
+_VISIT_NAMES = ("1s_3s", "4s_6s", "7s_9s", "10s_30s", "30s_60s", "1m_3m", "3m_10m", "10m_30m", "30m")
+_STEP_NAMES = ("1_3", "4_6", "7_9", "10_30", "30_60", "60")
 
 
 def _ratio_sql(n: str, d: str) -> str:
@@ -121,9 +120,9 @@ def _ratio_sql(n: str, d: str) -> str:
 
 def _session_ratio_sql(src_table: str) -> str:
     cols = ["count(*) AS session_count"]
-    for name, _, _ in ses.VISIT_LENGTH_BUCKETS:
+    for name in _VISIT_NAMES:
         cols.append(_ratio_sql(f"count(*) FILTER (WHERE vb = '{name}')", "count(*)") + f" AS visit_length_{name}")
-    for name, _, _ in ses.STEP_LENGTH_BUCKETS:
+    for name in _STEP_NAMES:
         cols.append(_ratio_sql(f"count(*) FILTER (WHERE sb = '{name}')", "count(*)") + f" AS step_length_{name}")
     return (f"SELECT {', '.join(cols)} FROM (SELECT *, {VISIT_BUCKET_SQL} AS vb, {STEP_BUCKET_SQL} AS sb "
             f"FROM {src_table}) x HAVING count(*) > 0")
@@ -233,10 +232,15 @@ def q_report_top10_active_session(spark, sf):
     return rp.report_top10_active_session(spark, sf, START, END, REPORT_FILTER)
 
 
+# The flow's steps as SQL values: positions 1.. of neighbouring pages.
+_FLOW_VALUES = {
+    "1,2,3,4,5,6,7": "(1, 1, 2), (2, 2, 3), (3, 3, 4), (4, 4, 5), (5, 5, 6), (6, 6, 7)",
+    "2,4,6,8,1,3": "(1, 2, 4), (2, 4, 6), (3, 6, 8), (4, 8, 1), (5, 1, 3)",
+}
+
+
 def _flow_values(flow: str) -> str:
-    rows = pf.flow_pairs(flow)
-    return "SELECT * FROM (VALUES " + ", ".join(f"({p}, {a}, {b})" for p, a, b in rows) + \
-        ") v(pos, from_page, to_page)"
+    return f"SELECT * FROM (VALUES {_FLOW_VALUES[flow]}) v(pos, from_page, to_page)"
 
 
 def _conversion_ctes(src_table: str, flow: str):

@@ -123,3 +123,15 @@ def test_epoch_millis_round_trip_in_any_session_zone(spark):
             assert got[0][1] == dt.datetime(2024, 3, 10, 2, 30, 1, 999000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_seconds_between_cuts_both_ends(spark):
+    import datetime as dt
+
+    from shoplens.functions.scalar import seconds_between
+    t = dt.datetime(2024, 1, 1, 10, 0, 0)
+    ms = lambda k: t + dt.timedelta(milliseconds=k)
+    rows = [(t, ms(900)), (ms(900), ms(1100)), (ms(900), ms(2800)), (ms(5000), t), (dt.datetime(1960, 1, 1, 0, 0, 0, 500000), t), (None, t)]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz").select(seconds_between("a", "b").alias("s"))
+    whole = int((t - dt.datetime(1960, 1, 1)).total_seconds())
+    assert [r["s"] for r in df.collect()] == [0, 1, 2, -5, whole, None]
