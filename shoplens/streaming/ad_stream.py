@@ -12,11 +12,11 @@ Spark's state store and its progress in its checkpoint:
             of all clicks is a few rows a task. The file sink writes kept
             clicks, dropped counts, newly listed users and malformed lines
             exactly once, by kind.
-``totals``  kept clicks -> running totals per (date, user, ad) and per
-            (date, province, city, ad): one streaming aggregation in update
-            mode (S3, S5; M1). Its rows are the new totals of the touched
-            keys; ``foreachBatch`` merges them into plain tables (M2) and
-            replaces the top 3 of the touched provinces (S6, M3).
+``totals``  kept clicks -> running totals per (date, user, ad), per (date,
+            province, city, ad) and per (date, province, ad): one streaming
+            aggregation in update mode (S3, S5; M1). Its rows are the new
+            totals of the touched keys; ``foreachBatch`` merges them into
+            plain tables (M2) and the touched provinces' top 3 (S6, M3).
 ``trend``   kept clicks -> clicks per (minute window, ad) under a watermark:
             windows that are older than the watermark are settled and leave
             the state, clicks that come later than that are not counted (S7).
@@ -47,6 +47,7 @@ from shoplens import schemas
 from shoplens.config import release
 from shoplens.operators import ads
 from shoplens.operators.merge import merge_overwrite, replace_groups
+from shoplens.operators.regions import top_n_per_group
 
 # The reference job's batch interval and blacklist threshold.
 BATCH_INTERVAL = "5 seconds"
@@ -198,6 +199,20 @@ def rewrite_days(spark: SparkSession, path: str, schema: StructType, days: Seque
     return new
 
 
+def top_after(old: DataFrame, totals: DataFrame, n: int = 3) -> DataFrame:
+    """The top ``n`` ads of every province in ``totals``, from the top ``n`` before and the touched ads' new totals.
+
+    Totals only grow, so an ad that was not among the first and has no new
+    total is not among them now: the few rows kept per province are enough,
+    no other ad's total is read again.
+    """
+    keys = [*ads.PROVINCE_KEYS, "ad_id"]
+    rest = (old.join(totals.select(*ads.PROVINCE_KEYS).distinct(), list(ads.PROVINCE_KEYS), "left_semi")
+            .join(totals.select(*keys), keys, "left_anti"))
+    return top_n_per_group(rest.select(*totals.columns).unionByName(totals), ads.PROVINCE_KEYS,
+                           [F.col("click_count").desc(), F.col("ad_id")], n)
+
+
 def _run_all(jobs: Sequence[Callable[[], object]]) -> list:
     """Run independent Spark writes as concurrent jobs; re-raise the first failure."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
@@ -234,7 +249,9 @@ class AdStream:
     def start_totals(self, spark: SparkSession, trigger: dict | None = None) -> StreamingQuery:
         """Running totals in update mode, merged into the tables by day."""
         none = F.lit(None).cast("string")
-        tables = F.array(F.struct(F.lit("ad_stat").alias("table"), "province", "city", F.lit(None).cast("bigint").alias("user_id")),
+        nobody = F.lit(None).cast("bigint").alias("user_id")
+        tables = F.array(F.struct(F.lit("ad_stat").alias("table"), "province", "city", nobody),
+                         F.struct(F.lit("province_ads").alias("table"), "province", none.alias("city"), nobody),
                          F.struct(F.lit("user_counts").alias("table"), none.alias("province"), none.alias("city"), "user_id"))
         keys = ["table", "date", "province", "city", "user_id", "ad_id"]
         totals = (self._kept_stream(spark).select("date", "ad_id", "n", F.inline(tables))
@@ -257,21 +274,20 @@ class AdStream:
             stat = totals.filter(F.col("table") == "ad_stat").select(*schemas.AD_STAT.names)
             users = totals.filter(F.col("table") == "user_counts").select(*schemas.AD_USER_CLICK_COUNT.names)
 
-            def merged(name: str, schema: StructType, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-                return rewrite_days(spark, self.path(name), schema, days, batch_id,
-                                    lambda current: merge_overwrite(current, rows, keys))
-
-            new, _ = _run_all([lambda: merged("ad_stat", schemas.AD_STAT, stat, ads.AD_STAT_KEYS),
-                               lambda: merged("user_counts", schemas.AD_USER_CLICK_COUNT, users, ads.DAILY_KEYS)])
-            touched = stat.select(*ads.PROVINCE_KEYS).distinct()
-            top = ads.province_top_ads(new.join(touched, list(ads.PROVINCE_KEYS), "left_semi"), 3).persist()
-            try:
-                _run_all([lambda: rewrite_days(spark, self.path("province_top3"), schemas.AD_PROVINCE_TOP3, days, batch_id,
-                                               lambda current: replace_groups(current, top, ads.PROVINCE_KEYS)),
-                          lambda: top.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-                          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path("top3_changes"))])
-            finally:
-                top.unpersist()
+            best = totals.filter(F.col("table") == "province_ads").select(*schemas.AD_PROVINCE_TOP3.names)
+            touched = best.select(*ads.PROVINCE_KEYS).distinct()
+
+            def merged(name: str, schema: StructType, merge: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+                return lambda: rewrite_days(spark, self.path(name), schema, days, batch_id, merge)
+
+            top, _, _ = _run_all([
+                merged("province_top3", schemas.AD_PROVINCE_TOP3,
+                       lambda old: replace_groups(old, top_after(old, best), ads.PROVINCE_KEYS)),
+                merged("ad_stat", schemas.AD_STAT, lambda old: merge_overwrite(old, stat, ads.AD_STAT_KEYS)),
+                merged("user_counts", schemas.AD_USER_CLICK_COUNT, lambda old: merge_overwrite(old, users, ads.DAILY_KEYS))])
+            (top.join(touched, list(ads.PROVINCE_KEYS), "left_semi").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+             .parquet(self.path("top3_changes")))
         finally:
             totals.unpersist()
 

@@ -155,6 +155,25 @@ def test_settled_windows_do_not_change(spark):
     assert sum(r.click_count for r in stream.ad_stat(spark).collect()) == 8      # the other tables have them all
 
 
+def test_top_after_needs_only_the_rows_kept(spark):
+    """Growing totals, batch by batch: the top 3 from three kept rows equals the top 3 of all totals."""
+    import random
+    rng = random.Random(4)
+    full, kept = {}, spark.createDataFrame([], schemas.AD_PROVINCE_TOP3)
+    for _ in range(4):
+        new = {}
+        for _ in range(25):
+            k = ("2024-01-01", str(rng.randint(0, 2)), rng.randint(0, 12))
+            full[k] = full.get(k, 0) + rng.randint(1, 3)
+            new[k] = full[k]
+        totals = spark.createDataFrame([(*k, n) for k, n in new.items()], schemas.AD_PROVINCE_TOP3)
+        top = st.top_after(kept, totals)
+        rows = st.replace_groups(kept, top, ads.PROVINCE_KEYS).collect()
+        want = [(*k, n) for p in "012" for k, n in sorted(((k, n) for k, n in full.items() if k[1] == p), key=lambda x: (-x[1], x[0][2]))[:3]]
+        assert sorted(map(tuple, rows)) == sorted(want)
+        kept = spark.createDataFrame([tuple(r) for r in rows], schemas.AD_PROVINCE_TOP3)
+
+
 def test_readers_before_the_first_batch(spark):
     stream = opened(spark)
     assert stream.ad_stat(spark).count() == 0 and stream.province_top3(spark).schema == schemas.AD_PROVINCE_TOP3
