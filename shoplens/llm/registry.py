@@ -113,11 +113,55 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
                          F.col(names["base_failed"]).alias("base_failed"), F.col(names["kept"]).alias("kept"))
 
 
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+five AS (SELECT r, i, five FROM (SELECT r, unnest(range(1, len(ws) - 3)) AS i, unnest(list_transform(
+             range(1, len(ws) - 3), lambda k: array_to_string(list_slice(ws, k, k + 4), ' '))) AS five FROM w WHERE len(ws) >= 5)),
+twice AS (SELECT r, five FROM five GROUP BY r, five HAVING count(*) > 1),
+seen AS (SELECT r, i FROM five JOIN twice USING (r, five)),
+again AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM seen, range(5) o(k) GROUP BY r),
+m AS (SELECT w.r, doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN again ON again.r = w.r),
+f AS (SELECT *, n_words < 10 AS short, 100 * n_repeat_words > 20 * n_words AS repeats,
+             n_symbols > 0.1::DOUBLE * n_words AS symbols, n_dup_lines > 0.3::DOUBLE * greatest(n_lines, 1) AS dup_lines,
+             n_words > 0 AND (word_chars / greatest(n_words, 1) < 2 OR word_chars / greatest(n_words, 1) > 15) AS odd FROM m),
+rule AS (SELECT source, unnest([short, repeats, symbols, dup_lines, odd]) AS bad, unnest(range(5)) AS rule FROM f),
+host AS (SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE bad) AS bad FROM rule GROUP BY ALL),
+prior AS (SELECT rule, sum(bad) / sum(n) AS p, sum(bad * bad / n) / sum(n) AS square FROM host GROUP BY rule),
+strength AS (SELECT rule, p, greatest(p * (1 - p) / greatest(square - p * p, 1e-9) - 1, 1.0) AS s FROM prior),
+rate AS (SELECT source, n + s AS ns, (bad + s * p) / (n + s) AS rate FROM host JOIN strength USING (rule)),
+verdict AS (SELECT source, bool_or(rate - 2 * sqrt(rate * (1 - rate) / (ns + 1)) > 0.5) AS rejected FROM rate GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
+       NOT (short OR repeats) AND NOT rejected AS kept
+FROM f JOIN verdict v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     docs = set_join.keyed(table(spark, sf, "documents"), ["doc_id", "text"])
     return set_join.set_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
+OP10_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingle AS (SELECT DISTINCT r, array_to_string(list_slice(ws, i, i + 3), ' ') AS s
+            FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM d WHERE len(ws) > 0)),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS n FROM shingle a JOIN shingle b USING (s) WHERE a.r <> b.r GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN size p ON p.r = x JOIN size q ON q.r = y WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+reach(x, y) AS (SELECT r, r FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN d ON d.r = reach.x JOIN d o ON o.r = reach.y LEFT JOIN size ON size.r = d.r
+GROUP BY d.r, d.doc_id, size.n
+"""
+
+
 def op11_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
     damaged = turn_repair.damage(table(spark, sf, "conversations"))
     return turn_repair.repair(damaged, absent="absent").filter("repaired_sha256 IS NOT NULL").drop("part", "turns")
@@ -180,7 +224,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_url_filter, op2_token_counts, op3_packing, op4_line_dedup, op5_exact_dedup, op6_ngram_quality, op7_pii,
     op8_sentencepiece, op9_quality_rules, op10_jaccard_join, op11_turn_repair, op12_warc, op13_ranked_search)}
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op12_warc": OP12_SQL, "op13_ranked_search": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": OP5_SQL, "op9_quality_rules": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op12_warc": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
