@@ -17,7 +17,7 @@ _RNG = np.random.default_rng(90210)
 #: Fixed odd multipliers, one per word place, for either half.
 _PLACE = _RNG.integers(1, 1 << 63, (8, 2), dtype=np.uint64) * _U(2) + _U(1)
 #: Words whose digests a process keeps (about 150 bytes each).
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 
 class _Digests(dict):
