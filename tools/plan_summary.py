@@ -1,8 +1,8 @@
 """Write PLANS.md: physical-plan facts of every registered batch query.
 
 Usage: python tools/plan_summary.py [sf_dir]   (default sf0.01)
-Runs each query into the no-op sink (so AQE settles the final plan) and
-records Parquet scans, shuffles, join strategies, partial top-k and the
+Collects each query through its own plan (so AQE settles that plan, and the
+part before the initial one is the final one) and records Parquet scans, shuffles, join strategies, partial top-k and the
 filters pushed to Parquet.
 """
 
@@ -15,7 +15,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from shoplens.config import local_session  # noqa: E402
-import __spark_entry__ as E  # noqa: E402
+from shoplens.plans import registry  # noqa: E402
 
 STREAM = ("stream_", "report_ad_", "report_province", "report_click", "ad_log_source")
 
@@ -30,7 +30,7 @@ def facts(plan: str) -> dict:
                                    plan)),
         "joins": ", ".join(joins) or "-",
         "partial top-k": "yes" if "WindowGroupLimit" in plan or "TakeOrderedAndProject" in plan else "-",
-        "python": "yes" if re.search(r"EvalPython|InPandas", plan) else "no",
+        "python": "yes" if re.search(r"EvalPython|InPandas|MapInArrow", plan) else "no",
         "pushed": "; ".join(p[:60] for p in pushed[:2]) or "-",
     }
 
@@ -39,12 +39,13 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8)
     rows = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(registry.queries().items()):
         if name.startswith(STREAM):
             continue
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        rows.append((name, facts(df._jdf.queryExecution().executedPlan().toString())))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows.append((name, facts(plan.split("== Initial Plan ==")[0])))
     cols = ["scans", "shuffles", "joins", "partial top-k", "python", "pushed"]
     out = ["# PLANS", "",
            f"Final (AQE) physical plans of the registered batch queries on `{sf}`, local[8], 8 shuffle",
