@@ -143,6 +143,23 @@ def test_listed_users_leave_no_counts_and_ids_stay_exact(spark):
     assert sorted(map(tuple, stream.batches(spark).collect())) == [(0, 7, 3, 4, 4), (1, 2, 0, 2, 0)]
 
 
+def test_users_share_the_state_of_a_part(spark, done, monkeypatch):
+    """Two parts hold all users' states; the results are those of a part for each user."""
+    monkeypatch.setattr(st, "PARTS", 2)
+    stream = opened(spark)
+    for i, lines in enumerate(SLICES):
+        put(stream.base, i, lines)
+        query = stream.start_filter(st.ad_log_stream(spark, f"{stream.base}/source"), NOW)
+        query.awaitTermination()
+        rows = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+        assert rows and max(rows) <= 2
+        stream.start_totals(spark, NOW).awaitTermination()
+        stream.start_trend(spark, NOW).awaitTermination()
+    assert tables(stream, spark) == tables(done, spark)
+    told = lambda s: sorted(map(str, s.clicks(spark, "kept", "dropped", "listed", "malformed").collect()))
+    assert told(stream) == told(done)
+
+
 def test_settled_windows_do_not_change(spark):
     """Late clicks of a window still open count; those of one behind the watermark do not."""
     stream = opened(spark, threshold=100, seeds=(), delay="5 minutes")
