@@ -4,9 +4,11 @@ import tempfile
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from shoplens import schemas
 from shoplens.operators import ads
+from shoplens.sources import tables as src
 from shoplens.streaming import ad_stream as st
 
 DAY = 1704067200000          # 2024-01-01 00:00:00 UTC in ms
@@ -160,6 +162,37 @@ def test_users_share_the_state_of_a_part(spark, done, monkeypatch):
     assert told(stream) == told(done)
 
 
+def joins_of(df):
+    """Join operators of a batch plan as it ran."""
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return [k for k in ("SortMergeJoin", "BroadcastHashJoin") if k in p]
+
+
+def test_batch_merges_broadcast_nothing(spark):
+    old = spark.createDataFrame([("2024-01-01", "1", 5, 2), ("2024-01-01", "2", 5, 1), (None, "3", 6, 1)], schemas.AD_PROVINCE_TOP3)
+    new = spark.createDataFrame([("2024-01-01", "1", 5, 3), ("2024-01-01", "1", 6, 1)], schemas.AD_PROVINCE_TOP3)
+    merged = st.merge_overwrite(old, new, [*ads.PROVINCE_KEYS, "ad_id"])
+    assert joins_of(merged) == ["SortMergeJoin"] and merged.count() == 4
+    for df in (st.top_after(old, new), st.replace_groups(old, new, ads.PROVINCE_KEYS)):
+        assert joins_of(df) == ["SortMergeJoin"]
+
+
+def test_users_are_not_broadcast_to_the_clicks(spark, tmp_path):
+    for name, rows, types in (
+            ("events", [(1, "click", 7, "2024-01-01 00:00:01", '{"k": 25}'), (2, "click", None, "2024-01-01 00:00:02", '{"k": 3}'),
+                        (3, "view", 7, "2024-01-01 00:00:03", '{"k": 1}')],
+             "event_id long, event_type string, user_id long, ts string, props string"),
+            ("customer", [(7, 2)], "c_custkey long, c_nationkey int"), ("nation", [(2, 4)], "n_nationkey int, n_regionkey int")):
+        df = spark.createDataFrame(rows, types)
+        if name == "events":
+            df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = src.ad_log_lines(spark, str(tmp_path))
+    assert "SortMergeJoin" in joins_of(lines)
+    assert sorted(map(tuple, lines.collect())) == [(1, "1704067201000 4 2 7 5"), (2, "1704067202000 3")]
+
+
 def test_settled_windows_do_not_change(spark):
     """Late clicks of a window still open count; those of one behind the watermark do not."""
     stream = opened(spark, threshold=100, seeds=(), delay="5 minutes")
