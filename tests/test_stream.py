@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shoplens import schemas
 from shoplens.operators import ads
+from shoplens.plans import registry
 from shoplens.sources import tables as src
 from shoplens.streaming import ad_stream as st
 
@@ -125,6 +126,52 @@ def test_failure_while_days_are_rewritten(spark, done, monkeypatch):
     assert tables(stream, spark) == tables(done, spark)
 
 
+def replayed(spark, folder, clicks):
+    """``stream_ad_stat`` over clicks (event id, user): user 1 and 2 of place (4, 2), 3 of (5, 6); all on ad 5."""
+    for name, rows, types in (
+            ("events", [(i, "click", u, "2024-01-01 00:00:01", '{"k": 25}') for i, u in clicks],
+             "event_id long, event_type string, user_id long, ts string, props string"),
+            ("customer", [(1, 2), (2, 2), (3, 6), (4, 2)], "c_custkey long, c_nationkey int"),
+            ("nation", [(2, 4), (6, 5)], "n_nationkey int, n_regionkey int")):
+        df = spark.createDataFrame(rows, types)
+        if name == "events":
+            df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        df.write.parquet(f"{folder}/{name}.parquet")
+    found = registry.queries()["stream_ad_stat"](spark, str(folder))
+    assert found.columns == ["batch_id", "date", "province", "city", "ad_id", "click_count"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def test_ad_stat_runs_on_from_batch_to_batch(spark, tmp_path):
+    """Totals so far of the keys that a batch touches; users are listed from 2 clicks on."""
+    here, there = ("2024-01-01", "4", "2", 5), ("2024-01-01", "5", "6", 5)
+    assert replayed(spark, tmp_path, [(0, 1), (1, 1), (2, 3), (3, 2), (4, 1), (6, 4), (7, 3), (8, 2)]) == [
+        (0, *here, 2), (0, *there, 1), (1, *here, 3), (2, *here, 5), (2, *there, 2)]
+
+
+def test_ad_stat_of_a_slice_without_clicks(spark, tmp_path):
+    here = ("2024-01-01", "4", "2", 5)
+    assert replayed(spark, tmp_path, [(0, 1), (7, 2), (8, 4)]) == [(0, *here, 1), (2, *here, 3)]
+
+
+def test_ad_stat_changes_end_in_the_table(spark, done):
+    """The newest total of every key is the table's; a batch of ``totals`` over two of ``filter`` has one total a key."""
+    changes = [tuple(r) for r in done.ad_stat_changes(spark).collect()]
+    assert sorted({r[1:5]: r[1:] for r in sorted(changes)}.values()) == sorted(tuple(r) for r in done.ad_stat(spark).collect())
+    assert sorted(changes) == [(0, "2024-01-01", "1", "2", 5, 3), (0, "2024-01-01", "1", "2", 6, 1), (1, "2024-01-01", "1", "2", 5, 4),
+                               (1, "2024-01-01", "1", "2", 7, 1), (1, "2024-01-01", "3", "4", 8, 1), (2, "2024-01-01", "1", "2", 6, 2),
+                               (2, "2024-01-01", "3", "4", 8, 2)]
+    stream = opened(spark)
+    for i, lines in enumerate(SLICES):
+        put(stream.base, i, lines)
+        stream.start_filter(st.ad_log_stream(spark, f"{stream.base}/source"), NOW).awaitTermination()
+        if i != 1:
+            stream.start_totals(spark, NOW).awaitTermination()
+    assert sorted(map(tuple, stream.ad_stat_changes(spark).collect())) == [
+        (0, "2024-01-01", "1", "2", 5, 3), (0, "2024-01-01", "1", "2", 6, 1), (1, "2024-01-01", "1", "2", 5, 4),
+        (1, "2024-01-01", "1", "2", 7, 1), (2, "2024-01-01", "1", "2", 6, 2), (2, "2024-01-01", "3", "4", 8, 2)]
+
+
 def test_days_not_touched_are_not_rewritten(spark):
     stream = run(spark, [[line(0, 1, 5)], [line(86_400_000, 2, 5)]])
     first = f"{stream.base}/ad_stat/date=2024-01-01"
